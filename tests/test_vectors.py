@@ -1,0 +1,138 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vecloom.functions import vectors as V
+from vecloom.operators import quality
+
+FLOAT = np.float32
+
+
+@pytest.fixture(scope="module")
+def matrix():
+    return np.random.RandomState(42).normal(0, 1, (20, 384)).astype(FLOAT)
+
+
+@pytest.fixture(scope="module")
+def frame(spark, matrix):
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(matrix)]
+    return spark.createDataFrame(rows, "id int, v array<float>").persist()
+
+
+def edge(spark):
+    rows = [(0, None), (1, []), (2, [0.0, 0.0]), (3, [3.0, 4.0]), (4, [5.0, -9.0, 2.5]), (5, [1e-9, -1e-9])]
+    return spark.createDataFrame(rows, "id int, v array<float>")
+
+
+def by_id(df):
+    return {r.id: r[1] for r in df.collect()}
+
+
+def test_l2_normalize(spark, frame, matrix):
+    found = np.array([r.n for r in frame.select("id", V.l2_normalize(F.col("v")).alias("n")).orderBy("id").collect()])
+    assert np.allclose(found, matrix / np.linalg.norm(matrix, axis=1, keepdims=True), atol=1e-7)
+    assert np.allclose(np.linalg.norm(found, axis=1), 1.0, atol=1e-5)
+    small = by_id(edge(spark).select("id", V.l2_normalize(F.col("v")).alias("n")))
+    assert small[0] == [] and small[1] == [] and small[2] == [0.0, 0.0]
+    assert np.allclose(small[3], [0.6, 0.8])
+
+
+def test_dynamic_quantizer(spark, frame, matrix):
+    scale = (np.minimum(np.maximum(np.abs(matrix).max(axis=1), 1e-7), 2.5) / 127).astype(FLOAT)
+    expected = np.clip(np.rint(matrix.astype(float) / scale[:, None].astype(float)), -128, 127)
+    rows = frame.select("id", V.quantize(F.col("v")).alias("q"), V.dynamic_scale(F.col("v")).alias("s")).orderBy("id").collect()
+    assert np.array_equal([r.q for r in rows], expected) and np.array_equal(np.array([r.s for r in rows], FLOAT), scale)
+    small = by_id(edge(spark).select("id", V.quantize(F.col("v")).alias("q")))
+    assert small[0] == [] and small[1] == [] and small[2] == [0, 0]
+    assert small[4] == [127, -128, 127]  # scale capped at the clip
+
+
+def test_scale_without_cap(spark):
+    scale = by_id(edge(spark).select("id", V.dynamic_scale(F.col("v"), clip=0.0).alias("s")))
+    assert math.isclose(scale[4], 9 / 127, rel_tol=1e-6) and math.isclose(scale[2], 1e-7 / 127, rel_tol=1e-6)
+
+
+def test_fixed_quantizer_rounds_ties_to_even(spark):
+    step = 2.5 / 127
+    df = spark.createDataFrame([(0, [0.5 * step, 1.5 * step, 2.5 * step, -0.5 * step, 9.0, -9.0])], "id int, v array<double>")
+    assert by_id(df.select("id", V.quantize(F.col("v"), "fixed").alias("q")))[0] == [0, 2, 2, 0, 127, -127]
+
+
+def test_unknown_quantizer():
+    with pytest.raises(ValueError):
+        V.scale_factor(None, "other")
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "fixed"])
+def test_packed_bytes(spark, frame, mode):
+    v = F.col("v")
+    rows = frame.select(V.quantize(v, mode).alias("q"), V.pack_int8(V.quantize(v, mode)).alias("p"), V.quantize_packed(v, mode).alias("d")).collect()
+    for r in rows:
+        assert bytes(r.p) == np.array(r.q, np.int8).tobytes() == bytes(r.d)
+    small = by_id(edge(spark).select("id", V.quantize_packed(v, mode).alias("p")))
+    assert small[0] == b"" and small[1] == b""
+
+
+def test_unpack_reverses_pack(spark):
+    codes = [-128, -127, -1, 0, 1, 126, 127]
+    df = spark.createDataFrame([(0, codes), (1, [])], "id int, q array<int>")
+    back = by_id(df.select("id", V.unpack_int8(V.pack_int8(F.col("q"))).alias("q")))
+    assert back == {0: codes, 1: []}
+
+
+def restored(frame):
+    unit = frame.select("id", V.l2_normalize(F.col("v")).alias("v"))
+    coded = unit.select("id", "v", V.quantize(F.col("v")).alias("q"), V.dynamic_scale(F.col("v")).alias("s"))
+    return coded.withColumn("r", V.dequantize(F.col("q"), F.col("s")))
+
+
+def test_restored_values_are_within_half_a_step(frame):
+    for r in restored(frame).collect():
+        assert np.abs(np.array(r.v) - np.array(r.r)).max() <= r.s * 0.5001
+
+
+def test_quantization_fidelity(frame):
+    error = quality.quantization_error(restored(frame), "v", "r").first()
+    assert error.cosine_similarity > 0.990 and error.mse < 1e-3 and error.snr_db > 25.0
+
+
+def test_quantization_error_matches_numpy(frame):
+    rows = restored(frame).collect()
+    x, y = np.array([r.v for r in rows]), np.array([r.r for r in rows])
+    error = quality.quantization_error(restored(frame), "v", "r").first()
+    mse = ((x - y) ** 2).mean()
+    cosine = (x * y).sum() / (np.linalg.norm(x) * np.linalg.norm(y))
+    expected = (mse, np.abs(x - y).max(), cosine, 10 * np.log10(x.var() / (mse + 1e-12)), max(0.0, 1 - cosine))
+    assert np.allclose(tuple(error), expected, rtol=1e-9)
+    per_row = quality.quantization_error(restored(frame), "v", "r", ("id",)).orderBy("id").collect()
+    assert np.allclose([r.mse for r in per_row], ((x - y) ** 2).mean(axis=1))
+
+
+def test_quantization_error_edges(spark):
+    same = spark.createDataFrame([(0, [1.0, 2.0], [1.0, 2.0]), (1, [0.0], [0.0])], "id int, a array<double>, b array<double>")
+    rows = {r.id: r for r in quality.quantization_error(same, "a", "b", ("id",)).collect()}
+    assert rows[0].snr_db == 100.0 and rows[0].cosine_distortion == pytest.approx(0.0)
+    assert rows[1].cosine_similarity == 1.0 and rows[1].mse == 0.0
+    constant = spark.createDataFrame([([1.0, 1.0], [0.5, 0.5])], "a array<double>, b array<double>")
+    assert quality.quantization_error(constant, "a", "b").first().snr_db == float("-inf")
+
+
+def test_dimension_compare_and_storage(frame):
+    df = restored(frame)
+    compared = quality.dimension_compare(df, "id", "v", "r")
+    assert compared.count() == 20 * 48 and compared.agg(F.max("dimension")).first()[0] == 47
+    ratio = quality.storage_ratio(df.withColumn("p", V.pack_int8(F.col("q"))), "v", "p").first()
+    assert (ratio.fp32_bytes, ratio.int8_bytes, ratio.ratio) == (20 * 1536, 20 * 384, 4.0)
+
+
+def test_cosine_expression(frame, matrix):
+    pairs = frame.alias("a").join(frame.alias("b"), F.col("a.id") + 1 == F.col("b.id"))
+    for r in pairs.select(F.col("a.id").alias("i"), V.cosine(F.col("a.v"), F.col("b.v")).alias("c")).collect():
+        a, b = matrix[r.i].astype(float), matrix[r.i + 1].astype(float)
+        assert r.c == pytest.approx(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+
+
+def test_vector_functions_stay_in_the_jvm(frame, plan_of):
+    assert "Python" not in plan_of(restored(frame).select(V.quantize_packed(F.col("v")), "r"))

@@ -17,9 +17,9 @@ from vecloom.operators.projection import project_pca
 from vecloom.plans.job import report_frame, run_stages
 from vecloom.plans.transform import JobSettings, clean_and_hash, transform_all
 from vecloom.schemas import raw_defaults
-from vecloom.session import scratch_path
+from vecloom.session import cut_lineage, scratch_path
 from vecloom.sources.collection import upsert
-from vecloom.sources.corpus import cap_records, read_corpus
+from vecloom.sources.corpus import cap_records, read_corpus, spread
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 
 INGESTED_AT = "2000-01-01T00:00:00+00:00"
@@ -32,7 +32,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("document_id", "source", "category", "content")
-    return once(docs, cleaned_content=T.clean_text(F.col("content"))).drop("content")
+    return once(spread(docs), cleaned_content=T.clean_text(F.col("content"))).drop("content")
 
 
 def chunks(spark: SparkSession, sf: str, size: int = 256, overlap: int = 32) -> DataFrame:
@@ -126,7 +126,7 @@ def min_words(spark, sf):
 
 
 def nfkc_docs(spark, sf):
-    return documents(spark, sf).select("document_id", T.nfkc(F.col("content")).alias("normalized"))
+    return spread(documents(spark, sf)).select("document_id", T.nfkc(F.col("content")).alias("normalized"))
 
 
 def strip_html(spark, sf):
@@ -134,11 +134,11 @@ def strip_html(spark, sf):
 
 
 def clean_text(spark, sf):
-    return documents(spark, sf).select("document_id", T.clean_text(F.col("content")).alias("cleaned"))
+    return spread(documents(spark, sf)).select("document_id", T.clean_text(F.col("content")).alias("cleaned"))
 
 
 def clean_text_lower(spark, sf):
-    return documents(spark, sf).select("document_id", T.clean_text(F.col("content"), lowercase=True).alias("cleaned"))
+    return spread(documents(spark, sf)).select("document_id", T.clean_text(F.col("content"), lowercase=True).alias("cleaned"))
 
 
 def clean_pages(spark, sf):
@@ -150,12 +150,12 @@ def clean_conversations(spark, sf):
 
 
 def tokenize(spark, sf):
-    return documents(spark, sf).select("document_id", F.array_join(T.tokenize(F.col("content")), " ").alias("tokens"))
+    return spread(documents(spark, sf)).select("document_id", F.array_join(T.tokenize(F.col("content")), " ").alias("tokens"))
 
 
 def lexical_stats(spark, sf):
     stats = T.lexical_stats(F.col("content"))
-    return documents(spark, sf).select("document_id", *[value.alias(name) for name, value in stats.items()])
+    return spread(documents(spark, sf)).select("document_id", *[value.alias(name) for name, value in stats.items()])
 
 
 # --- hashing and deduplication -----------------------------------------------------
@@ -312,13 +312,14 @@ def knn_topk(spark, sf):
 
 
 def semantic_search(spark, sf):
-    staged = chunks(spark, sf).select(
+    vectors = chunks(spark, sf).select(
         "chunk_id",
         "chunk_content",
         "category",
         shard_id(F.col("chunk_id")).alias("partition_id"),
         hashed_embedding(F.col("chunk_content")).alias("vector_fp32"),
     )
+    staged = cut_lineage(vectors)  # searched and joined back; in a job this is the staged dataset
     asked = spark.read.parquet(f"{sf}/benchmark.parquet").withColumnRenamed("item_id", "query_id")
     best = search.semantic_search(staged, asked, F.col("text"), 3)
     return best.withColumn("score", F.round("score", 6))

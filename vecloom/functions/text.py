@@ -66,49 +66,19 @@ def digit_char() -> str:
 SPACE_CHAR = r"[\p{Z}\t\n\x0B\f\r\x1c-\x1f\x85]"
 
 
-@cache
-def _nfkc_stable() -> str:
-    """Class of characters that NFKC leaves alone next to any other such character.
-
-    Restricted to runs of 16 or more code points so that the class stays short; what is
-    left out merely takes the slower way.
-    """
-    second = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
-    for code in range(sys.maxunicode + 1):
-        parts = unicodedata.decomposition(chr(code)).split()
-        if len(parts) == 2 and not parts[0].startswith("<"):
-            second.add(int(parts[1], 16))
-
-    def stable(c: str) -> bool:
-        return (
-            unicodedata.category(c) not in ("Cn", "Cs", "Co")
-            and unicodedata.combining(c) == 0
-            and ord(c) not in second
-            and unicodedata.is_normalized("NFKC", c)
-        )
-
-    body, first = [], None
-    for code in range(0x10000):
-        inside = code < 0xFFFF and stable(chr(code))
-        if inside and first is None:
-            first = code
-        elif not inside and first is not None:
-            if code - first >= 16 or code < 0x250:
-                body.append(f"\\x{{{first:x}}}-\\x{{{code - 1:x}}}")
-            first = None
-    return "".join(body)
-
-
 def _nfkc_batch(texts: pa.Array) -> pa.Array:
-    normal = unicodedata.normalize
-    return pa.array([None if t is None else normal("NFKC", t) for t in texts.to_pylist()], pa.string())
+    """The normalized text where it differs, else null."""
+    normal, is_normal = unicodedata.normalize, unicodedata.is_normalized
+    changed = [None if t is None or is_normal("NFKC", t) else normal("NFKC", t) for t in texts.to_pylist()]
+    return pa.array(changed, pa.string())
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC.  Spark has no such function, so texts that may change visit Python;
-    all others send a null there and keep their own value."""
+    """Unicode NFKC.  Spark has no such function, so texts beyond ASCII visit Python, which
+    answers only where the text changes; all other rows send and get a null."""
     normalize = F.arrow_udf(_nfkc_batch, T.StringType())
-    return F.coalesce(normalize(F.when(text.rlike(f"[^{_nfkc_stable()}]"), text)), text)
+    beyond_ascii = F.octet_length(text) > F.length(text)
+    return F.coalesce(normalize(F.when(beyond_ascii, text)), text)
 
 
 def drop_nonprintable(text: Column) -> Column:

@@ -31,19 +31,12 @@ def simhash(df: DataFrame, tokens: Column, id_column: str = "document_id") -> Da
     that combine on the map side.
     """
     hashed = _tokens(df, tokens, id_column).select(id_column, token_hash64(F.col("token")).alias("h"))
-    lanes = F.lit((1 << 32) | 1)
-    sums = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(lanes)).alias(f"lane{j}") for j in range(32)]
+    lanes = (1 << 32) | 1
+    sums = [F.expr(f"coalesce(sum(shiftrightunsigned(h, {j}) & {lanes}L), 0L) AS lane{j}") for j in range(32)]
     counted = hashed.groupBy(id_column).agg(F.count("h").alias("n"), *sums)
-
-    def bit(ones: Column, position: int) -> Column:
-        return F.shiftleft((F.coalesce(ones, F.lit(0)) * 2 > F.col("n")).cast("bigint"), position)
-
-    bits = []
-    for j in range(32):
-        lane = F.col(f"lane{j}")
-        bits.append(bit(lane.bitwiseAND(F.lit(0xFFFFFFFF)), j))
-        bits.append(bit(F.shiftrightunsigned(lane, 32), j + 32))
-    return counted.select(id_column, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("simhash"))
+    low = [f"shiftleft(cast((lane{j} & 4294967295L) * 2 > n AS bigint), {j})" for j in range(32)]
+    high = [f"shiftleft(cast(shiftrightunsigned(lane{j}, 32) * 2 > n AS bigint), {j + 32})" for j in range(32)]
+    return counted.select(id_column, F.expr(" | ".join(low + high)).alias("simhash"))
 
 
 def permutations(count: int = 64, seed: int = 42) -> list[tuple[int, int]]:
@@ -54,26 +47,24 @@ def permutations(count: int = 64, seed: int = 42) -> list[tuple[int, int]]:
     return list(zip(a, b))
 
 
-def _permute(h: Column, a: int, b: int) -> Column:
-    """(a*h + b) mod PRIME for h < 2**32 without leaving 64 bits.
+def _permute(a: int, b: int) -> str:
+    """(a*h + b) mod PRIME for h < 2**32 without leaving 64 bits, as an SQL expression.
 
     h = high*2**16 + low, and a*high = u1*2**16 + u0; then a*high*2**16 is
     u1*2**32 + u0*2**16, where 2**32 is -15 modulo PRIME.
     """
-    low = h.bitwiseAND(F.lit(0xFFFF))
-    u = F.shiftrightunsigned(h, 16) * F.lit(a)
-    u1, u0 = F.shiftrightunsigned(u, 16), u.bitwiseAND(F.lit(0xFFFF))
-    return (low * F.lit(a) + u0 * F.lit(1 << 16) - u1 * F.lit(15) + F.lit(b + 32 * PRIME)) % F.lit(PRIME)
+    u = f"(shiftrightunsigned(h, 16) * {a}L)"
+    shift = b + 32 * PRIME  # keeps the sum positive
+    return f"((h & 65535L) * {a}L + ({u} & 65535L) * 65536L - shiftrightunsigned({u}, 16) * 15L + {shift}L) % {PRIME}L"
 
 
 def minhash(df: DataFrame, tokens: Column, id_column: str = "document_id", num_perm: int = 64, seed: int = 42) -> DataFrame:
     """(id, signature): per permutation the smallest value over the token set; zeros without tokens."""
     distinct = F.array_distinct(tokens)
     hashed = _tokens(df, distinct, id_column).select(id_column, token_hash32(F.col("token")).alias("h"))
-    mins = [F.min(_permute(F.col("h"), a, b)).alias(f"m{i}") for i, (a, b) in enumerate(permutations(num_perm, seed))]
+    mins = [F.expr(f"coalesce(min({_permute(a, b)}), 0L) AS m{i}") for i, (a, b) in enumerate(permutations(num_perm, seed))]
     grouped = hashed.groupBy(id_column).agg(*mins)
-    values = [F.coalesce(F.col(f"m{i}"), F.lit(0)) for i in range(num_perm)]
-    return grouped.select(id_column, F.array(*values).alias("signature"))
+    return grouped.select(id_column, F.array(*[f"m{i}" for i in range(num_perm)]).alias("signature"))
 
 
 def jaccard_estimate(a: Column, b: Column) -> Column:
@@ -135,21 +126,23 @@ def bucketed(classes: DataFrame, positions: Positions, hot: int = HOT_BUCKET, le
 
     A bucket of more than ``hot`` classes is cut again: a pair in it must also agree on
     a block of the next cut, so its rows move to the finer buckets (old bucket, block) and
-    no pair is lost.  Counting combines on the map side; the list of hot buckets joins by
-    AQE's choice of broadcast or shuffle from its real size.
+    no pair is lost.  The list of hot buckets is counted with map-side combining and
+    written out; without any, as usual, the first cut stands.
     """
     columns = ["id", *positions.words]
 
-    def spread(rows: DataFrame, level: int) -> DataFrame:
+    def spread_out(rows: DataFrame, level: int) -> DataFrame:
         parent = F.col("bucket") if level else F.lit(0).cast("bigint")
         keyed = rows.select(parent.alias("parent"), *columns, F.posexplode(positions.block_keys(level)).alias("block", "key"))
         return keyed.select(F.xxhash64("parent", F.lit(level), "block", "key").alias("bucket"), *columns)
 
-    rows, settled = spread(classes, 0), []
+    rows, settled = spread_out(classes, 0), []
     for level in range(1, levels):
-        crowded = rows.groupBy("bucket").count().filter(F.col("count") > hot).select("bucket")
+        crowded = cut_lineage(rows.groupBy("bucket").count().filter(F.col("count") > hot).select("bucket"))
+        if crowded.isEmpty():
+            break
         settled.append(rows.join(crowded, "bucket", "left_anti"))
-        rows = spread(rows.join(crowded, "bucket", "left_semi"), level)
+        rows = spread_out(rows.join(crowded, "bucket", "left_semi"), level)
     return reduce(DataFrame.unionByName, [*settled, rows])
 
 

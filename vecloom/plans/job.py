@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.plans.transform import STAGES, JobSettings, lay_out, vector_payload_of
-from vecloom.sources.corpus import read_corpus
+from vecloom.sources.corpus import read_corpus, spread
 from vecloom.sources.parquet_sink import write_dataset
 
 STAGE_METRIC = (
@@ -53,7 +53,7 @@ def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings) -> li
     reports.  The sink's count comes from the written files and holds even if tasks reran.
     """
     started = time.time()
-    df, seen = _counted(raw, "ingest")
+    df, seen = _counted(spread(raw), "ingest")
     borders = [("ingest", seen)]
     for stage in STAGES:
         df = stage(df, settings)

@@ -17,6 +17,7 @@ from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
 from vecloom.operators.partitioning import partition_by_range, rebalance
 from vecloom.schemas import vector_payload
+from vecloom.sources.corpus import spread
 
 
 @dataclass(frozen=True)
@@ -99,9 +100,9 @@ STAGES = (clean_and_hash, deduplicate, chunk_and_explode, embed_and_normalize, q
 
 
 def transform_all(raw: DataFrame, settings: JobSettings | None = None) -> DataFrame:
-    """All stages in order.  One shuffle (the deduplication); the rest is row-local."""
+    """All stages in order.  The deduplication shuffles, the rest is row-local (a small input is spread first)."""
     settings = settings or JobSettings()
-    return vector_payload_of(_chain(raw, settings))
+    return vector_payload_of(_chain(spread(raw), settings))
 
 
 def _chain(df: DataFrame, settings: JobSettings) -> DataFrame:
