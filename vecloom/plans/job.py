@@ -50,7 +50,8 @@ def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings) -> li
 
     All stages run as one pass; observations count the rows at their borders, so nothing
     is counted by an extra job or cached.  The pass has one duration, which every stage
-    reports.  The sink's count comes from the written files and holds even if tasks reran.
+    reports.  Observed counts can run high when lost executors make tasks run again; the
+    sink's count comes from the written files and is always exact.
     """
     started = time.time()
     df, seen = _counted(spread(raw), "ingest")

@@ -17,6 +17,7 @@ from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
 from vecloom.operators.partitioning import partition_by_range, rebalance
 from vecloom.schemas import vector_payload
+from vecloom.session import cut_lineage
 from vecloom.sources.corpus import spread
 
 
@@ -119,7 +120,10 @@ def vector_payload_of(df: DataFrame) -> DataFrame:
 
 
 def lay_out(df: DataFrame, settings: JobSettings) -> DataFrame:
-    """Arrange rows for the sink by the configured strategy."""
+    """Arrange rows for the sink by the configured strategy.
+
+    A range layout first samples its input, so that is written out instead of computed twice.
+    """
     if settings.strategy == "range":
-        return partition_by_range(df, settings.partition_key, settings.shards)
+        return partition_by_range(cut_lineage(df), settings.partition_key, settings.shards)
     return rebalance(df, settings.partition_key)

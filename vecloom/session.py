@@ -57,6 +57,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once; survives the loss of any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    It is computed once, survives the loss of any executor, and its readers get column
+    pruning and real sizes for the choice of joins.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

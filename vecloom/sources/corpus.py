@@ -56,6 +56,6 @@ def read_corpus(
 
 
 def corrupt_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line) of malformed JSON lines."""
+    """(file, document_id, line) of malformed JSON lines; the id is null unless it could be read."""
     rows = _json(spark, path).select(F.col("_metadata.file_path").alias("file"), "document_id", F.col(CORRUPT).alias("line"))
-    return rows.filter(F.col("line").isNotNull()).drop("document_id")
+    return rows.filter(F.col("line").isNotNull())
