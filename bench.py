@@ -84,10 +84,11 @@ def stage_rates(spark: SparkSession) -> dict[str, float]:
         rates[stage.__name__] = round(unit / run(result))
         df = done
     vectors = stages.vector_payload_of(df)
+    rows = df.count()
     write_dataset(stages.lay_out(vectors, settings), scratch_path(spark, "warm"))
     started = time.time()
     write_dataset(stages.lay_out(vectors, settings), scratch_path(spark, "sink"))
-    rates["sink"] = round(df.count() / (time.time() - started))
+    rates["sink"] = round(rows / (time.time() - started))
     return rates
 
 

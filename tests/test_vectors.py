@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vecloom.functions import vectors as V
+from vecloom.functions.packing import quantized
 from vecloom.operators import quality
 
 FLOAT = np.float32
@@ -66,13 +67,25 @@ def test_unknown_quantizer():
 
 
 @pytest.mark.parametrize("mode", ["dynamic", "fixed"])
-def test_packed_bytes(spark, frame, mode):
+@pytest.mark.parametrize("clip", [2.5, 0.7])
+def test_packed_bytes(spark, frame, mode, clip):
     v = F.col("v")
-    rows = frame.select(V.quantize(v, mode).alias("q"), V.pack_int8(V.quantize(v, mode)).alias("p"), V.quantize_packed(v, mode).alias("d")).collect()
+    packed = quantized(v, mode, clip)
+    both = frame.select("v", V.quantize(v, mode, clip).alias("q"), V.pack_int8(V.quantize(v, mode, clip)).alias("p"), packed.alias("k"))
+    for r in both.collect():
+        assert bytes(r.p) == np.array(r.q, np.int8).tobytes() == bytes(r.k.vector_int8)
+        assert r.k.l2_norm == pytest.approx(np.linalg.norm(r.v), rel=1e-6)
+    scales = frame.select(V.scale_factor(v, mode, clip).cast("float").alias("s"), packed["scale_factor"].alias("k"))
+    assert all(r.s == r.k for r in scales.collect())
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "fixed"])
+def test_packed_bytes_of_uneven_vectors(spark, mode):
+    df = edge(spark).coalesce(1)
+    rows = df.select("id", V.pack_int8(V.quantize(F.col("v"), mode)).alias("p"), quantized(F.col("v"), mode).alias("k")).collect()
     for r in rows:
-        assert bytes(r.p) == np.array(r.q, np.int8).tobytes() == bytes(r.d)
-    small = by_id(edge(spark).select("id", V.quantize_packed(v, mode).alias("p")))
-    assert small[0] == b"" and small[1] == b""
+        assert bytes(r.p) == bytes(r.k.vector_int8)
+    assert rows[0].p == b"" and rows[1].p == b""
 
 
 def test_unpack_reverses_pack(spark):
@@ -135,4 +148,4 @@ def test_cosine_expression(frame, matrix):
 
 
 def test_vector_functions_stay_in_the_jvm(frame, plan_of):
-    assert "Python" not in plan_of(restored(frame).select(V.quantize_packed(F.col("v")), "r"))
+    assert "Python" not in plan_of(restored(frame).select(V.pack_int8(V.quantize(F.col("v"))), "r"))

@@ -10,6 +10,7 @@ from vecloom.functions import vectors as V
 from vecloom.functions.binding import once
 from vecloom.functions.embedding import hashed_embedding
 from vecloom.functions.hashing import md5_hex, sha256_hex, shard_id
+from vecloom.functions.packing import quantized
 from vecloom.operators import partitioning, quality, search, sketches
 from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
@@ -257,7 +258,7 @@ def quantize_dynamic(spark, sf):
 
 
 def int8_bytes(spark, sf):
-    packed = embeddings(spark, sf).select("vec_id", V.quantize_packed(F.col("embedding")).alias("packed"))
+    packed = embeddings(spark, sf).select("vec_id", quantized(F.col("embedding"))["vector_int8"].alias("packed"))
     codes = V.unpack_int8(F.col("packed"))
     return packed.select("vec_id", F.hex("packed").alias("packed_hex"), F.array_join(codes.cast("array<string>"), ",").alias("codes"))
 
@@ -332,7 +333,7 @@ def dimension_compare(spark, sf):
 
 
 def storage_ratio(spark, sf):
-    packed = embeddings(spark, sf).select("embedding", V.quantize_packed(F.col("embedding")).alias("packed"))
+    packed = embeddings(spark, sf).select("embedding", quantized(F.col("embedding"))["vector_int8"].alias("packed"))
     return quality.storage_ratio(packed, "embedding", "packed")
 
 

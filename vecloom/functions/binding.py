@@ -20,8 +20,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def once(df, **columns: Column):
     """Add columns behind a one-row generator.
 
-    Filters on them stay above the generator, so an expensive expression runs in
-    one place instead of being copied into the filter and the projection.
+    Filters and expressions on them stay above the generator, so an expensive column runs
+    in one place instead of being copied into each of its uses.
     """
     fields = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select("*", F.explode(F.array(fields)).alias("_once")).select(

@@ -48,9 +48,13 @@ def fixed_scale(clip: float = CLIP) -> Column:
     return F.lit(clip / LEVELS)
 
 
-def scale_factor(vector: Column, mode: str = "dynamic", clip: float = CLIP) -> Column:
+def check_mode(mode: str) -> None:
     if mode not in ("dynamic", "fixed"):
         raise ValueError(f"unknown quantizer mode: {mode}")
+
+
+def scale_factor(vector: Column, mode: str = "dynamic", clip: float = CLIP) -> Column:
+    check_mode(mode)
     return dynamic_scale(vector, clip) if mode == "dynamic" else fixed_scale(clip)
 
 
@@ -80,15 +84,6 @@ def pack_int8(codes: Column) -> Column:
     return F.when(_nothing(codes), F.lit(b"")).otherwise(packed)
 
 
-def quantize_packed(vector: Column, mode: str = "dynamic", clip: float = CLIP) -> Column:
-    """``pack_int8(quantize(vector))`` in one pass over the vector."""
-    packed = let(
-        scale_factor(vector, mode, clip),
-        lambda scale: F.unhex(F.array_join(F.transform(vector, lambda x: _byte_hex(_code(x, scale, mode, clip))), "")),
-    )
-    return F.when(_nothing(vector), F.lit(b"")).otherwise(packed)
-
-
 def unpack_int8(packed: Column) -> Column:
     def signed(digits: Column, at: Column) -> Column:
         return F.pmod(F.conv(F.substr(digits, 2 * at - 1, F.lit(2)), 16, 10).cast("int") + 128, F.lit(256)) - 128

@@ -11,8 +11,9 @@ from vecloom.functions.binding import once
 from vecloom.functions.chunks import check_window
 from vecloom.functions.embedding import hashed_embedding
 from vecloom.functions.hashing import sha256_hex, shard_id
+from vecloom.functions.packing import quantized
 from vecloom.functions.text import clean_text, nonblank, split_word_count
-from vecloom.functions.vectors import l2_norm, quantize_packed, scale_factor
+from vecloom.functions.vectors import l2_norm
 from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
 from vecloom.operators.partitioning import partition_by_range, rebalance
@@ -77,24 +78,22 @@ def chunk_and_explode(df: DataFrame, settings: JobSettings) -> DataFrame:
 
 
 def embed_and_normalize(df: DataFrame, settings: JobSettings) -> DataFrame:
-    return df.withColumn("vector_fp32", hashed_embedding(F.col("chunk_content"), settings.dim, settings.normalize_l2))
+    return once(df, vector_fp32=hashed_embedding(F.col("chunk_content"), settings.dim, settings.normalize_l2))
 
 
 def quantize_and_shard(df: DataFrame, settings: JobSettings) -> DataFrame:
+    """INT8 codes with the scale they use, the norm of the stored vector, and the shard."""
     vector = F.col("vector_fp32")
     if settings.quantization == "INT8":
-        packed = quantize_packed(vector, settings.quantizer, settings.clip)
-        scale = scale_factor(vector, settings.quantizer, settings.clip)
+        df = df.withColumn("coded", quantized(vector, settings.quantizer, settings.clip)).select("*", "coded.*").drop("coded")
     else:
-        packed, scale = F.lit(None).cast("binary"), F.lit(1.0)
-    return df.select(
-        "*",
-        packed.alias("vector_int8"),
-        scale.cast("float").alias("scale_factor"),
-        F.lit(0).alias("zero_point"),
-        l2_norm(vector).cast("float").alias("l2_norm"),
-        shard_id(F.col("chunk_id"), settings.shards).alias("partition_id"),
-    )
+        df = df.select(
+            "*",
+            F.lit(None).cast("binary").alias("vector_int8"),
+            F.lit(1.0).cast("float").alias("scale_factor"),
+            l2_norm(vector).cast("float").alias("l2_norm"),
+        )
+    return df.select("*", F.lit(0).alias("zero_point"), shard_id(F.col("chunk_id"), settings.shards).alias("partition_id"))
 
 
 STAGES = (clean_and_hash, deduplicate, chunk_and_explode, embed_and_normalize, quantize_and_shard)

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PLAIN = ("chunk_content", "vector_fp32.list.element", "vector_int8")
+
 
 def write_dataset(
     df: DataFrame,
@@ -14,10 +16,18 @@ def write_dataset(
     mode: str = "overwrite",
     compression: str = "snappy",
     row_group_mb: int = 64,
+    plain: tuple[str, ...] = PLAIN,
 ) -> None:
-    """One directory per shard.  Lay rows out by shard first (``rebalance`` or a repartition)."""
+    """One directory per shard.  Lay rows out by shard first (``rebalance`` or a repartition).
+
+    ``plain`` columns (Parquet paths) skip the dictionary, which costs time and saves
+    nothing on values that hardly repeat.
+    """
     writer = df.write.mode(mode).partitionBy(key).option("compression", compression)
-    writer.option("parquet.block.size", row_group_mb * 1024 * 1024).parquet(path)
+    writer = writer.option("parquet.block.size", row_group_mb * 1024 * 1024)
+    for column in plain:
+        writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
+    writer.parquet(path)
 
 
 def dataset_summary(spark: SparkSession, path: str, listed: int = 10) -> DataFrame:
