@@ -67,7 +67,7 @@ def test_settings_are_checked():
 def test_cleaning_runs_once_and_one_shuffle(spark, settings, plan_of):
     raw = read_corpus(spark, settings.input_path).repartition(64)
     plan = plan_of(transform_all(raw, settings))
-    assert plan.count("[_nfkc_batch") == 1 and plan.count("[embed(") == 1 and plan.count("[quantize(") == 1
+    assert plan.count("[_unicode_batch") == 1 and plan.count("[embed(") == 1 and plan.count("[quantize(") == 1
     assert plan.count("Exchange hashpartitioning") == 1
     cleaned = plan_of(clean_and_hash(raw, settings))
     assert cleaned.count("<[^>]+>") == 1

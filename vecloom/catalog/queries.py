@@ -120,7 +120,7 @@ def doc_counts(spark, sf):
 
 
 def min_words(spark, sf):
-    return clean_and_hash(documents(spark, sf), JobSettings()).select("document_id", "word_count")
+    return clean_and_hash(spread(documents(spark, sf)), JobSettings()).select("document_id", "word_count")
 
 
 # --- text ------------------------------------------------------------------------
@@ -365,7 +365,7 @@ def shard_distribution(spark, sf):
 
 
 def transform_chunks(spark, sf):
-    return transform_all(documents(spark, sf)).select(
+    return transform_all(spread(documents(spark, sf))).select(
         "chunk_id",
         "document_id",
         "source",
@@ -382,7 +382,7 @@ def transform_chunks(spark, sf):
 
 
 def transform_vectors(spark, sf):
-    return transform_all(documents(spark, sf)).select(
+    return transform_all(spread(documents(spark, sf))).select(
         "chunk_id",
         F.md5(F.hex("vector_int8")).alias("codes_md5"),
         F.round(F.col("scale_factor").cast("double"), 8).alias("scale_factor"),
@@ -393,7 +393,7 @@ def transform_vectors(spark, sf):
 
 def _run(spark, sf):
     settings = JobSettings(output_path=scratch_path(spark, "vectors"))
-    return run_stages(spark, documents(spark, sf), settings)
+    return run_stages(spark, spread(documents(spark, sf)), settings)
 
 
 def stage_counts(spark, sf):

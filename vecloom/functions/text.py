@@ -28,6 +28,7 @@ MARKDOWN_SYMBOLS = r"[*_~`#>]"
 BLANK_RUN = r"[ \t]+"
 NEWLINE_RUN = r"\n{3,}"
 STRIPPED = " \n\r\t"
+ASCII_CONTROLS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
 # Symbols turn into blanks and runs of blanks then collapse; one pass does both.
 SYMBOL_OR_BLANK_RUN = r"[*_~`#> \t]+"
@@ -85,6 +86,29 @@ def drop_nonprintable(text: Column) -> Column:
     return F.regexp_replace(text, nonprintable(), "")
 
 
+def _unicode_batch(texts: pa.Array) -> pa.Array:
+    """NFKC without nonprintable characters where that differs from the text, else null."""
+    normal, is_normal = unicodedata.normalize, unicodedata.is_normalized
+
+    def change(text: str | None) -> str | None:
+        if text is None:
+            return None
+        clean = text if is_normal("NFKC", text) else normal("NFKC", text)
+        if not clean.replace("\n", "").replace("\t", "").replace("\r", "").isprintable():
+            clean = "".join([c for c in clean if c.isprintable() or c in "\n\t\r"])
+        return None if clean == text else clean
+
+    return pa.array([change(t) for t in texts.to_pylist()], pa.string())
+
+
+def printable_nfkc(text: Column) -> Column:
+    """``drop_nonprintable(nfkc(text))``: the texts that visit Python for NFKC lose their
+    nonprintable characters there, which leaves the JVM only the ASCII controls."""
+    change = F.arrow_udf(_unicode_batch, T.StringType())
+    beyond_ascii = F.octet_length(text) > F.length(text)
+    return F.regexp_replace(F.coalesce(change(F.when(beyond_ascii, text)), text), ASCII_CONTROLS, "")
+
+
 def strip_html(text: Column) -> Column:
     return F.regexp_replace(text, HTML_TAG, " ")
 
@@ -111,7 +135,7 @@ def strip_ends(text: Column) -> Column:
 
 def clean_text(text: Column, lowercase: bool = False) -> Column:
     """The whole cleaning chain; null gives the empty string."""
-    cleaned = unlink_markdown(strip_html(drop_nonprintable(nfkc(text))))
+    cleaned = unlink_markdown(strip_html(printable_nfkc(text)))
     cleaned = F.regexp_replace(cleaned, SYMBOL_OR_BLANK_RUN, " ")
     cleaned = strip_ends(collapse_newlines(cleaned))
     if lowercase:

@@ -54,7 +54,7 @@ def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings) -> li
     sink's count comes from the written files and is always exact.
     """
     started = time.time()
-    df, seen = _counted(spread(raw), "ingest")
+    df, seen = _counted(raw, "ingest")
     borders = [("ingest", seen)]
     for stage in STAGES:
         df = stage(df, settings)
@@ -88,7 +88,7 @@ def run_job(spark: SparkSession, settings: JobSettings, report_path: str | None
     metrics: list[dict] = []
     errors: list[str] = []
     try:
-        raw = read_corpus(spark, settings.input_path, settings.max_records)
+        raw = spread(read_corpus(spark, settings.input_path, settings.max_records))
         metrics = run_stages(spark, raw, settings)
     except Exception as failure:  # every failure belongs in the report
         metrics, errors = [], [str(failure)]

@@ -25,7 +25,8 @@ def cap_records(df: DataFrame, max_records: int, id_column: str = "document_id")
 def spread(df: DataFrame, id_column: str = "document_id") -> DataFrame:
     """Give every core work when a small input arrives in fewer splits than there are cores.
 
-    A large scan has far more splits than cores and is left as it is.
+    For a plain scan, whose splits are known without running anything.  A large scan has far
+    more splits than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= 2 * cores:

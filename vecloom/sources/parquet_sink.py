@@ -41,9 +41,13 @@ def dataset_summary(spark: SparkSession, path: str, listed: int = 10) -> DataFra
     except AnalysisException as missing:
         return spark.createDataFrame([(0, 0, [], [], str(missing.getCondition()))], shape)
     files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
-    totals = files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_records"), F.count("*").alias("file_count"))
-    names = files.orderBy("file").limit(listed).agg(F.sort_array(F.collect_list("file")).alias("parquet_files"))
-    fields = F.array(*[F.lit(c) for c in df.columns]).alias("schema_fields")
-    # both sides are single-row aggregates
-    joined = totals.withColumn("one", F.lit(1)).join(names.withColumn("one", F.lit(1)), "one")
-    return joined.select("total_records", "file_count", fields, "parquet_files", F.lit(None).cast("string").alias("error"))
+    nothing = F.lit(None).cast("string")
+    counted = files.agg(F.sum("rows").alias("rows"), F.count("*").alias("files")).withColumn("file", nothing)
+    first = files.orderBy("file").limit(listed).select(F.lit(0).alias("rows"), F.lit(0).alias("files"), "file")
+    return counted.unionByName(first).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_records"),
+        F.sum("files").alias("file_count"),
+        F.array(*[F.lit(c) for c in df.columns]).alias("schema_fields"),
+        F.sort_array(F.collect_list("file")).alias("parquet_files"),
+        nothing.alias("error"),
+    )
