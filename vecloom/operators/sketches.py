@@ -31,12 +31,12 @@ def simhash(df: DataFrame, tokens: Column, id_column: str = "document_id") -> Da
     that combine on the map side.
     """
     hashed = _tokens(df, tokens, id_column).select(id_column, token_hash64(F.col("token")).alias("h"))
-    lanes = (1 << 32) | 1
-    sums = [F.expr(f"coalesce(sum(shiftrightunsigned(h, {j}) & {lanes}L), 0L) AS lane{j}") for j in range(32)]
-    counted = hashed.groupBy(id_column).agg(F.count("h").alias("n"), *sums)
-    low = [f"shiftleft(cast((lane{j} & 4294967295L) * 2 > n AS bigint), {j})" for j in range(32)]
-    high = [f"shiftleft(cast(shiftrightunsigned(lane{j}, 32) * 2 > n AS bigint), {j + 32})" for j in range(32)]
-    return counted.select(id_column, F.expr(" | ".join(low + high)).alias("simhash"))
+    bits = []
+    for j in range(32):
+        lanes = f"coalesce(sum(shiftrightunsigned(h, {j}) & {(1 << 32) | 1}L), 0L)"
+        bits.append(f"shiftleft(cast(({lanes} & 4294967295L) * 2 > count(h) AS bigint), {j})")
+        bits.append(f"shiftleft(cast(shiftrightunsigned({lanes}, 32) * 2 > count(h) AS bigint), {j + 32})")
+    return hashed.groupBy(id_column).agg(F.expr(" | ".join(bits)).alias("simhash"))
 
 
 def permutations(count: int = 64, seed: int = 42) -> list[tuple[int, int]]:
@@ -62,9 +62,8 @@ def minhash(df: DataFrame, tokens: Column, id_column: str = "document_id", num_p
     """(id, signature): per permutation the smallest value over the token set; zeros without tokens."""
     distinct = F.array_distinct(tokens)
     hashed = _tokens(df, distinct, id_column).select(id_column, token_hash32(F.col("token")).alias("h"))
-    mins = [F.expr(f"coalesce(min({_permute(a, b)}), 0L) AS m{i}") for i, (a, b) in enumerate(permutations(num_perm, seed))]
-    grouped = hashed.groupBy(id_column).agg(*mins)
-    return grouped.select(id_column, F.array(*[f"m{i}" for i in range(num_perm)]).alias("signature"))
+    mins = [f"coalesce(min({_permute(a, b)}), 0L)" for a, b in permutations(num_perm, seed)]
+    return hashed.groupBy(id_column).agg(F.expr(f"array({', '.join(mins)})").alias("signature"))
 
 
 def jaccard_estimate(a: Column, b: Column) -> Column:
@@ -104,21 +103,21 @@ class Positions:
             for p in block:
                 masks[self.words[p * self.width // 64]] |= ((1 << self.width) - 1) << (p * self.width % 64)
             signed = {w: m - (1 << 64) if m >> 63 else m for w, m in masks.items() if m}
-            keys.append(F.xxhash64(*[F.col(w).bitwiseAND(F.lit(m)) for w, m in signed.items()]))
-        return F.array(*keys)
+            keys.append(f"xxhash64({', '.join(f'{w} & {m}L' for w, m in signed.items())})")
+        return F.expr(f"array({', '.join(keys)})")
 
     def differing(self, left: str, right: str) -> Column:
         """Number of positions in which two aliased rows differ."""
 
-        def count(word: str) -> Column:
-            x = F.col(f"{left}.{word}").bitwiseXOR(F.col(f"{right}.{word}"))
+        def count(word: str) -> str:
+            x = f"({left}.{word} ^ {right}.{word})"
             if self.width == 1:
-                return F.bit_count(x)
+                return f"bit_count({x})"
             for shift in (4, 2, 1):  # fold the eight bits of each byte into its lowest one
-                x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-            return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+                x = f"({x} | shiftrightunsigned({x}, {shift}))"
+            return f"bit_count({x} & {0x0101010101010101}L)"
 
-        return reduce(lambda a, b: a + b, [count(w) for w in self.words])
+        return F.expr(" + ".join(count(w) for w in self.words))
 
 
 def bucketed(classes: DataFrame, positions: Positions, hot: int = HOT_BUCKET, levels: int = 3) -> DataFrame:
@@ -181,8 +180,8 @@ def _minhash_words(classes: DataFrame, positions: Positions) -> DataFrame:
     """Keep the low byte of each signature value, eight to a word: equal values have equal bytes."""
     words = []
     for i, name in enumerate(positions.words):
-        bytes_ = [F.shiftleft(F.col("signature")[8 * i + j].bitwiseAND(F.lit(0xFF)), 8 * j) for j in range(8)]
-        words.append(reduce(lambda a, b: a.bitwiseOR(b), bytes_).alias(name))
+        bytes_ = [f"shiftleft(signature[{8 * i + j}] & 255L, {8 * j})" for j in range(8)]
+        words.append(F.expr(" | ".join(bytes_)).alias(name))
     return classes.select("id", *words)
 
 
