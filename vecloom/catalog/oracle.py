@@ -167,6 +167,8 @@ STAGES = (
 
 ORACLE = {
     "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category FROM documents",
+    "json_scan": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category,
+  '2000-01-01T00:00:00+00:00' AS "timestamp" FROM documents""",
     "raw_defaults": """SELECT CAST(page_id AS VARCHAR) AS document_id, html AS content, 'unknown' AS source, 'general' AS category,
   '2000-01-01T00:00:00+00:00' AS "timestamp", 0 AS metadata_size FROM pages""",
     "capped_corpus": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category

@@ -63,6 +63,13 @@ def corpus_scan(spark, sf):
     return documents(spark, sf).select("document_id", "content", "source", "category")
 
 
+def json_scan(spark, sf):
+    """The documents written as JSON lines and read back under the fixed schema."""
+    path = scratch_path(spark, "lines")
+    corpus_scan(spark, sf).write.json(path)
+    return read_corpus(spark, path, ingested_at=INGESTED_AT).select("document_id", "content", "source", "category", "timestamp")
+
+
 def raw_defaults_query(spark, sf):
     renamed = pages(spark, sf).select(F.col("page_id").alias("document_id"), F.col("html").alias("content"))
     filled = raw_defaults(renamed, INGESTED_AT)
@@ -429,6 +436,7 @@ def audit_report(spark, sf):
 
 QUERIES = {
     "corpus_scan": corpus_scan,
+    "json_scan": json_scan,
     "raw_defaults": raw_defaults_query,
     "capped_corpus": capped_corpus,
     "sink_roundtrip": sink_roundtrip,

@@ -266,6 +266,7 @@ def near_dedup(
     max_distance: int = 3,
     threshold: float = 0.8,
     id_column: str = "document_id",
+    num_perm: int = 64,
     hot: int = HOT_BUCKET,
 ) -> DataFrame:
     """Rows of ``df`` without a near-duplicate of smaller id (single hop).
@@ -280,7 +281,6 @@ def near_dedup(
         kept = _survivors(classes, words, positions, hot, lambda pairs: pairs)
     elif method == "minhash":
         classes = cut_lineage(_minhash_classes(sketches, id_column))
-        num_perm = len(permutations())
         positions = _minhash_positions(num_perm, threshold)
         words = _minhash_words(classes, positions)
         kept = _survivors(classes, words, positions, hot, lambda pairs: _estimated(pairs, classes, threshold))

@@ -56,9 +56,12 @@ class JobSettings:
 
 
 def clean_and_hash(df: DataFrame, settings: JobSettings) -> DataFrame:
-    """Drop blank texts, clean, hash, count, and drop texts with too few words."""
+    """Drop blank texts, clean, hash, count, and drop texts with too few words.
+
+    The raw text and the timestamp end here: nothing later needs them in its shuffle.
+    """
     cleaned = clean_text(F.col("content"), settings.lowercase)
-    df = once(df.filter(nonblank(F.col("content"))), cleaned_content=cleaned).drop("content")
+    df = once(df.filter(nonblank(F.col("content"))), cleaned_content=cleaned).drop("content", "timestamp")
     return df.select(
         "*",
         sha256_hex(F.col("cleaned_content")).alias("content_hash"),
