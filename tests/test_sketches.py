@@ -198,6 +198,26 @@ def test_sketches_stay_in_the_jvm_and_combine_before_the_shuffle(tokens, plan_of
         assert "Python" not in plan and plan.count("Exchange hashpartitioning") == 1 and "partial_" in plan
 
 
+def test_pair_search_joins_on_buckets_and_shuffles_them_once(spark, fingerprints, plan_of):
+    df = spark.createDataFrame(fingerprints, "document_id string, simhash bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = S.simhash_pairs(df, 3)
+        pairs.collect()
+        plan = plan_of(pairs).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "ReusedExchange [bucket" in plan
+
+
+def test_a_group_of_copies_stays_one_class(spark):
+    rows = spark.range(0, 200000, 1, 8).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("document_id"), F.lit(5).cast("bigint").alias("simhash"))
+    assert S.simhash_pairs(rows).count() == 0
+    assert [r.document_id for r in S.near_dedup(rows, rows).collect()] == ["000000"]
+
+
 def test_unknown_method(spark, tokens):
     with pytest.raises(ValueError):
         S.near_dedup(tokens, tokens, "other")

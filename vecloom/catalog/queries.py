@@ -150,11 +150,11 @@ def clean_text_lower(spark, sf):
 
 
 def clean_pages(spark, sf):
-    return pages(spark, sf).select("page_id", T.clean_text(F.col("html")).alias("cleaned"))
+    return spread(pages(spark, sf), "page_id").select("page_id", T.clean_text(F.col("html")).alias("cleaned"))
 
 
 def clean_conversations(spark, sf):
-    return conversations(spark, sf).select("conv_id", "turn", T.clean_text(F.col("text")).alias("cleaned"))
+    return spread(conversations(spark, sf), "conv_id").select("conv_id", "turn", T.clean_text(F.col("text")).alias("cleaned"))
 
 
 def tokenize(spark, sf):
@@ -245,7 +245,7 @@ def embed_norm(spark, sf):
 
 
 def embed_dense(spark, sf):
-    turns = conversations(spark, sf).select("conv_id", "turn", hashed_embedding(F.col("text")).alias("v"))
+    turns = spread(conversations(spark, sf), "conv_id").select("conv_id", "turn", hashed_embedding(F.col("text")).alias("v"))
     slots = turns.select("conv_id", "turn", F.posexplode("v").alias("slot", "value")).filter(F.col("value") != 0)
     return slots.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
