@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index
+from vecloom.llm import decontamination, digest_index, licenses, packing, token_files, warc
+from vecloom.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def token_files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files.read(token_files.write(docs, scratch_path(spark, "planes"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = digest_index.decide(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -25,11 +45,23 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": best_fit_packing,
     "op3_exact_dedup": exact_dedup,
+    "op4_license_scan": license_scan,
+    "op5_warc": warc_round_trip,
     "op6_decontamination": decontaminate,
+    "op7_token_files": token_files_round_trip,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        g AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to, true AS intact
+        FROM p JOIN g USING (payload_digest)
+    """,
     "op3_exact_dedup": """
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
