@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index, licenses, ngram_join, packing, token_files, warc
+from vecloom.llm import decontamination, digest_index, licenses, ngram_join, packing, quality, token_files, toxicity, warc
 from vecloom.session import scratch_path
 
 
@@ -38,6 +38,14 @@ def token_files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(docs, scratch_path(spark, "planes"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = digest_index.decide(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -56,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": warc_round_trip,
     "op6_decontamination": decontaminate,
     "op7_token_files": token_files_round_trip,
+    "op9_toxicity": toxicity_scores,
+    "op10_quality_classifier": quality_scores,
 }
 
 ORACLE: dict[str, str] = {
