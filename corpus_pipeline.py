@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vecloom.llm import decontamination, digest_index
+from vecloom.llm import decontamination, digest_index, ngram_join, packing, toxicity
 from vecloom.session import cut_lineage
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text stays, the one with the smallest doc_id."""
     return digest_index.deduplicate(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id."""
+    return ngram_join.keep_one(docs)
+
+
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontamination.drop_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents left, with their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("toxic documents", toxic_documents),
     ("exact copies", exact_copies),
+    ("near copies", near_copies),
     ("benchmark leaks", benchmark_leaks),
+    ("packed sequences", packed_sequences),
 ]
 
 
