@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index, licenses, ngram_join, packing, quality, token_files, toxicity, warc
+from vecloom.llm import decontamination, digest_index, licenses, line_dedup, ngram_join, packing, quality, token_files, toxicity, warc
 from vecloom.session import scratch_path
 
 
@@ -38,6 +38,11 @@ def token_files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(docs, scratch_path(spark, "planes"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def line_dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.decide(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed_lines"))
+
+
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": warc_round_trip,
     "op6_decontamination": decontaminate,
     "op7_token_files": token_files_round_trip,
+    "op8_line_dedup": line_dedup_report,
     "op9_toxicity": toxicity_scores,
     "op10_quality_classifier": quality_scores,
 }
