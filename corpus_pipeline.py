@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.llm import decontamination, digest_index, ngram_join, packing, toxicity
+from vecloom.llm.queries import table
 from vecloom.session import cut_lineage
 
 
@@ -45,7 +46,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
