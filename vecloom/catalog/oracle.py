@@ -6,7 +6,7 @@ brute-force pairs instead of banding, one row per bit or permutation instead of
 
 from __future__ import annotations
 
-from vecloom.operators.sketches import PRIME, permutations
+import random
 
 
 def _clean(text: str) -> str:
@@ -104,13 +104,16 @@ near AS (
          CAST(bit_count(xor(a.sketch, b.sketch)) AS INT) AS hamming
   FROM classes a JOIN classes b ON a.id < b.id AND bit_count(xor(a.sketch, b.sketch)) <= 3)"""
 
-_PARAMS = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(permutations()))
+# Drawn here, from the definition: 64 factors, then 64 summands, below 2**32 + 15.
+_DRAW = random.Random(42)
+_FACTORS = [_DRAW.randint(1, 4294967310) for _ in range(64)]
+_PARAMS = ", ".join(f"({i}, {a}, {_DRAW.randint(0, 4294967310)})" for i, a in enumerate(_FACTORS))
 
 MINHASH = TOKENS + f""", hashed AS (
   SELECT DISTINCT document_id, ('0x' || substr(md5(token), 1, 8))::HUGEINT AS h FROM tokens),
 params(i, a, b) AS (VALUES {_PARAMS}),
 least_values AS (
-  SELECT document_id, i, CAST(min((a::HUGEINT * h + b::HUGEINT) % {PRIME}) AS BIGINT) AS value
+  SELECT document_id, i, CAST(min((a::HUGEINT * h + b::HUGEINT) % 4294967311) AS BIGINT) AS value
   FROM hashed, params GROUP BY ALL),
 everywhere AS (SELECT document_id, i FROM docs, params),
 signature AS (

@@ -3,67 +3,28 @@
 from __future__ import annotations
 
 import math
-import random
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.hashing import token_hash32, token_hash64
+from vecloom.functions.sketching import minhash_of, simhash_of
 from vecloom.session import cut_lineage
 
-# Fixed value: modulus of the MinHash permutations, 2**32 + 15.
-PRIME = 4294967311
-
+# Classes of a bucket that are compared in one unit of work.
 HOT_BUCKET = 256
+LEADER_ROUNDS = 3
 
 
-def _tokens(df: DataFrame, tokens: Column, id_column: str) -> DataFrame:
-    """One row per token; a document without tokens keeps one null row."""
-    return df.select(F.col(id_column), F.explode_outer(tokens).alias("token"))
-
-
-def simhash(df: DataFrame, tokens: Column, id_column: str = "document_id") -> DataFrame:
-    """(id, simhash): bit i is set iff more token hashes have it set than clear.
-
-    Two bit counters share one 64-bit sum (bits j and j+32), so a document is 32 sums
-    that combine on the map side.
-    """
-    hashed = _tokens(df, tokens, id_column).select(id_column, token_hash64(F.col("token")).alias("h"))
-    bits = []
-    for j in range(32):
-        lanes = f"coalesce(sum(shiftrightunsigned(h, {j}) & {(1 << 32) | 1}L), 0L)"
-        bits.append(f"shiftleft(cast(({lanes} & 4294967295L) * 2 > count(h) AS bigint), {j})")
-        bits.append(f"shiftleft(cast(shiftrightunsigned({lanes}, 32) * 2 > count(h) AS bigint), {j + 32})")
-    return hashed.groupBy(id_column).agg(F.expr(" | ".join(bits)).alias("simhash"))
-
-
-def permutations(count: int = 64, seed: int = 42) -> list[tuple[int, int]]:
-    """(a, b) of h -> (a*h + b) mod PRIME; all a are drawn before all b."""
-    rng = random.Random(seed)
-    a = [rng.randint(1, PRIME - 1) for _ in range(count)]
-    b = [rng.randint(0, PRIME - 1) for _ in range(count)]
-    return list(zip(a, b))
-
-
-def _permute(a: int, b: int) -> str:
-    """(a*h + b) mod PRIME for h < 2**32 without leaving 64 bits, as an SQL expression.
-
-    h = high*2**16 + low, and a*high = u1*2**16 + u0; then a*high*2**16 is
-    u1*2**32 + u0*2**16, where 2**32 is -15 modulo PRIME.
-    """
-    u = f"(shiftrightunsigned(h, 16) * {a}L)"
-    shift = b + 32 * PRIME  # keeps the sum positive
-    return f"((h & 65535L) * {a}L + ({u} & 65535L) * 65536L - shiftrightunsigned({u}, 16) * 15L + {shift}L) % {PRIME}L"
+def simhash(df: DataFrame, tokens: Column, id_column: str = "document_id", bit_length: int = 64) -> DataFrame:
+    """(id, simhash) of every row; rows of equal id stay apart."""
+    return df.select(id_column, simhash_of(tokens, bit_length).alias("simhash"))
 
 
 def minhash(df: DataFrame, tokens: Column, id_column: str = "document_id", num_perm: int = 64, seed: int = 42) -> DataFrame:
-    """(id, signature): per permutation the smallest value over the token set; zeros without tokens."""
-    distinct = F.array_distinct(tokens)
-    hashed = _tokens(df, distinct, id_column).select(id_column, token_hash32(F.col("token")).alias("h"))
-    mins = [f"coalesce(min({_permute(a, b)}), 0L)" for a, b in permutations(num_perm, seed)]
-    return hashed.groupBy(id_column).agg(F.expr(f"array({', '.join(mins)})").alias("signature"))
+    """(id, signature) of every row; rows of equal id stay apart."""
+    return df.select(id_column, minhash_of(tokens, num_perm, seed).alias("signature"))
 
 
 def jaccard_estimate(a: Column, b: Column) -> Column:
@@ -87,11 +48,11 @@ class Positions:
 
     @property
     def words(self) -> list[str]:
-        return [f"word{i}" for i in range(max(1, self.count * self.width // 64))]
+        return [f"word{i}" for i in range(-(-self.count * self.width // 64))]
 
     def blocks(self, level: int) -> list[list[int]]:
         """Cut number ``level``: neighbours in the order p -> p*stride mod count share a block."""
-        stride = (1, 11, 27, 43)[level]
+        stride = next(s for s in range((1, 11, 27, 43)[level], 100) if math.gcd(s, self.count) == 1)
         order = sorted(range(self.count), key=lambda p: p * stride % self.count)
         cuts = [self.count * i // (self.allowed + 1) for i in range(self.allowed + 2)]
         return [order[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -145,12 +106,37 @@ def bucketed(classes: DataFrame, positions: Positions, hot: int = HOT_BUCKET, le
     return reduce(DataFrame.unionByName, [*settled, rows])
 
 
-def candidate_pairs(buckets: DataFrame, positions: Positions) -> DataFrame:
+def units(buckets: DataFrame, limit: int = HOT_BUCKET) -> DataFrame:
+    """Buckets as units of work: a bucket over ``limit`` becomes blocks of about that size, and its units are the pairs of blocks.
+
+    Adds ``unit``, ``block`` and ``lone``. Two rows of a bucket meet in the unit of their two
+    blocks; rows of one block only in that block's ``lone`` unit. So no unit holds more than
+    about ``2 * limit`` rows, and every pair is met.
+    """
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    dense = cut_lineage(sizes.filter(F.col("size") > limit).select("bucket", F.ceil(F.col("size") / limit).alias("blocks")))
+    whole = (F.xxhash64("bucket").alias("unit"), F.lit(0).cast("bigint").alias("block"), F.lit(True).alias("lone"))
+    if dense.isEmpty():
+        return buckets.select("*", *whole)
+    easy = buckets.join(dense, "bucket", "left_anti").select(*buckets.columns, *whole)
+    cut = buckets.join(dense, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    unit = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
+    hard = met.select(*buckets.columns, unit.alias("unit"), "block", (F.col("block") == F.col("other")).alias("lone"))
+    return easy.unionByName(hard)
+
+
+def _together(a: str, b: str) -> Column:
+    """Two rows meet in this unit and in no other of their bucket."""
+    same = (F.col(f"{a}.unit") == F.col(f"{b}.unit")) & (F.col(f"{a}.bucket") == F.col(f"{b}.bucket"))
+    return same & ((F.col(f"{a}.block") != F.col(f"{b}.block")) | (F.col(f"{a}.lone") & F.col(f"{b}.lone")))
+
+
+def candidate_pairs(buckets: DataFrame, positions: Positions, limit: int = HOT_BUCKET) -> DataFrame:
     """Distinct (id_a, id_b), id_a < id_b, whose sketches differ in at most ``allowed`` positions."""
-    a, b = buckets.alias("a"), buckets.alias("b")
-    close = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id"))
-    close &= positions.differing("a", "b") <= positions.allowed
-    return a.join(b, close).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    met = units(buckets, limit)
+    close = _together("a", "b") & (F.col("a.id") < F.col("b.id")) & (positions.differing("a", "b") <= positions.allowed)
+    return met.alias("a").join(met.alias("b"), close).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
 def _simhash_classes(fingerprints: DataFrame, id_column: str) -> DataFrame:
@@ -171,8 +157,6 @@ def _needed(num_perm: int, threshold: float) -> int:
 
 
 def _minhash_positions(num_perm: int, threshold: float) -> Positions:
-    if num_perm % 8:
-        raise ValueError("num_perm must be a multiple of 8")
     return Positions(count=num_perm, width=8, allowed=num_perm - _needed(num_perm, threshold))
 
 
@@ -180,15 +164,25 @@ def _minhash_words(classes: DataFrame, positions: Positions) -> DataFrame:
     """Keep the low byte of each signature value, eight to a word: equal values have equal bytes."""
     words = []
     for i, name in enumerate(positions.words):
-        bytes_ = [f"shiftleft(signature[{8 * i + j}] & 255L, {8 * j})" for j in range(8)]
+        bytes_ = [f"shiftleft(signature[{8 * i + j}] & 255L, {8 * j})" for j in range(min(8, positions.count - 8 * i))]
         words.append(F.expr(" | ".join(bytes_)).alias(name))
     return classes.select("id", *words)
 
 
 def representatives(sketches: DataFrame, sketch_column: str, id_column: str = "document_id") -> DataFrame:
-    """(id, representative): the smallest id with the same sketch."""
-    smallest = sketches.groupBy(sketch_column).agg(F.min(id_column).alias("representative"))
-    return sketches.join(smallest, sketch_column).select(id_column, "representative")
+    """(id, representative): the smallest id with the same sketch.
+
+    Sketches of more than a thousandth of the rows are fewer than a thousand: these are
+    broadcast, and their rows (all texts without tokens, say) do not meet in one task.
+    """
+    rows = cut_lineage(sketches.select(id_column, sketch_column))
+    smallest = cut_lineage(rows.groupBy(sketch_column).agg(F.min(id_column).alias("representative"), F.count(F.lit(1)).alias("copies")))
+    total = rows.count()
+    often = smallest.filter(F.col("copies") * 1000 > total)
+    met = rows.join(F.broadcast(often), sketch_column)
+    rest = rows.join(F.broadcast(often.select(sketch_column)), sketch_column, "left_anti")
+    rest = rest.join(smallest.filter(F.col("copies") * 1000 <= total), sketch_column)
+    return met.unionByName(rest).select(id_column, "representative")
 
 
 def simhash_pairs(
@@ -202,7 +196,7 @@ def simhash_pairs(
     """
     positions = _simhash_positions(max_distance)
     classes = cut_lineage(_simhash_classes(fingerprints, id_column))
-    pairs = candidate_pairs(bucketed(classes.withColumn("word0", F.col("simhash")), positions, hot), positions)
+    pairs = candidate_pairs(bucketed(classes.withColumn("word0", F.col("simhash")), positions, hot), positions, hot)
     a = classes.select(F.col("id").alias("id_a"), F.col("simhash").alias("hash_a"), F.col("copies").alias("copies_a"))
     b = classes.select(F.col("id").alias("id_b"), F.col("simhash").alias("hash_b"), F.col("copies").alias("copies_b"))
     distance = F.bit_count(F.col("hash_a").bitwiseXOR(F.col("hash_b"))).alias("hamming")
@@ -233,29 +227,37 @@ def minhash_pairs(
     """
     positions = _minhash_positions(num_perm, threshold)
     classes = cut_lineage(_minhash_classes(signatures, id_column))
-    pairs = candidate_pairs(bucketed(_minhash_words(classes, positions), positions, hot), positions)
+    pairs = candidate_pairs(bucketed(_minhash_words(classes, positions), positions, hot), positions, hot)
     return _estimated(pairs, classes, threshold)
 
 
 def _survivors(classes: DataFrame, sketches: DataFrame, positions: Positions, hot: int, confirm) -> DataFrame:
     """Ids of classes without a smaller-id class in reach, never listing all pairs.
 
-    Each row first meets only the smallest id of its bucket, which settles the members of a
-    dense group at one comparison each; only rows that stay open meet the rest of their
-    buckets.  ``confirm`` keeps the (id_a, id_b) that really are near.
+    Each row first meets only the smallest id of its bucket, then the next one, which settles
+    the members of a dense group at one comparison each; only rows that stay open after
+    LEADER_ROUNDS meet the rest of their buckets, in units of bounded size.  ``confirm`` keeps the (id_a, id_b) that really are near.
     """
     buckets = cut_lineage(bucketed(sketches, positions, hot))
-    first = buckets.groupBy("bucket").agg(F.min(F.struct("id", *positions.words)).alias("first"))
-    first = first.select("bucket", "first.*")
     near = positions.differing("a", "b") <= positions.allowed
-    smaller = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id"))
+    smaller = F.col("a.id") < F.col("b.id")
     ids = [F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")]
-
-    by_first = first.alias("a").join(buckets.alias("b"), smaller & near).select(*ids).distinct()
-    settled = cut_lineage(confirm(by_first).select(F.col("id_b").alias("id")).distinct())
-    still_open = buckets.join(settled, "id", "left_anti")
-    by_others = buckets.alias("a").join(still_open.alias("b"), smaller & near).select(*ids).distinct()
-    dropped = settled.unionByName(confirm(by_others).select(F.col("id_b").alias("id")))
+    settled, leading = None, buckets
+    for _ in range(LEADER_ROUNDS):
+        first = leading.groupBy("bucket").agg(F.min(F.struct("id", *positions.words)).alias("first")).select("bucket", "first.*")
+        still_open = buckets if settled is None else buckets.join(settled, "id", "left_anti")
+        by_first = first.alias("a").join(still_open.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & smaller & near).select(*ids)
+        found = cut_lineage(confirm(by_first.distinct()).select(F.col("id_b").alias("id")).distinct())
+        if found.isEmpty():
+            break
+        settled = found if settled is None else cut_lineage(settled.unionByName(found))
+        # who has led its bucket does not lead it again
+        leading = leading.join(first.select("bucket", "id"), ["bucket", "id"], "left_anti")
+    met = units(buckets, hot)
+    asking = met if settled is None else met.join(settled, "id", "left_anti")
+    by_others = met.alias("a").join(asking.alias("b"), _together("a", "b") & smaller & near).select(*ids).distinct()
+    dropped = confirm(by_others).select(F.col("id_b").alias("id"))
+    dropped = dropped if settled is None else settled.unionByName(dropped)
     return classes.select("id").join(dropped, "id", "left_anti")
 
 
