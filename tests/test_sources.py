@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vecloom.schemas import RAW, VECTOR, raw_defaults
 from vecloom.session import build_session, cut_lineage, scratch_path, shared_folder
 from vecloom.sources.collection import upsert, upsert_collection
-from vecloom.sources.corpus import corrupt_records, read_corpus, spread
+from vecloom.sources.corpus import corrupt_records, read_corpus, rejected_records, spread
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 
 
@@ -52,7 +52,22 @@ def test_parquet_corpus_with_renamed_columns(spark, tmp_path):
 def test_parquet_scan_reads_only_needed_columns(spark, tmp_path, plan_of):
     path = str(tmp_path / "in.parquet")
     spark.createDataFrame([("7", "x", "s", 1)], "document_id string, content string, source string, extra int").write.parquet(path)
-    assert "ReadSchema: struct<document_id:string>" in plan_of(read_corpus(spark, path).select("document_id"))
+    # the content is read, as a row without it is rejected
+    assert "ReadSchema: struct<document_id:string,content:string>" in plan_of(read_corpus(spark, path).select("document_id"))
+
+
+def test_every_row_is_read_or_rejected(spark, tmp_path):
+    rows = [("a", "x"), (None, "y"), ("b", None), (None, None), ("a", "x")]
+    stored, lines = str(tmp_path / "in.parquet"), tmp_path / "in.jsonl"
+    spark.createDataFrame(rows, "document_id string, content string").write.parquet(stored)
+    spark.createDataFrame(rows, "document_id string, content string").coalesce(1).write.json(str(lines))
+    (lines / "more.json").write_text('{"document_id": "c", "conte\n')
+    for path, broken in ((stored, 0), (str(lines), 1)):
+        assert sorted(r.document_id for r in read_corpus(spark, path).collect()) == ["a", "a"]
+        found = rejected_records(spark, path).collect()
+        assert sorted(r.reason for r in found) == ["malformed"] * broken + ["no content", "no id", "no id"]
+        assert len(corrupt_records(spark, path).collect()) == broken
+        assert any('"content":"y"' in r.line for r in found)
 
 
 def test_record_cap_goes_by_id(spark, jsonl):
@@ -67,8 +82,9 @@ def test_defaults_fill_nulls(spark):
 
 def test_spread_leaves_large_scans_alone(spark):
     small, large = spark.range(0, 10, 1, 1), spark.range(0, 1000, 1, 64)
-    assert spread(small, "id").rdd.getNumPartitions() == 16
-    assert spread(large, "id") is large
+    assert spread(small).rdd.getNumPartitions() == 16
+    assert spread(large) is large
+    assert spread(small, max_bytes=10) is small
 
 
 def shards(spark):

@@ -172,14 +172,20 @@ ORACLE = {
     "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category FROM documents",
     "json_scan": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category,
   '2000-01-01T00:00:00+00:00' AS "timestamp" FROM documents""",
+    "rejected_records": """WITH d AS (SELECT doc_id, doc_id % 7 AS kind, CAST(doc_id AS VARCHAR) AS document_id, md5(text) AS content_md5 FROM documents)
+SELECT CASE kind WHEN 0 THEN 'no id' WHEN 1 THEN 'no content' WHEN 2 THEN 'malformed' ELSE 'accepted' END AS reason,
+  CASE WHEN kind NOT IN (0, 2) THEN document_id END AS document_id, CASE WHEN kind NOT IN (1, 2) THEN content_md5 END AS content_md5 FROM d""",
     "raw_defaults": """SELECT CAST(page_id AS VARCHAR) AS document_id, html AS content, 'unknown' AS source, 'general' AS category,
   '2000-01-01T00:00:00+00:00' AS "timestamp", 0 AS metadata_size FROM pages""",
     "capped_corpus": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category
 FROM documents ORDER BY 1 LIMIT 100""",
     "sink_roundtrip": f"""WITH keyed AS (SELECT *, CAST(vec_id AS VARCHAR) AS chunk_id FROM embeddings)
-SELECT chunk_id, vec_id, label, {SHARD} AS partition_id, CAST(len(embedding) AS INT) AS dims FROM keyed""",
-    "dataset_summary": """SELECT count(*) AS total_records, 'vec_id,embedding,label,chunk_id,partition_id' AS fields,
-  true AS lists_files FROM embeddings""",
+SELECT chunk_id, vec_id, label, {SHARD} AS partition_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS dimension,
+  round(unnest(embedding)::DOUBLE, 6) AS value FROM keyed""",
+    "dataset_summary": f"""WITH keyed AS (SELECT CAST(vec_id AS VARCHAR) AS chunk_id FROM embeddings),
+shards AS (SELECT count(DISTINCT {SHARD}) AS n, count(*) AS vectors FROM keyed)
+SELECT vectors AS total_records, n AS file_count, 'vec_id,embedding,label,chunk_id,partition_id' AS fields,
+  CAST(least(n, 10) AS INT) AS listed_files, CAST(least(n, 10) AS INT) AS files_in_shards FROM shards""",
     "vector_upsert": """WITH written AS (SELECT vec_id + 250 AS id, label + 200 AS label, embedding FROM embeddings),
 points AS (SELECT * FROM written UNION ALL SELECT vec_id, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT id FROM written))
 SELECT id, CAST(label AS INT) AS label, round(embedding[1]::DOUBLE, 6) AS first_value FROM points""",
@@ -188,7 +194,7 @@ FROM documents WHERE text IS NOT NULL AND length(trim(text)) > 0""",
     "doc_counts": rf"""WITH {DOCS} SELECT document_id, CAST(length(cleaned) AS INT) AS char_count,
   CAST(len(regexp_split_to_array(cleaned, '\s+')) AS INT) AS word_count FROM docs""",
     "min_words": f"WITH {KEPT} SELECT document_id, CAST(word_count AS INT) AS word_count FROM enough",
-    "nfkc_docs": "SELECT CAST(doc_id AS VARCHAR) AS document_id, nfc_normalize(text) AS normalized FROM documents",
+    "nfkc_docs": "SELECT CAST(doc_id AS VARCHAR) AS document_id, nfc_normalize(text) || ' fi Ab 1 2 Ω' AS normalized FROM documents",
     "strip_html": "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS stripped FROM pages",
     "clean_text": f"WITH {DOCS} SELECT document_id, cleaned FROM docs",
     "clean_text_lower": f"WITH {DOCS} SELECT document_id, lower(cleaned) AS cleaned FROM docs",
@@ -255,8 +261,8 @@ FROM best JOIN chunks USING (chunk_id) WHERE "rank" <= 3""",
     "storage_ratio": """SELECT CAST(sum(len(embedding) * 4) AS BIGINT) AS fp32_bytes, CAST(sum(len(embedding)) AS BIGINT) AS int8_bytes,
   sum(len(embedding) * 4)::DOUBLE / sum(len(embedding)) AS ratio FROM embeddings""",
     "shard_id": f"WITH {DOCS}, {_chunks('docs')} SELECT chunk_id, {SHARD} AS partition_id FROM chunks",
-    "repartition_hash": "SELECT label, 1::BIGINT AS partitions, count(*) AS vectors FROM embeddings GROUP BY label",
-    "repartition_range": "SELECT label, 1::BIGINT AS partitions, count(*) AS vectors FROM embeddings GROUP BY label",
+    "repartition_hash": "SELECT label, true AS placed, count(*) AS vectors FROM embeddings GROUP BY label",
+    "repartition_range": "SELECT label, true AS placed, true AS several, count(*) AS vectors FROM embeddings GROUP BY label",
     "shard_distribution": f"""WITH {DOCS}, {_chunks('docs')}
 SELECT {SHARD} AS partition_id, count(*) AS vector_count FROM chunks GROUP BY 1""",
     "transform_chunks": f"""WITH {KEPT}, {_chunks('kept')}
@@ -278,6 +284,7 @@ UNION ALL SELECT 'deduplicate', clean, dedup FROM sizes
 UNION ALL SELECT 'chunk_and_explode', dedup, chunked FROM sizes
 UNION ALL SELECT 'sink', chunked, chunked FROM sizes""",
     "audit_report": f"""WITH {STAGES}
-SELECT 'SUCCESS' AS status, raw AS total_input_records, chunked AS total_output_vectors, 5 AS stages, 'INT8' AS quantization_mode,
-  384 AS vector_dimension, 16 AS num_partitions, 'parquet' AS storage_sink, 0 AS error_count FROM sizes""",
+SELECT 'SUCCESS' AS status, raw AS total_input_records, chunked AS total_output_vectors,
+  'ingest,clean_and_hash,deduplicate,chunk_and_explode,sink' AS stages, concat_ws(',', raw, clean, dedup, chunked, chunked) AS stage_rows,
+  'INT8' AS quantization_mode, 384 AS vector_dimension, 16 AS num_partitions, 'parquet' AS storage_sink, 0 AS error_count FROM sizes""",
 }

@@ -15,12 +15,12 @@ from vecloom.operators import partitioning, quality, search, sketches
 from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
 from vecloom.operators.projection import project_pca
-from vecloom.plans.job import report_frame, run_stages
+from vecloom.plans.job import REPORT, run_job, run_stages
 from vecloom.plans.transform import JobSettings, clean_and_hash, transform_all
 from vecloom.schemas import raw_defaults
 from vecloom.session import cut_lineage, scratch_path
 from vecloom.sources.collection import upsert
-from vecloom.sources.corpus import cap_records, read_corpus, spread
+from vecloom.sources.corpus import cap_records, read_corpus, rejected_records, spread
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 
 INGESTED_AT = "2000-01-01T00:00:00+00:00"
@@ -70,6 +70,21 @@ def json_scan(spark, sf):
     return read_corpus(spark, path, ingested_at=INGESTED_AT).select("document_id", "content", "source", "category", "timestamp")
 
 
+def rejected_records_query(spark, sf):
+    """The documents as JSON lines, of which a seventh each lacks its id, lacks its content or breaks off; every row is listed."""
+    path = scratch_path(spark, "lines")
+    rows = corpus_scan(spark, sf).withColumn("kind", F.col("document_id").cast("bigint") % 7)
+    stored = rows.select(
+        F.when(F.col("kind") != 0, F.col("document_id")).alias("document_id"), F.when(F.col("kind") != 1, F.col("content")).alias("content"), "source", "kind"
+    )
+    line = F.to_json(F.struct("document_id", "content", "source"))
+    stored.select(F.when(F.col("kind") == 2, F.substring(line, 1, 12)).otherwise(line).alias("value")).write.text(path)
+    kept = read_corpus(spark, path, ingested_at=INGESTED_AT).select(F.lit("accepted").alias("reason"), "document_id", F.md5("content").alias("content_md5"))
+    gone = rejected_records(spark, path)
+    content = F.md5(F.get_json_object("line", "$.content"))
+    return kept.unionByName(gone.select("reason", "document_id", F.when(F.col("reason") == "no id", content).alias("content_md5")))
+
+
 def raw_defaults_query(spark, sf):
     renamed = pages(spark, sf).select(F.col("page_id").alias("document_id"), F.col("html").alias("content"))
     filled = raw_defaults(renamed, INGESTED_AT)
@@ -92,16 +107,22 @@ def _staged(spark, sf) -> str:
 
 
 def sink_roundtrip(spark, sf):
-    stored = spark.read.parquet(_staged(spark, sf))
-    return stored.select("chunk_id", "vec_id", "label", "partition_id", F.size("embedding").alias("dims"))
+    stored = spark.read.parquet(_staged(spark, sf)).select("chunk_id", "vec_id", "label", "partition_id", F.posexplode("embedding").alias("dimension", "value"))
+    return stored.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 def dataset_summary_query(spark, sf):
-    summary = dataset_summary(spark, _staged(spark, sf))
+    """A dataset of one file per shard, as each shard is one partition when it is written."""
+    path = scratch_path(spark, "staged")
+    one_task = _sharded(spark, sf).coalesce(1)
+    write_dataset(one_task, path)
+    summary = dataset_summary(spark, path)
     return summary.select(
         "total_records",
+        "file_count",
         F.array_join("schema_fields", ",").alias("fields"),
-        (F.size("parquet_files") == F.least("file_count", F.lit(10))).alias("lists_files"),
+        F.size(F.array_distinct("parquet_files")).alias("listed_files"),
+        F.size(F.filter("parquet_files", lambda f: f.contains("/partition_id="))).alias("files_in_shards"),
     )
 
 
@@ -133,8 +154,15 @@ def min_words(spark, sf):
 # --- text ------------------------------------------------------------------------
 
 
+# Characters that NFKC changes and NFC does not, and what they become.
+COMPATIBLE = "\ufb01 \uff21\uff42 \u2460 \u00b2 \u2126"
+COMPOSED = "fi Ab 1 2 \u03a9"
+
+
 def nfkc_docs(spark, sf):
-    return spread(documents(spark, sf)).select("document_id", T.nfkc(F.col("content")).alias("normalized"))
+    """Every text ends with characters that only compatibility normalization changes."""
+    text = F.concat(F.col("content"), F.lit(f" {COMPATIBLE}"))
+    return spread(documents(spark, sf)).select("document_id", T.nfkc(text).alias("normalized"))
 
 
 def strip_html(spark, sf):
@@ -150,11 +178,11 @@ def clean_text_lower(spark, sf):
 
 
 def clean_pages(spark, sf):
-    return spread(pages(spark, sf), "page_id").select("page_id", T.clean_text(F.col("html")).alias("cleaned"))
+    return spread(pages(spark, sf)).select("page_id", T.clean_text(F.col("html")).alias("cleaned"))
 
 
 def clean_conversations(spark, sf):
-    return spread(conversations(spark, sf), "conv_id").select("conv_id", "turn", T.clean_text(F.col("text")).alias("cleaned"))
+    return spread(conversations(spark, sf)).select("conv_id", "turn", T.clean_text(F.col("text")).alias("cleaned"))
 
 
 def tokenize(spark, sf):
@@ -245,7 +273,7 @@ def embed_norm(spark, sf):
 
 
 def embed_dense(spark, sf):
-    turns = spread(conversations(spark, sf), "conv_id").select("conv_id", "turn", hashed_embedding(F.col("text")).alias("v"))
+    turns = spread(conversations(spark, sf)).select("conv_id", "turn", hashed_embedding(F.col("text")).alias("v"))
     slots = turns.select("conv_id", "turn", F.posexplode("v").alias("slot", "value")).filter(F.col("value") != 0)
     return slots.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
@@ -351,17 +379,22 @@ def shard_id_query(spark, sf):
     return chunks(spark, sf).select("chunk_id", shard_id(F.col("chunk_id")).alias("partition_id"))
 
 
-def _placement(df):
-    placed = df.select("label", F.spark_partition_id().alias("place"))
-    return placed.groupBy("label").agg(F.count_distinct("place").alias("partitions"), F.count("*").alias("vectors"))
-
-
 def repartition_hash(spark, sf):
-    return _placement(partitioning.partition_by_hash(embeddings(spark, sf).select("vec_id", "label"), "label"))
+    """For each label, whether all its rows lie in the partition that the hash names."""
+    placed = partitioning.partition_by_hash(embeddings(spark, sf).select("vec_id", "label"), "label")
+    right = F.spark_partition_id() == F.pmod(F.hash("label"), F.lit(16))
+    return placed.select("label", right.alias("right")).groupBy("label").agg(F.bool_and("right").alias("placed"), F.count("*").alias("vectors"))
 
 
 def repartition_range(spark, sf):
-    return _placement(partitioning.partition_by_range(embeddings(spark, sf).select("vec_id", "label"), "label"))
+    """For each label, whether its rows lie in one partition and no partition before it holds a larger label."""
+    placed = partitioning.partition_by_range(embeddings(spark, sf).select("vec_id", "label"), "label")
+    rows = cut_lineage(placed.select("label", F.spark_partition_id().alias("place")))
+    of_label = rows.groupBy("label").agg(F.count_distinct("place").alias("places"), F.min("place").alias("place"), F.count("*").alias("vectors"))
+    spans = rows.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).withColumnRenamed("place", "other")
+    out_of_order = ((F.col("other") < F.col("place")) & (F.col("high") > F.col("label"))) | ((F.col("other") > F.col("place")) & (F.col("low") < F.col("label")))
+    judged = of_label.join(F.broadcast(spans), F.lit(True)).groupBy("label", "places", "vectors").agg(F.bool_or(out_of_order).alias("wrong"), F.count("*").alias("n"))
+    return judged.select("label", ((F.col("places") == 1) & ~F.col("wrong")).alias("placed"), (F.col("n") > 1).alias("several"), "vectors")
 
 
 def shard_distribution(spark, sf):
@@ -409,23 +442,16 @@ def stage_counts(spark, sf):
 
 
 def audit_report(spark, sf):
-    metrics = _run(spark, sf)
-    report = {
-        "status": "SUCCESS",
-        "total_input_records": metrics[0]["input_records"],
-        "total_output_vectors": metrics[-1]["output_records"],
-        "stage_metrics": metrics,
-        "quantization_mode": "INT8",
-        "vector_dimension": 384,
-        "num_partitions": 16,
-        "storage_sink": "parquet",
-        "errors": [],
-    }
-    return report_frame(spark, report).select(
+    """A whole job over the documents, stored as JSON lines, and its written report read back."""
+    corpus, reports = scratch_path(spark, "lines"), scratch_path(spark, "report")
+    spread(corpus_scan(spark, sf)).write.json(corpus)
+    run_job(spark, JobSettings(input_path=corpus, output_path=scratch_path(spark, "vectors")), reports)
+    return spark.read.schema(REPORT).json(reports).select(
         "status",
         "total_input_records",
         "total_output_vectors",
-        F.size("stage_metrics").alias("stages"),
+        F.array_join("stage_metrics.stage_name", ",").alias("stages"),
+        F.array_join(F.col("stage_metrics.output_records").cast("array<string>"), ",").alias("stage_rows"),
         "quantization_mode",
         "vector_dimension",
         "num_partitions",
@@ -437,6 +463,7 @@ def audit_report(spark, sf):
 QUERIES = {
     "corpus_scan": corpus_scan,
     "json_scan": json_scan,
+    "rejected_records": rejected_records_query,
     "raw_defaults": raw_defaults_query,
     "capped_corpus": capped_corpus,
     "sink_roundtrip": sink_roundtrip,

@@ -9,6 +9,8 @@ from vecloom.functions.binding import let
 
 # Fixed value: white space as Python's str.split and str.strip see it.
 WHITE_SPACE = "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
+# Sums that one array grows to before it is joined with the others.
+SUMS_AT_ONCE = 512
 PIECE = r"(?U)[^\s\x1c-\x1f]+[\s\x1c-\x1f]*"
 
 
@@ -17,6 +19,29 @@ def check_window(size: int, overlap: int) -> None:
         raise ValueError(f"overlap ({overlap}) must be smaller than size ({size})")
 
 
+def running_sums(values: Column, at_once: int = SUMS_AT_ONCE) -> Column:
+    """Sums of an array's values up to and with each place; an empty array gives an empty one.
+
+    Spark can only grow an array by copying it, so values are summed in groups of ``at_once``
+    and the groups shifted by the totals before them: no long array is ever grown.
+    """
+
+    def before(xs: Column) -> Column:
+        """0 and the running sums."""
+        return F.aggregate(xs, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+    def shifted(groups: Column) -> Column:
+        totals = before(F.transform(groups, lambda g: F.element_at(g, -1)))
+        return let(totals, lambda t: F.flatten(F.transform(groups, lambda g, i: F.transform(F.slice(g, 2, at_once), lambda x: x + t[i]))))
+
+    def summed(xs: Column) -> Column:
+        count = F.ceil(F.size(xs) / F.lit(at_once)).cast("int")
+        groups = F.transform(F.sequence(F.lit(0), count - 1), lambda g: before(F.slice(xs, g * at_once + 1, at_once)))
+        return F.when(F.size(xs) == 0, xs).otherwise(let(groups, shifted))
+
+    return let(values, summed)
+
+
 def word_windows(text: Column, size: int = 256, overlap: int = 32) -> Column:
     """Array of (chunk_index, total_chunks, chunk_content, token_count, start_char).
 
@@ -44,21 +69,13 @@ def word_windows(text: Column, size: int = 256, overlap: int = 32) -> Column:
     def several(pieces: Column) -> Column:
         lead = F.length(text) - F.length(F.ltrim(text, blanks))
         last = F.ceil((F.size(pieces) - size) / F.lit(step)).cast("int")
-        starts = F.aggregate(
-            F.sequence(F.lit(0), last - 1),
-            F.array(lead),
-            lambda done, k: F.concat(done, F.array(F.element_at(done, -1) + F.length(join(pieces, k * step, step)))),
-        )
+        steps = F.transform(F.sequence(F.lit(0), last - 1), lambda k: F.length(join(pieces, k * step, step)))
         return let(
-            starts,
-            lambda at: F.transform(
-                at,
+            running_sums(F.concat(F.array(lead), steps)),
+            lambda starts: F.transform(
+                starts,
                 lambda start, k: window(
-                    k,
-                    F.size(at),
-                    F.rtrim(join(pieces, k * step, size), blanks),
-                    F.least(F.lit(size), F.size(pieces) - k * step),
-                    start,
+                    k, F.size(starts), F.rtrim(join(pieces, k * step, size), blanks), F.least(F.lit(size), F.size(pieces) - k * step), start
                 ),
             ),
         )

@@ -5,13 +5,16 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.plans.transform import STAGES, JobSettings, lay_out, vector_payload_of
-from vecloom.sources.corpus import read_corpus, spread
+from vecloom.sources.corpus import accepted, cap_records, judged_corpus, spread
 from vecloom.sources.parquet_sink import write_dataset
 
 STAGE_METRIC = (
@@ -45,22 +48,26 @@ def _metric(name: str, rows_in: int, rows_out: int, seconds: float) -> dict:
     }
 
 
-def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings) -> list[dict]:
+def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings, judged: bool = False) -> list[dict]:
     """Write the vectors of ``raw`` to the output path and return one metric per stage.
 
-    All stages run as one pass; observations count the rows at their borders, so nothing
-    is counted by an extra job or cached.  The pass has one duration, which every stage
-    reports.  Observed counts can run high when lost executors make tasks run again; the
+    Observations count the rows at the stages' borders, so nothing is counted by an extra job.
+    With ``judged``, ``raw`` comes from ``judged_corpus``: the rows it rejects enter the first
+    stage and do not leave it; a record cap is part of reading and counts accepted rows only. All stages report the duration of the whole, as they run
+    together. Observed counts can run high when lost executors make tasks run again; the
     sink's count comes from the written files and is always exact.
     """
     started = time.time()
-    df, seen = _counted(raw, "ingest")
-    borders = [("ingest", seen)]
-    for stage in STAGES:
-        df = stage(df, settings)
-        if stage.__name__ in ("clean_and_hash", "deduplicate", "chunk_and_explode"):
-            df, seen = _counted(df, stage.__name__)
-            borders.append((stage.__name__, seen))
+    if judged and settings.max_records:
+        raw, judged = cap_records(accepted(raw), settings.max_records), False
+    df, seen = _counted(raw, "read")
+    borders = [("read", seen)]
+    df = accepted(df) if judged else df
+    for name, stage in [("ingest", None), *((s.__name__, s) for s in STAGES)]:
+        df = stage(df, settings) if stage else df
+        if name in ("ingest", "clean_and_hash", "deduplicate", "chunk_and_explode"):
+            df, seen = _counted(df, name)
+            borders.append((name, seen))
     write_dataset(
         lay_out(vector_payload_of(df), settings),
         settings.output_path,
@@ -69,14 +76,52 @@ def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings) -> li
         row_group_mb=settings.row_group_mb,
     )
     seconds = max(time.time() - started, 0.001)
-    metrics, rows_in = [], None
-    for name, seen in borders:
-        rows = int(seen.get["rows"])
-        metrics.append(_metric(name, rows if rows_in is None else rows_in, rows, seconds))
-        rows_in = rows
-    written = spark.read.parquet(settings.output_path).count()
-    metrics.append(_metric("sink", rows_in, written, seconds))
-    return metrics
+    rows = [int(seen.get["rows"]) for _, seen in borders] + [spark.read.parquet(settings.output_path).count()]
+    names = [name for name, _ in borders[1:]] + ["sink"]
+    return [_metric(name, before, after, seconds) for name, before, after in zip(names, rows, rows[1:])]
+
+
+@dataclass
+class JobReport:
+    """What a run did. The field names are the published layout; all values come from settings and metrics."""
+
+    quantization_mode: str
+    vector_dimension: int
+    num_partitions: int
+    storage_sink: str = "parquet"
+    job_id: str = field(default_factory=lambda: f"job_{uuid.uuid4().hex[:10]}")
+    status: str = "FAILED"
+    started_at: str = field(default_factory=_now)
+    completed_at: str = ""
+    total_duration_seconds: float = 0.0
+    total_input_records: int = 0
+    total_output_vectors: int = 0
+    overall_throughput_records_per_sec: float = 0.0
+    stage_metrics: list[dict] = field(default_factory=list)
+    errors: list[str] = field(default_factory=list)
+
+    def finish(self, metrics: list[dict]) -> None:
+        """A run that wrote its vectors."""
+        self.status, self.stage_metrics = "SUCCESS", metrics
+        self.total_input_records, self.total_output_vectors = metrics[0]["input_records"], metrics[-1]["output_records"]
+
+    def close(self, seconds: float) -> None:
+        self.completed_at, self.total_duration_seconds = _now(), round(seconds, 3)
+        self.overall_throughput_records_per_sec = round(self.total_output_vectors / max(seconds, 0.001), 2)
+
+
+@contextmanager
+def reported(spark: SparkSession, settings: JobSettings, path: str | None) -> Iterator[JobReport]:
+    """A report that is closed and stored however the block ends; a failure is listed in it and goes no further."""
+    report = JobReport(settings.quantization, settings.dim, settings.shards)
+    clock = time.time()
+    try:
+        yield report
+    except Exception as failure:  # every failure belongs in the report
+        report.errors.append(str(failure))
+    report.close(time.time() - clock)
+    if path:
+        report_frame(spark, asdict(report)).coalesce(1).write.mode("overwrite").json(path)
 
 
 def run_job(spark: SparkSession, settings: JobSettings, report_path: str | None = None) -> dict:
@@ -84,36 +129,9 @@ def run_job(spark: SparkSession, settings: JobSettings, report_path: str | None
 
     The session belongs to the caller and stays open.
     """
-    started, clock = _now(), time.time()
-    metrics: list[dict] = []
-    errors: list[str] = []
-    try:
-        raw = spread(read_corpus(spark, settings.input_path, settings.max_records))
-        metrics = run_stages(spark, raw, settings)
-    except Exception as failure:  # every failure belongs in the report
-        metrics, errors = [], [str(failure)]
-    seconds = max(time.time() - clock, 0.001)
-    rows_in = metrics[0]["input_records"] if metrics else 0
-    rows_out = metrics[-1]["output_records"] if metrics else 0
-    report = {
-        "job_id": f"job_{uuid.uuid4().hex[:10]}",
-        "status": "FAILED" if errors else "SUCCESS",
-        "started_at": started,
-        "completed_at": _now(),
-        "total_duration_seconds": round(seconds, 3),
-        "total_input_records": rows_in,
-        "total_output_vectors": rows_out,
-        "overall_throughput_records_per_sec": round(rows_out / seconds, 2),
-        "stage_metrics": metrics,
-        "quantization_mode": settings.quantization,
-        "vector_dimension": settings.dim,
-        "num_partitions": settings.shards,
-        "storage_sink": "parquet",
-        "errors": errors,
-    }
-    if report_path:
-        report_frame(spark, report).coalesce(1).write.mode("overwrite").json(report_path)
-    return report
+    with reported(spark, settings, report_path) as report:
+        report.finish(run_stages(spark, spread(judged_corpus(spark, settings.input_path)), settings, judged=True))
+    return asdict(report)
 
 
 def report_frame(spark: SparkSession, report: dict) -> DataFrame:

@@ -46,9 +46,9 @@ def empty_metadata() -> Column:
     return F.from_json(F.lit("{}"), METADATA)
 
 
-def raw_defaults(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
-    """Cast to RAW and fill the optional columns, whether absent or null."""
-    now = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+def raw_defaults(df: DataFrame, ingested_at: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Cast to RAW and fill the optional columns, whether absent or null; ``keep`` columns stay beside them."""
+    now = F.lit(ingested_at) if ingested_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     fallback = {
         "source": F.lit("unknown"),
         "category": F.lit("general"),
@@ -61,7 +61,7 @@ def raw_defaults(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
         value = F.col(field.name).cast(field.dataType) if field.name in present else F.lit(None).cast(field.dataType)
         default = fallback.get(field.name)
         columns.append((value if default is None else F.coalesce(value, default)).alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *keep)
 
 
 def vector_payload(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from vecloom.schemas import RAW, raw_defaults
 
 CORRUPT = "_corrupt_record"
+SPREAD_BYTES = 256 << 20
 
 
 def _json(spark: SparkSession, path: str) -> DataFrame:
@@ -22,16 +23,39 @@ def cap_records(df: DataFrame, max_records: int, id_column: str = "document_id")
     return df.orderBy(id_column).limit(max_records)
 
 
-def spread(df: DataFrame, id_column: str = "document_id") -> DataFrame:
+def spread(df: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
     """Give every core work when a small input arrives in fewer splits than there are cores.
 
-    For a plain scan, whose splits are known without running anything.  A large scan has far
-    more splits than cores and is left as it is.
+    Moves at most ``max_bytes``, by the plan's own estimate; anything larger stays as it is read.
+    Rows are dealt round robin, so no key matters.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > max_bytes or df.rdd.getNumPartitions() >= 2 * cores:
         return df
-    return df.repartition(2 * cores, id_column)
+    return df.repartition(2 * cores)
+
+
+def judged_corpus(spark: SparkSession, path: str, columns: dict[str, str] | None = None, ingested_at: str | None = None, with_file: bool = False) -> DataFrame:
+    """Every stored row in the RAW columns, and a malformed JSON line's text; ``accepted`` tells which rows count.
+
+    Parquet and JSON are judged alike. ``with_file`` adds the file that a row comes from.
+    """
+    if path.rstrip("/").endswith(".parquet"):
+        df = spark.read.parquet(path).withColumn(CORRUPT, F.lit(None).cast("string"))
+    else:
+        df = _json(spark, path)
+    for name, stored in (columns or {}).items():
+        df = df.withColumn(name, F.col(stored))
+    if with_file:
+        return raw_defaults(df.select("*", F.col("_metadata.file_path").alias("file")), ingested_at, keep=(CORRUPT, "file"))
+    return raw_defaults(df, ingested_at, keep=(CORRUPT,))
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """Rows that can be read and have an id and content; plain null tests, which reach the scan."""
+    whole = F.col(CORRUPT).isNull() & F.col("document_id").isNotNull() & F.col("content").isNotNull()
+    return judged.filter(whole).drop(CORRUPT)
 
 
 def read_corpus(
@@ -43,20 +67,29 @@ def read_corpus(
 ) -> DataFrame:
     """Read ``*.parquet`` as Parquet and anything else as JSON lines, into the RAW columns.
 
-    ``columns`` renames stored columns to RAW names ({"document_id": "doc_id", ...}).
-    Malformed JSON lines are left out here and returned by ``corrupt_records``.
+    ``columns`` renames stored columns to RAW names ({"document_id": "doc_id", ...}). Rows
+    without an id or content and malformed lines are returned by ``rejected_records``: the
+    two together are every row of the input.
     """
-    if path.rstrip("/").endswith(".parquet"):
-        df = spark.read.parquet(path)
-    else:
-        df = _json(spark, path).filter(F.col(CORRUPT).isNull() & F.col("document_id").isNotNull()).drop(CORRUPT)
-    for name, stored in (columns or {}).items():
-        df = df.withColumn(name, F.col(stored))
-    df = raw_defaults(df, ingested_at)
+    df = accepted(judged_corpus(spark, path, columns, ingested_at))
     return cap_records(df, max_records) if max_records else df
 
 
+def rejected_records(spark: SparkSession, path: str, columns: dict[str, str] | None = None) -> DataFrame:
+    """(file, reason, document_id, line) of the rows that ``read_corpus`` leaves out.
+
+    Reasons: ``malformed`` (a JSON line that cannot be read), ``no id``, ``no content``. ``line``
+    is a malformed line as it stands, else the row's RAW columns as JSON.
+    """
+    reason = (
+        F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("document_id").isNull(), "no id").when(F.col("content").isNull(), "no content")
+    )
+    judged = judged_corpus(spark, path, columns, "", with_file=True).withColumn("reason", reason)
+    row = F.to_json(F.struct(*[f.name for f in RAW if f.name != "timestamp"]))
+    found = judged.filter(F.col("reason").isNotNull())
+    return found.select("file", "reason", "document_id", F.coalesce(F.col(CORRUPT), row).alias("line"))
+
+
 def corrupt_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, document_id, line) of malformed JSON lines; the id is null unless it could be read."""
-    rows = _json(spark, path).select(F.col("_metadata.file_path").alias("file"), "document_id", F.col(CORRUPT).alias("line"))
-    return rows.filter(F.col("line").isNotNull())
+    return rejected_records(spark, path).filter(F.col("reason") == "malformed").drop("reason")
