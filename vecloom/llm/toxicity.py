@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.batches import bounded
-from vecloom.llm.labelled import held_out, training_rows
+from vecloom.llm.labelled import fitted, held_out
 
 SLICE_BYTES = 8 << 20
 DECAY = 0.5
@@ -35,8 +35,10 @@ WINDOW, STEP = 16, 8
 LETTERS = 32
 CODES = LETTERS**3
 TRAIN_PER_CLASS, TRAIN_BYTES = 2000, 64 << 10
-LANDMARKS, NEGATIVES, ROUNDS, PENALTY = 192, 12_000, 3, 1e-3
+LANDMARKS, NEGATIVES, ROUNDS, PENALTY = 192, 10_000, 3, 1e-3
 MEMO_WORDS = 1_000_000
+#: Words whose triples are in memory at once, alone and against all landmarks.
+WORDS_AT_ONCE, KERNEL_ROWS = 5_000, 250
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 _OFFSETS = [(j, k, DECAY ** (k - 2)) for k in range(2, REACH) for j in range(1, k)]
@@ -99,14 +101,12 @@ def normalised(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Kernel of each word's first window with landmark rows of shape (CODES, landmarks)."""
-    window, triple, weight, owner = normalised([w[:WINDOW] for w in words])
     out = np.zeros((len(words), landmarks.shape[1]))
-    for a in range(0, len(words), 2000):
-        at = slice(*np.searchsorted(window, (a, a + 2000)))
-        rows = window[at]
-        if len(rows):
-            first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-            out[owner[rows[first]]] = np.add.reduceat(landmarks[triple[at]] * weight[at][:, None], first)
+    for a in range(0, len(words), KERNEL_ROWS):
+        window, triple, weight, owner = normalised([w[:WINDOW] for w in words[a : a + KERNEL_ROWS]])
+        if len(window):
+            first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+            out[a + owner[window[first]]] = np.add.reduceat(landmarks[triple] * weight[:, None], first)
     return out
 
 
@@ -119,11 +119,12 @@ class Model:
 
     def margins(self, words: list[str]) -> np.ndarray:
         """Each word's largest margin among its windows."""
-        if not words:
-            return np.empty(0)
-        window, triple, weight, owner = normalised(words)
-        each = np.bincount(window, self.table[triple] * weight, minlength=len(owner)) + self.bias
-        return np.maximum.reduceat(each, np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))))
+        out = []
+        for k in range(0, len(words), WORDS_AT_ONCE):
+            window, triple, weight, owner = normalised(words[k : k + WORDS_AT_ONCE])
+            each = np.bincount(window, self.table[triple] * weight, minlength=len(owner)) + self.bias
+            out.append(np.maximum.reduceat(each, np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))))
+        return np.concatenate(out) if out else np.empty(0)
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -40, 40)))
@@ -165,18 +166,24 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     is at first the word that is most particular to toxic documents, later the one of the
     largest margin; to the negatives come the worst words of clean documents.
     """
-    texts = [(sorted({w.lower() for w in words_of(t)}), y) for t, y in rows]
-    toxic, clean = [w for w, y in texts if y == 1 and w], [w for w, y in texts if y == 0 and w]
+    place: dict[str, int] = {}
+    bags, labels = [], []
+    for text, label in rows:
+        found = {w.lower() for w in words_of(text)}
+        if found:
+            bags.append(np.array(sorted(place.setdefault(w, len(place)) for w in found), np.int32))
+            labels.append(label)
+    y_doc = np.array(labels)
+    toxic, clean = ([b for b, y in zip(bags, labels, strict=True) if y == c] for c in (1, 0))
     if not toxic or not clean:
         return Model(np.zeros(CODES), 0.0, 1.0, 0.0 if not rows else 2.0 if toxic else -2.0)
-    seen, elsewhere = Counter(w for t in toxic for w in t), Counter(w for t in clean for w in t)
-    rate = len(toxic) / len(clean)
-    chosen = [max(t, key=lambda w: (seen[w] / (seen[w] + 3 * rate * elsewhere[w] + 3), w)) for t in toxic]
-    pool = sorted(elsewhere, key=lambda w: (-elsewhere[w], w))
+    everything = list(place)
+    seen, elsewhere = (np.bincount(np.concatenate(b), minlength=len(everything)) for b in (toxic, clean))
+    particular = seen / (seen + 3 * len(toxic) / len(clean) * elsewhere + 3)
+    chosen = [everything[b[np.argmax(particular[b])]] for b in toxic]
+    pool = [everything[i] for i in np.argsort(-elsewhere, kind="stable").tolist() if elsewhere[i]]
     even = pool[:: max(1, len(pool) // NEGATIVES)][:NEGATIVES] + pool[:500]
     hard: list[str] = []
-    everything = sorted(set(seen) | set(elsewhere))
-    place = {w: i for i, w in enumerate(everything)}
     model = Model(np.zeros(CODES), 0.0)
     for _ in range(ROUNDS):
         often = Counter(chosen)
@@ -184,7 +191,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         negative = sorted(set(even + hard) - set(positive))
         marks = positive[: LANDMARKS * 2 // 3] + hard[: LANDMARKS // 6] + negative[:: max(1, len(negative) * 6 // LANDMARKS)][: LANDMARKS // 6]
         window, triple, weight, _ = normalised([w[:WINDOW] for w in marks])
-        rows_of = np.zeros((CODES, len(marks)))
+        rows_of = np.zeros((CODES, len(marks)), np.float32)
         rows_of[triple, window] = weight
         own = kernel(marks, rows_of)
         value, vector = np.linalg.eigh((own + own.T) / 2)
@@ -197,11 +204,10 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         w = machine(x, y, cost)
         model = Model(rows_of @ (to_features @ w[:-1]), float(w[-1]))
         margin = model.margins(everything)
-        worst = [max(t, key=lambda v: margin[place[v]]) for t in clean]
-        hard = [v for v, _ in Counter(worst).most_common()]
-        chosen = [max(t, key=lambda v: margin[place[v]]) for t in toxic]
-    top = np.array([margin[place[max(t, key=lambda v: margin[place[v]])]] for t in toxic + clean])
-    model.slope, model.shift = calibrated(top, np.array([1] * len(toxic) + [0] * len(clean)))
+        hard = [w for w, _ in Counter(everything[b[np.argmax(margin[b])]] for b in clean).most_common()]
+        chosen = [everything[b[np.argmax(margin[b])]] for b in toxic]
+    top = np.array([margin[b].max() for b in bags])
+    model.slope, model.shift = calibrated(top, y_doc)
     return model
 
 
@@ -247,8 +253,7 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS, max_bytes: int = TRAIN_BYTES) -> Model:
-    rows, _ = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, per_class, max_bytes)
-    return fit(rows)
+    return fitted(docs, labels, "toxic", FOLDS, HELD_OUT, per_class, max_bytes, lambda rows, _: fit(rows))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
