@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.batches import bounded, text_buffer
-from vecloom.llm.labelled import held_out, training_rows
+from vecloom.llm.labelled import fitted, held_out
 from vecloom.llm.shingles import word_digests
 
 SLICE_BYTES = 1 << 20
 PASSAGE = 64
 TRAIN_PER_CLASS, TRAIN_BYTES = 2000, 64 << 10
 ENCODED, GATED, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 8, 60, 128, 0.01, 1e-4, 7
+#: Training texts whose bytes are looked at together.
+TEXTS_AT_ONCE = 64
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
 
@@ -160,7 +162,9 @@ def fit(rows: list[tuple[str, int]], counts: dict[int, int]) -> AttentionModel:
         model.weights = {k: np.zeros_like(v) for k, v in model.weights.items()}
         model.weights["c"] = np.array([2.0 if rows and rows[0][1] else -2.0 if rows else 0.0])
         return model
-    x, begins = passages(pa.array([t for t, _ in rows], pa.string()))
+    parts = [passages(pa.array([t for t, _ in rows[k : k + TEXTS_AT_ONCE]], pa.string())) for k in range(0, len(rows), TEXTS_AT_ONCE)]
+    x = np.concatenate([p for p, _ in parts])
+    begins = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))))
     y = np.array([v for _, v in rows], float)
     held = np.bincount(y.astype(int), minlength=2)
     cost = np.array([counts[0] / held[0], counts[1] / held[1]])[y.astype(int)]
@@ -185,7 +189,7 @@ def fit(rows: list[tuple[str, int]], counts: dict[int, int]) -> AttentionModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS, max_bytes: int = TRAIN_BYTES) -> AttentionModel:
-    return fit(*training_rows(docs, labels, "quality", FOLDS, HELD_OUT, per_class, max_bytes))
+    return fitted(docs, labels, "quality", FOLDS, HELD_OUT, per_class, max_bytes, fit)
 
 
 def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
