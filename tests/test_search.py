@@ -49,11 +49,11 @@ def test_cosine_uses_no_cross_join(frame, plan_of):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("limit", [2048, 3])  # queries broadcast, queries tiled
+@pytest.mark.parametrize("limit", [2048, 3])  # one block of queries, several
 @pytest.mark.parametrize("k", [1, 5, 60])
 def test_knn(frame, matrix, limit, k):
     queries = frame.filter(F.col("id") < "v020").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
-    rows = knn_topk(frame, queries, k, max_broadcast_queries=limit, tile_rows=16).collect()
+    rows = knn_topk(frame, queries, k, max_broadcast_queries=limit).collect()
     scores = np.round(unit(matrix)[:20] @ unit(matrix).T, 9)
     expected = {}
     for q in range(20):
@@ -70,6 +70,13 @@ def test_knn_with_numbers_as_ids(spark, matrix):
     assert knn_topk(df, queries, 1).first().id == 3
 
 
+def test_knn_carries_payload_and_bounds_bytes(frame):
+    rows = frame.withColumn("name", F.concat(F.lit("n-"), "id"))
+    queries = rows.limit(9).select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+    found = knn_topk(rows, queries, 2, payload=("name",), max_broadcast_bytes=2000).collect()
+    assert len(found) == 18 and all(r.name == f"n-{r.id}" for r in found)
+
+
 def test_knn_of_nothing(frame):
     queries = frame.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
     assert knn_topk(frame.filter("false"), queries).count() == 0
@@ -98,6 +105,21 @@ def test_pca_matches_numpy(spark):
     assert np.allclose(ratios, s[:3] ** 2 / (s**2).sum()) and sum(ratios) <= 1.0001
 
 
+def test_pca_leaves_out_unusable_vectors(spark):
+    rows = [(i, [float(i), float(i * i), 1.0]) for i in range(6)]
+    schema = "id int, vector array<float>"
+    projected, _ = project_pca(spark.createDataFrame(rows + [(6, None), (7, []), (8, [1.0])], schema), 2)
+    alone, _ = project_pca(spark.createDataFrame(rows, schema), 2)
+    assert sorted(map(tuple, projected.collect())) == sorted(map(tuple, alone.collect()))
+
+
+def test_search_takes_the_stored_dimension(spark):
+    chunks = spark.createDataFrame([("c0", "one two", "cat", 0)], "chunk_id string, chunk_content string, category string, partition_id int")
+    chunks = chunks.withColumn("vector_fp32", hashed_embedding(F.col("chunk_content"), 64))
+    queries = spark.createDataFrame([(1, "one two")], "query_id int, q string")
+    assert semantic_search(chunks, queries, F.col("q"), 1).first().score == pytest.approx(1.0, abs=1e-6)
+
+
 def test_pca_with_too_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "id int, vector array<float>")
     projected, ratios = project_pca(df, 3)

@@ -168,6 +168,12 @@ STAGES = (
          (SELECT count(*) FROM kept) AS dedup, (SELECT count(*) FROM chunks) AS chunked)"""
 )
 
+KNN = f"""WITH {SCORES}, ranked AS (
+  SELECT row_id AS query_id, col_id AS id, cosine AS score,
+         row_number() OVER (PARTITION BY row_id ORDER BY round(cosine, 9) DESC, col_id) AS "rank" FROM scores)
+SELECT query_id, CAST("rank" AS INT) AS "rank", id, round(round(score, 9), 6) AS score, label
+FROM ranked JOIN embeddings ON vec_id = id WHERE "rank" <= 5"""
+
 ORACLE = {
     "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category FROM documents",
     "json_scan": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category,
@@ -242,10 +248,15 @@ SELECT vec_id, CAST(dimension AS INT) AS dimension,
     "quantization_error": f"WITH {VALUES} SELECT {ERROR} FROM restored",
     "quantization_error_rows": f"WITH {VALUES} SELECT vec_id, {ERROR} FROM restored GROUP BY vec_id",
     "cosine_matrix": f"WITH {SCORES} SELECT row_id, col_id, round(cosine, 6) AS cosine FROM scores",
-    "knn_topk": f"""WITH {SCORES}, ranked AS (
-  SELECT row_id AS query_id, col_id AS id, cosine AS score,
-         row_number() OVER (PARTITION BY row_id ORDER BY round(cosine, 9) DESC, col_id) AS "rank" FROM scores)
-SELECT query_id, CAST("rank" AS INT) AS "rank", id, round(round(score, 9), 6) AS score FROM ranked WHERE "rank" <= 5""",
+    "knn_topk": KNN,
+    "knn_blocks": KNN,
+    "cosine_centres": """WITH vals AS (
+  SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+centres AS (SELECT label, d, CAST(avg(x) AS FLOAT)::DOUBLE AS y FROM vals GROUP BY label, d),
+lengths AS (SELECT label, sqrt(sum(y * y)) AS n FROM centres GROUP BY label),
+own AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM vals GROUP BY vec_id)
+SELECT vec_id AS row_id, CAST(c.label AS BIGINT) AS col_id, round(sum(x * y) / (max(own.n) * max(lengths.n)), 5) AS cosine
+FROM vals JOIN centres c USING (d) JOIN own USING (vec_id) JOIN lengths ON lengths.label = c.label GROUP BY vec_id, c.label""",
     "semantic_search": f"""WITH {DOCS}, {_chunks('docs')}, {_slots('chunks', 'chunk_id', 'chunk_content')}, {_unit('slots', 'chunk_id', 'unit')},
 asked AS (SELECT item_id AS query_id, text FROM benchmark), {_slots('asked', 'query_id', 'text', 'qslots')}, {_unit('qslots', 'query_id', 'qunit')},
 norms AS (SELECT chunk_id, sqrt(sum(value::DOUBLE ** 2)) AS n FROM unit GROUP BY chunk_id),

@@ -343,10 +343,28 @@ def pca_project(spark, sf):
 def knn_topk(spark, sf):
     vectors = embeddings(spark, sf)
     queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    best = search.knn_topk(vectors, queries, 5, "vec_id", "embedding")
+    best = search.knn_topk(vectors, queries, 5, "vec_id", "embedding", payload=("label",))
     return best.withColumn("score", F.round("score", 6))
 
 
+def knn_blocks(spark, sf):
+    """The same search for queries that take several broadcast blocks."""
+    vectors = embeddings(spark, sf)
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    best = search.knn_topk(vectors, queries, 5, "vec_id", "embedding", payload=("label",), max_broadcast_queries=200)
+    return best.withColumn("score", F.round("score", 6))
+
+
+def cosine_centres(spark, sf):
+    """Every vector against the mean vector of each label: an output of rows times labels."""
+    vectors = embeddings(spark, sf)
+    values = vectors.select("label", F.posexplode("embedding").alias("dimension", "value"))
+    means = values.groupBy("label", "dimension").agg(F.avg(F.col("value").cast("double")).alias("value"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("dimension", "value"))), lambda v: v["value"])
+    centres = means.groupBy("label").agg(in_order.cast("array<float>").alias("embedding")).select(F.col("label").cast("bigint").alias("vec_id"), "embedding")
+    return search.cosine_matrix(vectors, centres, "vec_id", "embedding").withColumn("cosine", F.round("cosine", 5))
+
+
 def semantic_search(spark, sf):
     vectors = chunks(spark, sf).select(
         "chunk_id",
@@ -504,6 +522,8 @@ QUERIES = {
     "cosine_matrix": cosine_matrix,
     "pca_project": pca_project,
     "knn_topk": knn_topk,
+    "knn_blocks": knn_blocks,
+    "cosine_centres": cosine_centres,
     "semantic_search": semantic_search,
     "dimension_compare": dimension_compare,
     "storage_ratio": storage_ratio,

@@ -102,11 +102,12 @@ def _unicode_batch(texts: pa.Array) -> pa.Array:
 
 
 def printable_nfkc(text: Column) -> Column:
-    """``drop_nonprintable(nfkc(text))``: the texts that visit Python for NFKC lose their
-    nonprintable characters there, which leaves the JVM only the ASCII controls."""
+    """``drop_nonprintable(nfkc(text))``: texts that visit Python for NFKC lose their
+    nonprintable characters there; the others can hold ASCII controls only."""
     change = F.arrow_udf(_unicode_batch, T.StringType())
     beyond_ascii = F.octet_length(text) > F.length(text)
-    return F.regexp_replace(F.coalesce(change(F.when(beyond_ascii, text)), text), ASCII_CONTROLS, "")
+    plain = F.regexp_replace(text, ASCII_CONTROLS, "")
+    return F.when(beyond_ascii, F.coalesce(change(F.when(beyond_ascii, text)), text)).otherwise(plain)
 
 
 def strip_html(text: Column) -> Column:

@@ -16,9 +16,12 @@ def project_pca(
     """(id, projection) on the first k centred components, and their explained variance ratios.
 
     Each component is signed so that its largest loading is positive.  With fewer rows than
-    components the first values of the vector come back padded, with equal ratios.
+    components the first values of the vector come back padded, with equal ratios. Rows
+    whose vector is null, empty, or of another length than the longest are left out.
     """
     rows = df.select(F.col(id_column), F.col(vector_column).alias("vector"))
+    longest = rows.agg(F.max(F.size("vector"))).first()[0]
+    rows = rows.filter((F.size("vector") == F.lit(longest)) & (F.size("vector") > 0))
     if rows.limit(k).count() < k:
         first = F.slice("vector", 1, k)
         padded = F.slice(F.concat(first, F.array_repeat(F.lit(0.0).cast("float"), k)), 1, k)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.session import cut_lineage
+
 
 def latest_points(batch: DataFrame, id_column: str = "id", order_column: str = "write_order") -> DataFrame:
     """The last write of every id; combines on the map side, so a hot id stays small."""
@@ -36,11 +38,14 @@ def upsert_collection(
 ) -> int:
     """Write the next snapshot to ``target_path`` and return the number of rows in the batch.
 
+    The batch is computed once: it is written first, and merged and counted from there.
+
     Pass no ``current_path`` to create the collection.  A snapshot is never changed in
     place: readers keep the old one until they switch.
     """
     if target_path == current_path:
         raise ValueError("a snapshot cannot overwrite the one it reads")
     current = spark.read.parquet(current_path) if current_path else None
+    batch = cut_lineage(batch)
     upsert(current, batch, id_column, order_column).write.mode("errorifexists").parquet(target_path)
     return batch.count()
