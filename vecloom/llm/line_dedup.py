@@ -13,6 +13,7 @@ Lines of equal word sets are one class throughout: classes meet, not lines.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from vecloom.session import cut_lineage
 
 PERCENT = 80
 CELLS = 1 << 16
+BITMAP = 1 << 20
+#: From so many words on, a line has 128 parities more.
+WIDE = 100
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _KEEP_BITS = 55
 
@@ -53,21 +57,49 @@ def rarity(docs: DataFrame) -> Column:
 
 def line_sets(docs: DataFrame, table: Column) -> DataFrame:
     """Lines with ``tokens``: each distinct word as its weight and 55 bits of its digest, rarest first."""
-    digests = F.transform("words", lambda w: F.xxhash64(w))
-    packed = F.transform(digests, lambda h: F.shiftleft(F.get(table, _cell(h)).cast("bigint"), _KEEP_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _KEEP_BITS)))
-    tokens = F.sort_array(F.array_distinct(packed))
+
+    def packed(word: Column) -> Column:
+        weight = F.shiftleft(F.get(table, _cell(F.xxhash64(word))).cast("bigint"), _KEEP_BITS)
+        return weight.bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - _KEEP_BITS))
+
+    tokens = F.sort_array(F.array_distinct(F.transform("words", packed)))
     found = lines_of(docs).select("doc_id", "text_hash", "line_no", tokens.alias("tokens"))
     return found.withColumn("key", F.xxhash64("tokens")).withColumn("n", F.size("tokens"))
 
 
-def _parities(half: int) -> Column:
-    """Half of 128 parities of a set's words: bit b tells whether an odd number of words fall on b."""
+def _parities(half: int | None = None) -> Column:
+    """64 parities of a set's words: bit b tells whether an odd number of words fall on b.
+
+    With ``half``, one half of 128 parities, which long lines need.
+    """
 
     def flip(bits: Column, token: Column) -> Column:
         one = F.call_function("shiftleft", F.lit(1).cast("bigint"), token.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(token.bitwiseAND(F.lit(64)) == 64 * half, bits.bitwiseXOR(one)).otherwise(bits)
+        flipped = bits.bitwiseXOR(one)
+        return flipped if half is None else F.when(token.bitwiseAND(F.lit(64)) == 64 * half, flipped).otherwise(bits)
+
+    parities = F.aggregate("tokens", F.lit(0).cast("bigint"), flip)
+    return parities if half is None else F.when(F.col("n") >= WIDE, parities).otherwise(0)
+
+
+def marks(hashes: DataFrame, name: str) -> Callable[[Column], Column]:
+    """Test of a 64-bit hash against a bitmap of 2**20 cells in which all ``hashes`` are marked.
 
-    return F.aggregate("tokens", F.lit(0).cast("bigint"), flip)
+    What reaches the driver and the tasks has that size at most, whatever the corpus. Hashes
+    may be marked by chance, so a join must follow; it gets less to shuffle.
+    """
+    cells = hashes.select(F.pmod(name, F.lit(BITMAP)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_pylist()
+    words = [0] * (BITMAP // 16)
+    for cell in cells:
+        words[cell >> 4] |= 1 << (cell & 15)
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<int>")
+
+    def test(value: Column) -> Column:
+        cell = F.pmod(value, F.lit(BITMAP)).cast("int")
+        bit = F.call_function("shiftright", F.get(table, F.shiftright(cell, 4)), cell.bitwiseAND(F.lit(15)))
+        return bit.bitwiseAND(F.lit(1)) == 1
+
+    return test
 
 
 def least_overlap(n_a: Column, n_b: Column, percent: int) -> Column:
@@ -76,22 +108,35 @@ def least_overlap(n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def classes_of(lines: DataFrame) -> DataFrame:
-    """One row per word set: key, n, its number of lines, where it stands first, its prefix and parities."""
+    """One row per word set: key, n, its number of lines, where it stands first, its prefix and parities.
+
+    Most sets stand once: those pass as they are, and only keys that may repeat are grouped.
+    """
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no")
-    same = [F.first(c).alias(c) for c in ("n", "prefix", "low", "high")]
-    return cut_lineage(lines.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"), *same))
+    kept = ("n", "prefix", "low", "wide_0", "wide_1")
+    often = marks(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key")
+    once = lines.filter(~often(F.col("key"))).select("key", place.alias("first"), F.lit(1).cast("bigint").alias("group_size"), *kept)
+    again = lines.filter(often(F.col("key"))).groupBy("key")
+    again = again.agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"), *[F.first(c).alias(c) for c in kept])
+    return once.unionByName(cut_lineage(again))
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """(a, b): keys of classes that share a prefix word and pass all filters."""
-    posted = classes.select("key", "n", "low", "high", F.posexplode("prefix").alias("at", "token"))
-    a, b = (posted.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "at", "low", "high")]) for side in "ab")
+    # Words that share 32 bits of their hash meet too, which costs a test and loses nothing.
+    posted = classes.select("key", "n", "low", "wide_0", "wide_1", F.posexplode("prefix").alias("at", "token")).withColumn("token", F.hash("token"))
+    a, b = (posted.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "at", "low", "wide_0", "wide_1")]) for side in "ab")
     n_a, n_b, at_a, at_b = F.col("n_a"), F.col("n_b"), F.col("at_a"), F.col("at_b")
     least = least_overlap(n_a, n_b, percent)
+    may_differ = n_a + n_b - 2 * least
     length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     position = F.least(at_a, at_b) + F.least(n_a - at_a, n_b - at_b) >= least
-    differ = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
-    met = a.join(b, "token").filter((F.col("key_a") < F.col("key_b")) & length & position & (differ <= n_a + n_b - 2 * least))
+
+    def differ(c: str) -> Column:
+        return F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+
+    wide = (F.least(n_a, n_b) < WIDE) | (differ("wide_0") + differ("wide_1") <= may_differ)
+    met = a.join(b, "token").filter((F.col("key_a") < F.col("key_b")) & length & position & (differ("low") <= may_differ) & wide)
     return cut_lineage(met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
 
 
@@ -101,7 +146,8 @@ def similar_classes(docs: DataFrame, table: Column, classes: DataFrame, percent:
     wanted = cut_lineage(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
     firsts = classes.join(wanted, "key", "left_semi").select("key", "first")
     ids = cut_lineage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).distinct())
-    texts = docs.select("doc_id", "text").withColumn("_text_hash", F.xxhash64("text"))
+    few = marks(ids, "_hash")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash")).filter(few(F.col("_text_hash")))
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
     sets = line_sets(texts.select("doc_id", "text"), table).select("key", "tokens").join(firsts, "key").dropDuplicates(["key"])
     sets = cut_lineage(sets)
@@ -123,7 +169,7 @@ def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     table = rarity(docs)
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
     sets = line_sets(docs, table)
-    facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", prefix.alias("prefix"), _parities(0).alias("low"), _parities(1).alias("high"))
+    facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", prefix.alias("prefix"), _parities().alias("low"), _parities(0).alias("wide_0"), _parities(1).alias("wide_1"))
     lines = cut_lineage(facts)
     some = lines.filter("n > 0")
     classes = classes_of(some)
