@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from vecloom.catalog.queries import QUERIES, documents  # noqa: E402
 from vecloom.plans import transform as stages  # noqa: E402
-from vecloom.sources.corpus import spread  # noqa: E402
+from vecloom.sources.corpus import read_corpus, spread  # noqa: E402
 from vecloom.session import SETTINGS, cut_lineage, scratch_path  # noqa: E402
 from vecloom.sources.parquet_sink import write_dataset  # noqa: E402
 
@@ -40,6 +40,7 @@ HEADLINE = [
     "int8_bytes",
     "quantization_error",
     "knn_topk",
+    "knn_blocks",
     "semantic_search",
     "pca_project",
     "transform_chunks",
@@ -75,6 +76,10 @@ def stage_rates(spark: SparkSession) -> dict[str, float]:
     settings = stages.JobSettings()
     df = cut_lineage(spread(documents(spark, SF)))
     rates = {}
+    lines, rows = scratch_path(spark, "lines"), df.count()
+    df.drop("metadata").write.json(lines)
+    run(read_corpus(spark, lines))
+    rates["ingest"] = round(rows / run(read_corpus(spark, lines)))
     for stage in stages.STAGES:
         rows = df.count()
         result = stage(df, settings)

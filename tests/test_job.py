@@ -1,5 +1,6 @@
 import json
 from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from vecloom.__main__ import main, overrides
 from vecloom.plans.job import report_frame, run_job
 from vecloom.plans.transform import JobSettings, clean_and_hash, transform_all
 from vecloom.schemas import VECTOR
+from vecloom.session import shared_folder
 from vecloom.sources.corpus import read_corpus
 
 
@@ -76,6 +78,13 @@ def test_cleaning_runs_once_and_texts_are_not_sorted(spark, settings, plan_of):
     assert not any("Sort" in line and "cleaned_content" in line.split("Sort")[1].split("]")[0] for line in plan.splitlines())
 
 
+def test_scratch_goes_when_the_job_ends(spark, settings):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert run_job(spark, replace(settings, strategy="range"))["status"] == "SUCCESS"
+    assert set(folder.iterdir()) == before and spark.read.parquet(settings.output_path).count() > 15
+
+
 def test_rejected_rows_are_counted(spark, settings):
     with open(settings.input_path, "a", encoding="utf-8") as lines:
         lines.write('\n{"content": "no id here at all today"}\n{"document_id": "empty"}\n{"document_id": "bro')

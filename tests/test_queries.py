@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from vecloom.catalog.queries import QUERIES
 
 TABLES = Path("/root/testdata/sf0.001")
 NAMES = "documents embeddings pages benchmark conversations".split()
@@ -25,7 +26,7 @@ def normalized(frame):
     return list(frame.columns), sorted(rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     found = contract.queries()[name](spark, str(TABLES)).toPandas()
     sql = contract.oracle_sql().get(name)
@@ -35,6 +36,10 @@ def test_query_equals_sql(spark, database, name):
     assert normalized(found) == normalized(database.execute(sql).fetchdf())
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(contract.queries())
+
+
 def test_every_statement_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 

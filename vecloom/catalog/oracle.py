@@ -168,6 +168,45 @@ STAGES = (
          (SELECT count(*) FROM kept) AS dedup, (SELECT count(*) FROM chunks) AS chunked)"""
 )
 
+
+
+def _component(name: str, matrix: str, of: str) -> str:
+    """First eigenvector of a covariance, by squaring it again and again, and the covariance without it.
+
+    A power of a symmetric matrix tends to the product of its first eigenvector with itself.
+    """
+    return f"""{name}_power(k, m) AS (
+  SELECT 0, {matrix} FROM {of}
+  UNION ALL
+  SELECT k + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / t)) FROM (
+    SELECT k, q, list_sum(list_transform(q, lambda r, i: r[i])) AS t FROM (
+      SELECT k, list_transform(m, lambda r: list_transform(m, lambda s: list_dot_product(r, s))) AS q FROM {name}_power WHERE k < 30))),
+{name}_row AS (
+  SELECT m[list_position(list_transform(m, lambda r, i: r[i]), list_max(list_transform(m, lambda r, i: r[i])))] AS r FROM {name}_power WHERE k = 30),
+{name}_unit AS (
+  SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))
+    * sign(r[list_position(list_transform(r, lambda y: abs(y)), list_max(list_transform(r, lambda y: abs(y))))])) AS v FROM {name}_row),
+{name} AS (
+  SELECT v, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) AS value, {matrix} AS c FROM {name}_unit, {of} AS o(c)),
+{name}_rest AS (
+  SELECT list_transform(c, lambda r, i: list_transform(r, lambda x, j: x - value * v[i] * v[j])) AS c FROM {name})"""
+
+
+PCA = f"""WITH RECURSIVE vals AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+means AS (SELECT d, avg(x) AS m FROM vals GROUP BY d),
+centred AS (SELECT vec_id, d, x - m AS x FROM vals JOIN means USING (d)),
+entries AS (SELECT a.d AS i, b.d AS j, sum(a.x * b.x) AS v FROM centred a JOIN centred b USING (vec_id) GROUP BY ALL),
+covariance AS (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(v ORDER BY j) AS r FROM entries GROUP BY i)),
+{_component("first", "c", "covariance")},
+{_component("second", "c", "first_rest")},
+{_component("third", "c", "second_rest")},
+total AS (SELECT list_sum(list_transform(c, lambda r, i: r[i])) AS t FROM covariance),
+points AS (SELECT vec_id, list(x ORDER BY d) AS p FROM centred GROUP BY vec_id)
+SELECT vec_id, round(list_dot_product(p, first.v), 6) AS pc1, round(list_dot_product(p, second.v), 6) AS pc2, round(list_dot_product(p, third.v), 6) AS pc3,
+  round(first.value / t, 6) AS ratio1, round(second.value / t, 6) AS ratio2, round(third.value / t, 6) AS ratio3
+FROM points, total, first, second, third"""
+
 KNN = f"""WITH {SCORES}, ranked AS (
   SELECT row_id AS query_id, col_id AS id, cosine AS score,
          row_number() OVER (PARTITION BY row_id ORDER BY round(cosine, 9) DESC, col_id) AS "rank" FROM scores)
@@ -248,6 +287,7 @@ SELECT vec_id, CAST(dimension AS INT) AS dimension,
     "quantization_error": f"WITH {VALUES} SELECT {ERROR} FROM restored",
     "quantization_error_rows": f"WITH {VALUES} SELECT vec_id, {ERROR} FROM restored GROUP BY vec_id",
     "cosine_matrix": f"WITH {SCORES} SELECT row_id, col_id, round(cosine, 6) AS cosine FROM scores",
+    "pca_project": PCA,
     "knn_topk": KNN,
     "knn_blocks": KNN,
     "cosine_centres": """WITH vals AS (

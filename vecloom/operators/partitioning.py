@@ -10,8 +10,10 @@ def partition_by_hash(df: DataFrame, key: str, partitions: int = 16) -> DataFram
     return df.repartition(partitions, F.col(key))
 
 
-def partition_by_range(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
-    return df.repartitionByRange(partitions, F.col(key))
+def partition_by_range(df: DataFrame, key: str | tuple[str, ...], partitions: int | None = 16) -> DataFrame:
+    """Ranges of ``key``; without a number, the session's shuffle width, which AQE fits to the size."""
+    columns = [F.col(c) for c in ((key,) if isinstance(key, str) else key)]
+    return df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
 
 
 def rebalance(df: DataFrame, key: str) -> DataFrame:

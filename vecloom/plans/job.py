@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vecloom.plans.transform import STAGES, JobSettings, lay_out, vector_payload_of
 from vecloom.sources.corpus import accepted, cap_records, judged_corpus, spread
+from vecloom.session import scratch_scope
 from vecloom.sources.parquet_sink import write_dataset
 
 STAGE_METRIC = (
@@ -127,9 +128,9 @@ def reported(spark: SparkSession, settings: JobSettings, path: str | None) -> It
 def run_job(spark: SparkSession, settings: JobSettings, report_path: str | None = None) -> dict:
     """Ingest, transform and write; any failure gives a FAILED report with zero counts.
 
-    The session belongs to the caller and stays open.
+    The session belongs to the caller and stays open; scratch tables go when the run ends.
     """
-    with reported(spark, settings, report_path) as report:
+    with reported(spark, settings, report_path) as report, scratch_scope(spark):
         report.finish(run_stages(spark, spread(judged_corpus(spark, settings.input_path)), settings, judged=True))
     return asdict(report)
 

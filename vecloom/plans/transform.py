@@ -124,7 +124,9 @@ def lay_out(df: DataFrame, settings: JobSettings) -> DataFrame:
     """Arrange rows for the sink by the configured strategy.
 
     A range layout first samples its input, so that is written out instead of computed twice.
+    Ranges go by shard and chunk: as many tasks as the data needs share a large shard, and
+    every file still holds an interval.
     """
     if settings.strategy == "range":
-        return partition_by_range(cut_lineage(df), settings.partition_key, settings.shards)
+        return partition_by_range(cut_lineage(df), (settings.partition_key, "chunk_id"), None)
     return rebalance(df, settings.partition_key)
