@@ -20,12 +20,13 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecloom.llm.batches import bounded
-from vecloom.llm.components import components
+from vecloom.llm.components import components, sized
 from vecloom.llm.groups import attach
 from vecloom.llm.shingles import SLICE_BYTES, set_digest, shingle_sets
 from vecloom.session import cut_lineage
@@ -37,7 +38,11 @@ SLICES = 64
 #: A list is long beyond this, or beyond LONG_TIMES the mean count of a cell.
 LONG = 64
 LONG_TIMES = 8
-LEADER_ROUNDS = 3
+LEADER_ROUNDS, LEADERS = 3, 4
+#: Classes in a chunk of a long list.
+CHUNK = 1024
+#: Cells of the bitmap that tells which texts are read again: 1 MB.
+BITMAP = 1 << 23
 
 
 def least_overlap(n: Any, percent: int = PERCENT) -> Any:
@@ -116,7 +121,11 @@ def weights(parts: DataFrame, cells_log2: int, long: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, table: Any, words: int, percent: int, cells_log2: int) -> DataFrame:
-    """(cid, n, short, long) of each class: the shingles of its prefix, in short and in long lists."""
+    """One row per class: cid, n, its prefix as ``short`` and ``long`` (shingles in short and in long lists).
+
+    A prefix that reaches the long lists has all of a set's shingles in short ones. For these
+    sets ``n_long`` and ``long_key`` are size and digest of the rest, the set's long part.
+    """
     shift = np.uint64(64 - cells_log2)
     lists = pa.list_(pa.int64())
 
@@ -129,12 +138,14 @@ def prefixes(docs: DataFrame, table: Any, words: int, percent: int, cells_log2:
                     of = weight[(found >> shift).astype(np.int64)]
                     order = np.argsort(of, kind="stable")[: n - least_overlap(n, percent) + shared(n)]
                     chosen, heavy = found[order].astype(np.int64), of[order] > 0
-                    rows.append((set_digest(found), n, chosen[~heavy], chosen[heavy]))
+                    rest = found[of > 0] if heavy.any() else found[:0]
+                    rows.append((set_digest(found), n, chosen[~heavy], chosen[heavy], len(rest), set_digest(rest)))
             if rows:
-                cid, n, short, long = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(n, pa.int64()), pa.array(short, lists), pa.array(long, lists)], names=["cid", "n", "short", "long"])
+                cid, n, short, long, n_long, long_key = zip(*rows, strict=True)
+                columns = [pa.array(cid, pa.int64()), pa.array(n, pa.int64()), pa.array(short, lists), pa.array(long, lists), pa.array(n_long, pa.int64()), pa.array(long_key, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "n", "short", "long", "n_long", "long_key"])
 
-    found = docs.select("text").mapInArrow(scan, "cid bigint, n bigint, short array<bigint>, long array<bigint>")
+    found = docs.select("text").mapInArrow(scan, "cid bigint, n bigint, short array<bigint>, long array<bigint>, n_long bigint, long_key bigint")
     return cut_lineage(found.dropDuplicates(["cid"]))
 
 
@@ -143,25 +154,27 @@ def _least_shared(n: Column, percent: int) -> Column:
     return 1 + F.floor(F.ceil(n * percent / 100) / 20)
 
 
-def short_lists(found: DataFrame, percent: int) -> DataFrame:
+def short_lists(found: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
     """(q, need, list): for each class and shingle, the classes of smaller id in the shingle's list.
 
     Only short lists come here; rows are sorted by shingle and read as a stream that holds one
-    list at a time. Sets of too different size are left out.
+    list at a time. Sets of too different size are left out, and those that are in one
+    component already.
     """
     t = _least_shared(F.col("n"), percent)
     need = F.greatest(F.lit(1), t - F.size("long")).cast("int")
-    postings = found.select("cid", "n", need.alias("need"), F.explode("short").alias("token"))
+    known = found.withColumn("label", F.lit(None).cast("bigint")) if labels is None else found.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    postings = known.select("cid", "n", "label", need.alias("need"), F.explode("short").alias("token"))
     names = ["q", "need", "list"]
 
-    def runs(token: np.ndarray, cid: np.ndarray, n: np.ndarray, need: np.ndarray) -> pa.RecordBatch | None:
-        order = np.lexsort((cid, token))
-        token, cid, n, need = token[order], cid[order], n[order], need[order]
+    def runs(*columns: np.ndarray) -> pa.RecordBatch | None:
+        order = np.lexsort((columns[1], columns[0]))
+        token, cid, n, need, label = (c[order] for c in columns)
         at, partner = [], []
         k, here = 1, np.flatnonzero(token[1:] == token[:-1]) + 1
         while len(here):
             small, large = np.minimum(n[here], n[here - k]), np.maximum(n[here], n[here - k])
-            good = here[100 * small >= percent * large]
+            good = here[(100 * small >= percent * large) & (label[here] != label[here - k])]
             at.append(good)
             partner.append(good - k)
             k += 1
@@ -181,6 +194,7 @@ def short_lists(found: DataFrame, percent: int) -> DataFrame:
         held: list[np.ndarray] | None = None
         for batch in batches:
             columns = [batch.column(c).to_numpy() for c in ("token", "cid", "n", "need")]
+            columns.append(pc.coalesce(batch.column("label"), batch.column("cid")).to_numpy())
             if held is not None:
                 columns = [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1])) if len(columns[0]) else 0
@@ -216,15 +230,19 @@ def probe_long(query: np.ndarray, candidate: np.ndarray) -> int:
     return int((candidate[at] == query).sum())
 
 
-def candidates(found: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that occur in T of their lists, among those that share a short list."""
-    grouped = short_lists(found, percent).groupBy("q").agg(F.max("need").alias("need"), F.collect_list("list").alias("lists"))
+def candidates(found: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b): pairs in different components that occur in T of their lists, among those that share a short list.
+
+    Sizes known, a pair must occur in more lists than T: in as many as its overlap has
+    shingles that cannot lie behind the prefixes.
+    """
+    grouped = short_lists(found, labels, percent).groupBy("q").agg(F.max("need").alias("need"), F.collect_list("list").alias("lists"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list[int], list[int], list[int]] = ([], [], [])
-            for q, need, lists in zip(batch.column("q").to_pylist(), batch.column("need").to_pylist(), batch.column("lists").to_pylist(), strict=True):
-                for c, count in merge_short(lists, need):
+            for q, need, lists in zip(batch.column("q").to_pylist(), batch.column("need").to_pylist(), batch.column("lists"), strict=True):
+                for c, count in merge_short(lists.as_py(), need):
                     out[0].append(q)
                     out[1].append(c)
                     out[2].append(count)
@@ -232,7 +250,15 @@ def candidates(found: DataFrame, percent: int) -> DataFrame:
 
     pairs = cut_lineage(grouped.mapInArrow(search, "a bigint, b bigint, count int"))
     sizes = found.select("cid", "n", F.sort_array("long").alias("long"))
-    least = 1 + F.floor(F.least("n_a", "n_b") / 20)
+
+    def behind(n: Column) -> Column:
+        """Shingles of a set that its prefix leaves out."""
+        return F.ceil(n * percent / 100) - 1 - F.floor(n / 20)
+
+    # All that two sets share and one prefix does not show lies behind that prefix.
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    shown = overlap - F.greatest(behind(F.col("n_a")), behind(F.col("n_b")))
+    least = F.greatest(1 + F.floor(F.least("n_a", "n_b") / 20), shown)
     joined = (
         pairs.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("long").alias("long_a")), "a")
         .join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("long").alias("long_b")), "b")
@@ -251,17 +277,28 @@ def candidates(found: DataFrame, percent: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cid, n, set) of the ``wanted`` classes, from the text of the smallest doc_id that has the class."""
-    first = rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("_id"))
-    ids = cut_lineage(first).select("_id").distinct()
-    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
+    """(cid, set) of the ``wanted`` classes, read again from one text of each.
+
+    Texts are not joined: a bitmap of BITMAP cells, which the chosen texts' hashes are marked
+    in, goes to all tasks, and only texts whose cell is marked are looked at. A text that is
+    marked by chance leaves in the join by class.
+    """
+    chosen = rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("text_hash").alias("text_hash"))
+    cells = chosen.select(F.pmod("text_hash", F.lit(BITMAP)).cast("int").alias("cell")).distinct().toArrow()
+    marked = np.zeros(BITMAP, bool)
+    marked[cells.column("cell").to_numpy()] = True
+    bitmap = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
     lists = pa.list_(pa.int64())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "text", SLICE_BYTES):
-            sets = shingle_sets(batch.column("text"), words)
-            yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.astype(np.int64) for s in sets], lists)], names=["cid", "set"])
-
+        known = np.unpackbits(bitmap.value).astype(bool)
+        for whole in batches:
+            few = whole.filter(pa.array(known[whole.column("cell").to_numpy()]))
+            for batch in bounded(iter([few]), "text", SLICE_BYTES):
+                sets = shingle_sets(batch.column("text"), words)
+                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.astype(np.int64) for s in sets], lists)], names=["cid", "set"])
+
+    texts = docs.select("text", F.pmod(F.xxhash64("text"), F.lit(BITMAP)).cast("int").alias("cell"))
     found = texts.mapInArrow(scan, "cid bigint, set array<bigint>").join(wanted, "cid", "left_semi")
     return cut_lineage(found.dropDuplicates(["cid"]))
 
@@ -287,68 +324,122 @@ def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def dense_pairs(postings: DataFrame, labels: DataFrame | None, seed: int, total: int) -> DataFrame:
-    """For each class, the leader that most of its long lists name; a list's leader is one of its classes, by a hash."""
-    leaders = cut_lineage(postings.groupBy("token").agg(F.min_by("cid", F.xxhash64("cid", F.lit(seed))).alias("leader"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"))
-    named = attach(postings, leaders, "token", total).filter("cid <> leader").groupBy("cid", "leader").agg(F.count(F.lit(1)).alias("k"))
-    pairs = named.select(F.col("cid").alias("a"), F.col("leader").alias("b"), "k")
+    """For each class, the LEADERS leaders that most of its long lists name, if they are in other components.
+
+    A list's leaders are the first of its classes by some hashes, so that a dense group has few.
+    """
+    ranks = [F.min_by("cid", F.xxhash64("cid", F.lit(seed * LEADERS + i))) for i in range(LEADERS)]
+    leaders = postings.groupBy("token").agg(F.array_distinct(F.array(*ranks)).alias("leaders"), F.count(F.lit(1)).alias("group_size"))
+    leaders = cut_lineage(sized(leaders.filter("group_size > 1"), total))
+    named = attach(postings, leaders, "token", total).select("cid", F.explode("leaders").alias("leader")).filter("cid <> leader")
+    pairs = named.groupBy("cid", "leader").agg(F.count(F.lit(1)).alias("k")).select(F.col("cid").alias("a"), F.col("leader").alias("b"), "k")
     open_pairs = labelled(labelled(pairs, labels, "a", "_la"), labels, "b", "_lb").filter("_la <> _lb")
-    return open_pairs.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
+    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.col("k").desc(), "b"))
+    return open_pairs.withColumn("nth", nth).filter(F.col("nth") <= LEADERS).select("a", "b")
 
 
 def remaining_pairs(postings: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """All pairs in a long list whose classes are in different components, asked from the smaller component's side.
+    """Pairs in different components that occur in T of their long lists, asked from the smaller component's side.
 
     Members of the component that holds most of a list ask nothing in it: whoever is not of
-    them asks them.
+    them asks them. Lists are cut into chunks by a hash of the class, the same for all lists, of
+    about CHUNK classes in the longest; an asking class takes each of its lists' chunks as one
+    row and merges them by a heap. Only long parts can meet here (what shares a short list is
+    found by it), which bounds the similarity from above; equal long parts are judged already.
     """
-    rows = cut_lineage(labelled(postings, labels, "cid", "label"))
+    total = postings.count()
+    rows = cut_lineage(sized(labelled(postings, labels, "cid", "label"), total))
     counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = cut_lineage(counts.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("n_labels")).filter("n_labels > 1"))
-    asking = rows.join(main, "token").filter("label <> main").select("token", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"))
-    asked = rows.join(main.select("token"), "token").select("token", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
-    alike = (F.col("_la") != F.col("_lb")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    pairs = asking.join(asked, "token").filter(alike)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    main = counts.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("size"), F.count(F.lit(1)).alias("n_labels"))
+    main = cut_lineage(sized(main.filter("n_labels > 1"), total))
+    longest = main.agg(F.max("size")).first()[0]
+    if longest is None:
+        return postings.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
+    chunks = -(-longest // CHUNK)
+    asking = rows.join(main, "token").filter("label <> main").select("token", F.col("cid").alias("a"), _least_shared(F.col("n"), percent).cast("int").alias("need"))
+    chunk = F.pmod(F.xxhash64("cid"), F.lit(chunks)).alias("chunk")
+    lists = rows.join(main.select("token"), "token").groupBy("token", chunk).agg(F.sort_array(F.collect_list("cid")).alias("list"))
+    grouped = asking.join(lists, "token").groupBy("a", "chunk").agg(F.max("need").alias("need"), F.collect_list("list").alias("lists"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, need, held in zip(batch.column("a").to_pylist(), batch.column("need").to_pylist(), batch.column("lists"), strict=True):
+                found = [c for c, _ in merge_short(held.as_py(), need) if c != a]
+                yield pa.RecordBatch.from_arrays([pa.array([a] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
+
+    pairs = apart(cut_lineage(grouped.mapInArrow(search, "a bigint, b bigint")), labels)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sizes = cut_lineage(sized(postings.select("cid", "n", "n_long", "long_key").distinct(), total))
+    for side in "ab":
+        pairs = pairs.join(sizes.toDF(side, f"n_{side}", f"n_long_{side}", f"long_key_{side}"), side)
+    most = F.least("n_long_a", "n_long_b")
+    alike = (F.col("long_key_a") != F.col("long_key_b")) & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
+    return pairs.filter(alike).select("a", "b")
+
+
+def dense_classes(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of classes that long lists alone can link: the links among equal long parts, and the postings of who is still to be compared.
+
+    Two classes that share no short list share just what their long parts share. So a class
+    whose long part is too small a share of it has no such link. Classes of equal long part
+    are similar if their other shingles together are few enough; then the one with the
+    fewest is similar to both, and a star around it links what links. That needs no pairs.
+    What is left to compare across long parts are these centres and the classes outside stars.
+    """
+    t = _least_shared(F.col("n"), percent)
+    able = found.filter((F.size("long") >= t) & (100 * F.col("n_long") >= percent * F.col("n")))
+    dense = cut_lineage(able.select("cid", "n", "n_long", "long_key", "long"))
+    centres = dense.groupBy("long_key").agg(F.min(F.struct("n", "cid")).alias("centre"), F.count(F.lit(1)).alias("group_size"))
+    total = dense.count()
+    centres = centres.select("long_key", "centre.*", "group_size").toDF("long_key", "centre_n", "centre", "group_size")
+    centres = cut_lineage(sized(centres, total))
+    joined = attach(dense, centres, "long_key", total)
+    close = 100 * F.col("n_long") >= percent * (F.col("n") + F.col("centre_n") - F.col("n_long"))
+    judged = cut_lineage(sized(joined.withColumn("linked", close & (F.col("cid") != F.col("centre"))), total))
+    links = judged.filter("linked").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+    nodes = judged.filter("not linked").select("cid", "n", "n_long", "long_key", F.explode("long").alias("token"))
+    return links, cut_lineage(nodes)
 
 
 def classes_joined(docs: DataFrame, rows: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """(node, label) of the classes that have links, or None if there are no candidates.
+    """(node, label) of the classes that have links, or None if there are none.
 
-    First each class is held against its likeliest partner only; of all other candidates only
-    those that are still in different components are verified. Classes whose prefix lies so
-    much in long lists that short ones need not name a partner (dense groups) go by leaders,
-    then by the lists' remaining pairs across components. No pair that could link two
+    Dense groups come first: stars of equal long parts, then leaders, as far as they link.
+    Candidates from short lists are searched only across the components known by then, and of
+    these each class is held against its first partner before the rest is verified. Last come
+    the pairs that long lists still hold across components. No pair that could link two
     components is left out.
     """
-    pairs = cut_lineage(candidates(found, percent))
-    t = _least_shared(F.col("n"), percent)
-    dense = cut_lineage(found.filter(F.size("long") >= t).select("cid", "n", F.explode("long").alias("token")))
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(dense.select("cid")).distinct()
-    wanted = cut_lineage(wanted)
-    if wanted.isEmpty():
-        return None
-    sets = whole_sets(docs, rows, wanted, words)
-    best = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    links = cut_lineage(verified(best, sets, percent))
+    links, nodes = dense_classes(found, percent)
+    total = nodes.count()
+    links = cut_lineage(sized(links, total))
     labels = None if links.isEmpty() else components(links)
-    total = dense.count()
 
-    def more(asked: DataFrame) -> bool:
+    def add(new: DataFrame, most: int) -> bool:
+        """Takes new links in, of which there are ``most`` at most."""
         nonlocal links, labels
-        new = cut_lineage(verified(asked, sets, percent))
+        new = cut_lineage(sized(new, most))
         if new.isEmpty():
             return False
-        links = cut_lineage(links.unionByName(new))
+        links = links.unionByName(new)
         labels = components(links)
         return True
 
-    for seed in range(LEADER_ROUNDS if total else 0):
-        if not more(dense_pairs(dense, labels, seed, total)):
-            break
-    rest = apart(pairs, labels)
     if total:
-        rest = rest.unionByName(apart(remaining_pairs(dense, labels, percent), labels)).distinct()
-    more(rest)
+        sets = whole_sets(docs, rows, nodes.select("cid").distinct(), words)
+        for seed in range(LEADER_ROUNDS):
+            if not add(verified(dense_pairs(nodes, labels, seed, total), sets, percent), total):
+                break
+        asked = cut_lineage(sized(remaining_pairs(nodes, labels, percent), total))
+        add(verified(asked, sets, percent), asked.count())
+    pairs = cut_lineage(candidates(found, labels, percent))
+    wanted = cut_lineage(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+    if wanted.isEmpty():
+        return labels
+    sets = whole_sets(docs, rows, wanted, words)
+    most = pairs.count()
+    add(verified(pairs.groupBy("a").agg(F.min("b").alias("b")), sets, percent), most)
+    add(verified(apart(pairs, labels), sets, percent), most)
     return labels
 
 
