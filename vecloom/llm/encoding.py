@@ -19,9 +19,11 @@ import pyarrow.compute as pc
 
 from vecloom.llm.batches import spans, text_buffer
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 MEMO_WORDS = 1_500_000
 JOINED = 24
+#: Texts given to the library in one call: its results are large until their ids are taken.
+AT_ONCE = 1000
 
 _ids = np.arange(256)
 # Lead bytes of characters that are never white space; of others only ASCII is judged here.
@@ -68,19 +70,22 @@ class Encoder:
         regular = [i for i, t in enumerate(texts) if len(t) > 1 and t[0] == " " and visible(t[1]) and visible(t[-1])]
         ids: list[list[int]] = [[]] * len(texts)
         parts = [regular[k : k + JOINED] for k in range(0, len(regular), JOINED)]
-        joined = self.tokenizer.encode_batch(["".join(texts[i] for i in part) for part in parts], add_special_tokens=False)
-        for part, found in zip(parts, joined, strict=True):
-            # A token ends in its own cut, though it may begin with the space before its word.
-            ends = [e for _, e in found.offsets]
-            at, place, got = 0, 0, found.ids
-            for i in part:
-                place += len(texts[i])
-                stop = bisect.bisect_right(ends, place, at)
-                ids[i] = got[at:stop]
-                at = stop
+        for some in (parts[k : k + AT_ONCE] for k in range(0, len(parts), AT_ONCE)):
+            joined = self.tokenizer.encode_batch(["".join(texts[i] for i in part) for part in some], add_special_tokens=False)
+            for part, found in zip(some, joined, strict=True):
+                # A token ends in its own cut, though it may begin with the space before its word.
+                ends = [e for _, e in found.offsets]
+                at, place, got = 0, 0, found.ids
+                for i in part:
+                    place += len(texts[i])
+                    stop = bisect.bisect_right(ends, place, at)
+                    ids[i] = got[at:stop]
+                    at = stop
         alone = sorted(set(range(len(texts))) - set(regular))
-        for i, e in zip(alone, self.tokenizer.encode_batch([texts[i] for i in alone], add_special_tokens=False), strict=True):
-            ids[i] = e.ids
+        for k in range(0, len(alone), AT_ONCE):
+            part = alone[k : k + AT_ONCE]
+            for i, e in zip(part, self.tokenizer.encode_batch([texts[i] for i in part], add_special_tokens=False), strict=True):
+                ids[i] = e.ids
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         self.starts = np.concatenate((self.starts, len(self.pool) + np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)))
         self.lengths = np.concatenate((self.lengths, lengths))
