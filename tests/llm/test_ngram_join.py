@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -82,6 +83,35 @@ def test_prefixes_share_what_is_counted_on():
             assert len(cut[0] & cut[1]) >= ngram_join.shared(min(len(a), len(b)))
 
 
+def long_pairs(spark, classes, labels):
+    """Pairs that remaining_pairs finds among ``classes``: cid to (n, tokens in long lists)."""
+    postings = [(cid, n, n, cid, t) for cid, (n, tokens) in classes.items() for t in tokens]
+    frame = spark.createDataFrame(postings, "cid bigint, n bigint, n_long bigint, long_key bigint, token bigint")
+    found = ngram_join.remaining_pairs(frame, spark.createDataFrame(list(labels.items()), "node bigint, label bigint"), ngram_join.PERCENT)
+    return {(r.a, r.b) for r in found.collect()}
+
+
+def test_links_across_split_main_lists(spark):
+    # Lists 1 to 3 are led by the component of class 1, lists 4 to 6 by that of class 2.
+    classes = {1: (80, range(1, 7)), 2: (100, range(1, 7))}
+    classes |= {c: (80, range(1, 4)) for c in range(10, 13)} | {c: (100, range(4, 7)) for c in range(20, 23)}
+    labels = {c: 1 if c == 1 or 10 <= c < 20 else 2 for c in classes}
+    assert (1, 2) in long_pairs(spark, classes, labels)
+
+
+def test_long_lists_equal_all_pairs(spark):
+    rng = random.Random(7)
+    classes = {c: (rng.randrange(80, 101), rng.sample(range(12), rng.randrange(3, 9))) for c in range(60)}
+    labels = {c: c % 3 for c in classes if c % 10}
+    want = set()
+    for a, b in itertools.combinations(classes, 2):
+        (n, x), (m, y) = classes[a], classes[b]
+        apart = labels.get(a, a) != labels.get(b, b)
+        if apart and 100 * min(n, m) >= 80 * max(n, m) and len(set(x) & set(y)) >= ngram_join.shared(min(n, m)):
+            want.add((a, b))
+    assert want and want <= long_pairs(spark, classes, labels)
+
+
 def test_shingles_equal_word_tuples():
     texts = ["A b c d e f", "a B c\td  e\nf", "x", "", None, "É é", "é É", "a" * 5000 + " b", "b c d e f a b c d e f"]
     sets = shingle_sets(pa.array(texts), 5)

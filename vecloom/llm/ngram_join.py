@@ -342,7 +342,9 @@ def remaining_pairs(postings: DataFrame, labels: DataFrame | None, percent: int)
     """Pairs in different components that occur in T of their long lists, asked from the smaller component's side.
 
     Members of the component that holds most of a list ask nothing in it: whoever is not of
-    them asks them. Lists are cut into chunks by a hash of the class, the same for all lists, of
+    them asks them. A list that two classes share is asked by one of them at least, so one of the
+    two finds half of T there, and either finds all but its own unasked lists: who asks needs the
+    larger of both. Lists are cut into chunks by a hash of the class, the same for all lists, of
     about CHUNK classes in the longest; an asking class takes each of its lists' chunks as one
     row and merges them by a heap. Only long parts can meet here (what shares a short list is
     found by it), which bounds the similarity from above; equal long parts are judged already.
@@ -356,7 +358,11 @@ def remaining_pairs(postings: DataFrame, labels: DataFrame | None, percent: int)
     if longest is None:
         return postings.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
     chunks = -(-longest // CHUNK)
-    asking = rows.join(main, "token").filter("label <> main").select("token", F.col("cid").alias("a"), _least_shared(F.col("n"), percent).cast("int").alias("need"))
+    known = rows.join(main, "token")
+    unasked = known.filter("label = main").groupBy("cid").agg(F.count(F.lit(1)).alias("unasked"))
+    t = _least_shared(F.col("n"), percent)
+    need = F.greatest(F.ceil(t / 2), t - F.coalesce("unasked", F.lit(0))).cast("int").alias("need")
+    asking = known.filter("label <> main").join(unasked, "cid", "left").select("token", F.col("cid").alias("a"), need)
     chunk = F.pmod(F.xxhash64("cid"), F.lit(chunks)).alias("chunk")
     lists = rows.join(main.select("token"), "token").groupBy("token", chunk).agg(F.sort_array(F.collect_list("cid")).alias("list"))
     grouped = asking.join(lists, "token").groupBy("a", "chunk").agg(F.max("need").alias("need"), F.collect_list("list").alias("lists"))
