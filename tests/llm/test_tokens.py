@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from vecloom.llm import packing, token_files
 from vecloom.llm.encoding import encoder, with_end
@@ -38,6 +39,19 @@ def test_any_text_is_encoded_whole(texts):
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("as_text", [False, True])
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_ids_equal_a_fresh_tokenizer(path, as_text):
+    tokenizer, rng = Tokenizer.from_file(path), random.Random(8)
+    tokenizer.encode_special_tokens = as_text
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|", "endoftext|>", "a", "hello", " ", " ", "  ", "\n", "é", ".", "1", "日", "'s"]
+    texts = ["x <|endoftext|> y", "<|endoftext|>", None, *("".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(500))]
+    ids, bounds = encoder(path, as_text).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    special = tokenizer.token_to_id("<|endoftext|>")
+    assert (ids[bounds[1] : bounds[2]].tolist() == [special]) != as_text
+
+
 def test_end_ids():
     ids, bounds = with_end(np.array([5, 6, 7], np.uint32), np.array([0, 2, 2, 3]), 1)
     assert ids.tolist() == [5, 6, 1, 1, 7, 1] and bounds.tolist() == [0, 3, 4, 6]

@@ -2,7 +2,8 @@
 
 A text is cut at single spaces between two visible characters. Both vocabularies start a new
 word there whatever stands around it, so the ids of the cuts, one after the other, are the
-ids of the text; a test compares them with whole-text encoding. Each distinct cut of a batch
+ids of the text; a test compares them with whole-text encoding. Strings of special tokens are
+one id each, as the vocabulary is loaded; they hold no space, so no cut falls inside. Each distinct cut of a batch
 is looked up once and encoded only if the process has not met it.
 """
 
@@ -52,12 +53,12 @@ def visible(character: str) -> bool:
 class Encoder:
     """Token ids of text columns; holds what the process has encoded so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.forget()
 
     def forget(self) -> None:
@@ -119,9 +120,12 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per vocabulary in a worker process, which serves many tasks."""
-    return Encoder(path)
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    """One encoder per vocabulary in a worker process, which serves many tasks.
+
+    With ``special_as_text`` the strings of special tokens in a text are ordinary text.
+    """
+    return Encoder(path, special_as_text)
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -67,12 +67,12 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, i
     return runs
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, special_as_text: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, ids (binary, unsigned 32-bit little-endian)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer_path)
+        coder = encoder(tokenizer_path, special_as_text)
         for batch in bounded(batches, "text", SLICE_BYTES):
             ids, bounds = with_end(*coder.encode(batch.column("text")), end_id)
             size = np.diff(bounds)
@@ -108,14 +108,14 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return slots.select(*cut.columns, sequence.alias("sequence_id"), offset.alias("offset"))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """Pieces of all documents with their place in a sequence.
 
     A null or empty text is its end id alone. Rows that repeat a doc_id are packed each. An
     empty table gives no rows. ``with_ids`` keeps the ids of each piece. Other columns of
     ``docs`` are not read.
     """
-    cut = pieces(docs, tokenizer_path, capacity, end_id)
+    cut = pieces(docs, tokenizer_path, capacity, end_id, special_as_text)
     return place(cut_lineage(cut if with_ids else cut.drop("ids")), capacity)
 
 

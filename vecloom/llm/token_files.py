@@ -150,7 +150,7 @@ class PlaneReader:
 MANIFEST = "partition int, nth int, uri string, n_docs bigint, n_ids bigint"
 
 
-def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, kind: str = "byte", file_ids: int = FILE_IDS) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, kind: str = "byte", file_ids: int = FILE_IDS, special_as_text: bool = False) -> DataFrame:
     """Writes the ids of all documents in ascending doc_id order; returns the manifest, one row per file.
 
     A null text is empty, so every document has its end id at least. Null ids come first; rows
@@ -161,7 +161,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, writer, uri, nth = encoder(tokenizer_path), None, "", 0
+        coder, writer, uri, nth = encoder(tokenizer_path, special_as_text), None, "", 0
         partition = TaskContext.get().partitionId()
 
         def closed() -> pa.RecordBatch:
