@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index, licenses, line_dedup, ngram_join, packing, quality, token_files, toxicity, warc
+from vecloom.llm import decontamination, digest_index, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, toxicity, warc
 from vecloom.session import scratch_path
 
 
@@ -71,6 +71,10 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decide(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_best_fit_packing": best_fit_packing,
@@ -82,9 +86,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup_report,
     "op9_toxicity": toxicity_scores,
     "op10_quality_classifier": quality_scores,
+    "op13_source_mix": source_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op13_source_mix": """
+        WITH d AS (
+            SELECT doc_id, coalesce('=' || source, '') AS s, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+                ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents
+        ), sources AS (
+            SELECT s, sum(size)::BIGINT AS words FROM d GROUP BY s
+        ), weighed AS (
+            SELECT s, words, [3, 1, 2][((row_number() OVER (ORDER BY s = '', s) - 1) % 3 + 1)::INT] AS w, 1.5::DOUBLE * sum(words) OVER () AS everything FROM sources
+        ), level AS (
+            SELECT *, (2 * words)::DOUBLE * sum(w) OVER (ORDER BY words / w, s = '', s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                < w * (everything - coalesce(2::DOUBLE * sum(words) OVER (ORDER BY words / w, s = '', s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS full_ FROM weighed
+        ), plan AS (
+            SELECT s, words, CASE WHEN full_ THEN 2::DOUBLE * words ELSE coalesce(w * (everything - coalesce(sum(2::DOUBLE * words) FILTER (full_) OVER (), 0)) / nullif(sum(w) FILTER (NOT full_) OVER (), 0), 0) END AS target FROM level
+        ), steps AS (
+            SELECT *, coalesce(target / nullif(words, 0), 0) AS each, ('0x' || substr(md5('mix/' || s), 1, 6))::BIGINT AS u FROM plan
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY s ORDER BY size, h, doc_id) AS n FROM d
+        ), placed AS (
+            SELECT *, floor((each - floor(each)) * 16777216)::BIGINT AS part FROM ranked JOIN steps USING (s)
+        )
+        SELECT doc_id, size, words AS source_size, target, size * (floor(each)::BIGINT + ((n * part + u) >> 24) - (((n - 1) * part + u) >> 24)) AS taken FROM placed
+    """,
     "op5_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
         g AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
