@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, toxicity, warc
+from vecloom.llm import decontamination, digest_index, licenses, line_dedup, mixing, ngram_join, packing, quality, ranked_search, token_files, toxicity, warc
 from vecloom.session import scratch_path
 
 
@@ -75,6 +75,10 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_best_fit_packing": best_fit_packing,
@@ -86,10 +90,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup_report,
     "op9_toxicity": toxicity_scores,
     "op10_quality_classifier": quality_scores,
+    "op11_ranked_search": ranked_lexical_search,
     "op13_source_mix": source_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_ranked_search": """
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents
+        ), corpus AS (
+            SELECT count(*) AS big_n, sum(len(words))::BIGINT AS big_l FROM d WHERE len(words) > 0
+        ), tf AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d) GROUP BY r, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+        ), m AS (
+            SELECT r, doc_id, 50 + (50 * len(words) * big_n) // big_l AS m FROM d, corpus WHERE len(words) > 0
+        ), scores AS (
+            SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id
+        ), places AS (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM places WHERE rank <= 50
+    """,
     "op13_source_mix": """
         WITH d AS (
             SELECT doc_id, coalesce('=' || source, '') AS s, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,

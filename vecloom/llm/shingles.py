@@ -35,10 +35,10 @@ def _powers_to(n: int) -> np.ndarray:
     return _powers
 
 
-def word_digests(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of all words in order, and where each row's words begin and the last one's end."""
+def word_digests(column: pa.Array, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of all words in order, and where each row's words begin and the last one's end. ``separator`` marks the bytes between words."""
     data, ends = text_buffer(column)
-    visible = ~_SPACE[data]
+    visible = ~separator[data]
     start = visible.copy()
     start[1:] &= ~visible[:-1]
     rows = ends[:-1][ends[:-1] < ends[1:]]
