@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import decontamination, digest_index, licenses, line_dedup, mixing, ngram_join, packing, quality, ranked_search, token_files, toxicity, warc
+from vecloom.llm import alignment, decontamination, digest_index, licenses, line_dedup, mixing, ngram_join, packing, quality, ranked_search, token_files, toxicity, warc
 from vecloom.session import scratch_path
 
 
@@ -71,6 +71,11 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity_scores,
     "op10_quality_classifier": quality_scores,
     "op11_ranked_search": ranked_lexical_search,
+    "op12_tokenizer_alignment": tokenizer_alignment,
     "op13_source_mix": source_mix,
 }
 
