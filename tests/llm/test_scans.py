@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
 import string
+import time
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -61,6 +64,36 @@ def test_expressions():
             licenses.to_postfix(bad.split())
 
 
+def plain_expression(tokens):
+    """The longest beginning that the parser takes, tried one by one."""
+    best = 0
+    for n in range(1, len(tokens) + 1):
+        try:
+            licenses.to_postfix(tokens[:n])
+            best = n
+        except ValueError:
+            pass
+    return tokens[:best]
+
+
+def test_longest_expression_of_a_line():
+    draw = random.Random(4)
+    atoms = ["mit", "gpl-3.0", "and", "or", "with", "(", ")"]
+    for _ in range(3000):
+        tokens = [draw.choice(atoms) for _ in range(draw.randint(0, 9))]
+        found = licenses.expression_at(" ".join(tokens).encode())
+        # Two names in a row end the expression for good, as plain words follow it.
+        assert found == plain_expression(tokens)
+    assert licenses.expression_at(b" mit and apache-2.0. see the file") == ["mit", "and", "apache-2.0"]
+
+
+@pytest.mark.parametrize("line", ["(" * 1_000_000, "mit and " * 125_000, "(" * 400_000 + "mit" + ")" * 400_000, "(mit or " * 100_000 + "x" + ")" * 100_000, " ".join(f"l{i} and" for i in range(100_000)) + " z", "spdx-license-identifier: and " * 35_000])
+def test_long_expressions_take_linear_time(line):
+    started = time.time()
+    n, _, _, _, _, labels, _ = licenses.scan_text(b"SPDX-License-Identifier: " + line.encode())
+    assert time.time() - started < 2
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id bigint, url string, html string, digest string, intact int")
 
@@ -83,6 +116,32 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.archive(pages_of(spark, []), str(tmp_path / "none")).count() == 0
 
 
+def test_repeated_pages_are_records_of_their_own(spark, tmp_path):
+    long, other = LONG * 8, "o" * 50_000
+    rows = [(1, "u", long), (1, "u", long), (1, "v", long), (2, "u", long), (2, "u", long), (3, "u", "short"), (3, "u", "short"), (None, "u", other), (None, "u", other), (None, "u", "tiny"), (None, "u", "tiny"), (4, "u", None), (4, None, None), (1, "u", other), (5, "u", "only"), (6, "w", long + "!")]
+    rows += [(7, "u", "hot" * 400)] * 300 + [(8, "u", "hot" * 400)] * 40
+    manifest = warc.write(pages_of(spark, rows).repartition(5), str(tmp_path / "warc"), segment_bytes=700)
+    names = []
+    for r in manifest.collect():
+        with open_stream(r.uri) as stream:
+            names += [(p["origin"], p["segment"]) for p in warc.parsed(stream)]
+    assert len(set(names)) == len(names)
+    responses = {n for n, s in names if s in (None, 1)}
+    assert {r.refers_record for r in warc.records(manifest).filter("type = 'revisit'").collect()} <= responses
+    found = warc.read(manifest).collect()
+    first = {}
+    for page, _, html in rows:
+        payload = (html or "").encode()
+        if len(payload) >= 100 and page is not None:
+            first[payload] = min(first.get(payload, page), page)
+    want = Counter()
+    for page, _, html in rows:
+        payload = (html or "").encode()
+        keeper = first.get(payload, page)
+        want[page, len(payload), hashlib.sha256(payload).hexdigest(), "response" if keeper == page else "revisit", None if keeper == page else keeper, True] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.intact) for r in found) == want
+
+
 def test_segments_and_broken_records(spark, tmp_path):
     manifest = warc.write(pages_of(spark, [(1, "u", LONG)]), str(tmp_path / "warc"), segment_bytes=1000)
     with open_stream(manifest.first().uri) as stream:

@@ -101,32 +101,44 @@ def evaluate(tokens: list[str]) -> tuple[set[str], int]:
             (right, more), (left, asked) = stack.pop(), stack.pop()
             if token == "with":
                 stack.append((left, min(asked, 1) if asked < 3 else 3))
-            else:
-                stack.append((left | right, (max if token == "and" else min)(asked, more)))
+                continue
+            # The smaller set goes into the larger one, so that a long chain is not copied at every step.
+            small, large = sorted((left, right), key=len)
+            large |= small
+            stack.append((large, (max if token == "and" else min)(asked, more)))
         else:
             stack.append(({token}, FAMILIES.get(family(token), 3)))
     return stack.pop()
 
 
 def expression_at(line: bytes) -> list[str]:
-    """Tokens of the longest well-formed expression that begins a line of lower-case text."""
+    """Tokens of the longest well-formed expression that begins a line of lower-case text.
+
+    One pass: it is known after every token whether an operand must follow and how many
+    brackets are open, so the last place where the tokens so far were well-formed is kept, and
+    reading stops at the first token that nothing can mend. Any length is read in linear time.
+    """
     tokens: list[str] = []
-    best = 0
-    end = 0
+    best = end = depth = 0
+    operand = True
     for atom in _ATOM.finditer(line):
         if line[end : atom.start()].strip() and tokens:
             break
         token = atom[0].decode().rstrip(".:") or atom[0].decode()
-        alternates = bool(tokens) and tokens[-1] not in BINDING and tokens[-1] != "(" and token not in BINDING and token != ")"
-        if alternates:
+        if operand != (token not in BINDING and token != ")"):
             break
+        if token == "(":
+            depth += 1
+        elif token == ")":
+            depth -= 1
+            if depth < 0:
+                break
+        else:
+            operand = token in BINDING
         tokens.append(token)
         end = atom.end()
-        try:
-            to_postfix(tokens)
+        if not operand and not depth:
             best = len(tokens)
-        except ValueError:
-            pass
     return tokens[:best]
 
 
@@ -176,7 +188,8 @@ def scan(docs: DataFrame) -> DataFrame:
     A base place is where the words of a base phrase stand one after the other, whatever
     separates them. Labels of identifiers are ``spdx:`` and the identifier, and ``asks:`` with
     what the expression asks. The score is 1 with a well-formed identifier, 0.9 with notices
-    only, else 0. Null and empty texts have no words. No rows meet, so repeats, null ids and
+    only, else 0. Of a line behind a tag, the longest well-formed expression that begins it
+    counts, whatever its length. Null and empty texts have no words. No rows meet, so repeats, null ids and
     other columns do not matter.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -14,11 +14,11 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.batches import bounded
-from vecloom.llm.groups import attach
+from vecloom.llm.groups import HOT_SHARE, attach
 from vecloom.llm.shared_files import new_file, open_stream
 from vecloom.session import cut_lineage, scratch_path
 
@@ -59,9 +59,9 @@ def record(kind: str, record_id: str, fields: dict[str, Any], block: bytes) -> b
     return b"WARC/1.1\r\n" + lines.encode() + _CRLF + block + _CRLF + _CRLF
 
 
-def page_records(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int) -> Iterator[bytes]:
-    """The records of one page: a response with its continuations, or a revisit."""
-    name = record_name(page_id, digest)
+def page_records(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int, again: int | None = None) -> Iterator[bytes]:
+    """The records of one page: a response with its continuations, or a revisit. ``again`` numbers a repeated row."""
+    name = record_name(page_id, digest, again)
     target = " ".join((url or "").split()) or None
     fields = {"WARC-Target-URI": target, "WARC-Page-ID": page_id, "WARC-Payload-Digest": f"sha256:{digest}"}
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -81,29 +81,61 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, digest: s
         yield record("continuation", f"{name}:{n}", more, part)
 
 
-def record_name(page_id: int | None, digest: str) -> str:
-    return f"urn:page:{'none' if page_id is None else page_id}:{digest}"
+def record_name(page_id: int | None, digest: str, again: int | None = None) -> str:
+    name = f"urn:page:{'none' if page_id is None else page_id}:{digest}"
+    return name if again is None else f"{name}:row{again}"
 
 
-def revisits(pages: DataFrame, min_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, digest, refers_to) of pages whose payload a page of smaller id has, from ``min_bytes`` on."""
+def name_column() -> Column:
+    """``record_name`` of page_id and digest."""
+    return F.concat_ws(":", F.lit("urn:page"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.col("digest"))
+
+
+def payload_facts(pages: DataFrame) -> DataFrame:
+    """(page_id, digest, n, name) of every row, a written table; ``name`` is the record's without a row number."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    facts = cut_lineage(pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.length(payload).alias("n")))
-    long = facts.filter(F.col("n") >= min_bytes).drop("n")
+    return cut_lineage(pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.length(payload).alias("n")).withColumn("name", name_column()))
+
+
+def revisits(facts: DataFrame, total: int, min_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """(page_id, digest, refers_to) of pages whose payload a page of smaller id has, from ``min_bytes`` on."""
+    long = facts.filter(F.col("n") >= min_bytes).select("page_id", "digest")
     groups = long.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("group_size"))
     groups = cut_lineage(groups.filter("group_size > 1 and refers_to is not null"))
-    return attach(long, groups, "digest", facts.count()).filter("not (page_id <=> refers_to)").select("page_id", "digest", "refers_to").distinct()
+    return attach(long, groups, "digest", total).filter("not (page_id <=> refers_to)").select("page_id", "digest", "refers_to").distinct()
+
+
+def numbered(rows: DataFrame, facts: DataFrame, total: int) -> DataFrame:
+    """Adds ``again``: null for the first row of a record name, a number of its own for each further row.
+
+    Names that several rows share are split off and their rows written; as a rule there are
+    none. Each row then has its place in that table, and the smallest one keeps the bare name.
+    """
+    shared = cut_lineage(facts.groupBy("name").agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"))
+    if shared.isEmpty():
+        return rows.withColumn("again", F.lit(None).cast("bigint"))
+    repeated = cut_lineage(attach(rows, shared, "name", total).drop("group_size").withColumn("_at", F.monotonically_increasing_id()))
+    first = cut_lineage(repeated.groupBy("name").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("group_size")))
+    repeated = attach(repeated, first, "name", total).withColumn("again", F.when(F.col("_at") != F.col("_first"), F.col("_at")))
+    hot = F.broadcast(shared.filter(F.col("group_size") * HOT_SHARE > total).select("name"))
+    alone = rows.join(hot, "name", "left_anti").join(shared.select("name"), "name", "left_anti").withColumn("again", F.lit(None).cast("bigint"))
+    return alone.unionByName(repeated.select(alone.columns))
 
 
 def write(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes gzip archives of all pages and returns the manifest (uri, n_records).
 
     Null html is an empty payload, a null url leaves its field out. Of pages with equal long
-    payloads, the smallest id is a response, repeated rows of that id too; the others revisit it.
+    payloads, the smallest id is a response, repeated rows of that id too; the others revisit
+    it. Every row is a record of its own id; a revisit names the first response of the page it
+    refers to.
     """
-    found = cut_lineage(revisits(pages)).withColumnsRenamed({"page_id": "_page", "digest": "_of"})
+    facts = payload_facts(pages)
+    total = facts.count()
+    found = cut_lineage(revisits(facts, total)).withColumnsRenamed({"page_id": "_page", "digest": "_of"})
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
+    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest")).withColumn("name", name_column())
+    rows = numbered(rows, facts, total)
     rows = rows.join(found, rows["page_id"].eqNullSafe(found["_page"]) & (F.col("digest") == F.col("_of")), "left")
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +145,7 @@ def write(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, fil
                 if stream is None:
                     uri, stream = new_file(folder, ".warc.gz")
                     n = size = 0
-                for part in page_records(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], segment_bytes):
+                for part in page_records(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], segment_bytes, row["again"]):
                     member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     packed = member.compress(part) + member.flush()
                     stream.write(packed)
@@ -126,7 +158,7 @@ def write(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, fil
             stream.close()
             yield pa.RecordBatch.from_pydict({"uri": [uri], "n_records": pa.array([n], pa.int64())})
 
-    return cut_lineage(rows.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(archives, "uri string, n_records bigint"))
+    return cut_lineage(rows.select("page_id", "url", "payload", "digest", "refers_to", "again").mapInArrow(archives, "uri string, n_records bigint"))
 
 
 class Members:
