@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vecloom.operators import clustered
 from vecloom.operators.partitioning import partition_by_hash, partition_by_range, rebalance, shard_distribution
 from vecloom.operators.projection import project_pca
 from vecloom.operators.search import cosine_matrix, knn_topk, semantic_search
@@ -53,7 +54,7 @@ def test_cosine_uses_no_cross_join(frame, plan_of):
 @pytest.mark.parametrize("k", [1, 5, 60])
 def test_knn(frame, matrix, limit, k):
     queries = frame.filter(F.col("id") < "v020").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
-    rows = knn_topk(frame, queries, k, max_broadcast_queries=limit).collect()
+    rows = knn_topk(frame, queries, k, cell_rows=2 * limit, block_rows=limit).collect()
     scores = np.round(unit(matrix)[:20] @ unit(matrix).T, 9)
     expected = {}
     for q in range(20):
@@ -70,10 +71,10 @@ def test_knn_with_numbers_as_ids(spark, matrix):
     assert knn_topk(df, queries, 1).first().id == 3
 
 
-def test_knn_carries_payload_and_bounds_bytes(frame):
+def test_knn_carries_payload(frame):
     rows = frame.withColumn("name", F.concat(F.lit("n-"), "id"))
     queries = rows.limit(9).select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
-    found = knn_topk(rows, queries, 2, payload=("name",), max_broadcast_bytes=2000).collect()
+    found = knn_topk(rows, queries, 2, payload=("name",), block_rows=4).collect()
     assert len(found) == 18 and all(r.name == f"n-{r.id}" for r in found)
 
 
@@ -83,6 +84,54 @@ def test_knn_of_nothing(frame):
     assert knn_topk(frame, queries.filter("false")).count() == 0
 
 
+@pytest.fixture(scope="module")
+def tight(spark):
+    """Twelve tight groups of vectors, and a few that point anywhere."""
+    rng = np.random.RandomState(5)
+    groups = rng.normal(0, 1, (12, 16))
+    points = np.vstack([np.repeat(groups, 60, axis=0) + rng.normal(0, 0.02, (720, 16)), rng.normal(0, 1, (20, 16)), np.zeros((3, 16))]).astype(np.float32)
+    return points, spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id int, vector array<float>").repartition(3).persist()
+
+
+def test_clusters_below_the_kth_score_are_skipped(tight):
+    points, df = tight
+    index = clustered.cluster(df)
+    assert index.sizes.sum() == len(points) and index.sizes[-1] == 3 and len(index.centres) == 29
+    queries = df.filter("id % 5 = 0").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+    asked = {r.query_id: r.clusters for r in clustered.clusters_asked(index, queries, 4).collect()}
+    grouped = [len(c) for q, c in asked.items() if q < 720]
+    assert np.mean(grouped) < (index.sizes > 0).sum() / 3
+    cluster_of = {r.id: r.cluster for r in index.rows.collect()}
+    scores = np.round(unit(points) @ unit(points).T, 9)
+    for q, clusters in asked.items():
+        nearest = sorted(range(len(points)), key=lambda i: (-scores[q, i], i))[:4]
+        assert {cluster_of[i] for i in nearest} <= set(clusters)
+    found = knn_topk(df, queries, 4, index=index, cell_rows=25, block_rows=10).collect()
+    want = {(q, r): i for q in asked for r, i in enumerate(sorted(range(len(points)), key=lambda i: (-scores[q, i], i))[:4], 1)}
+    assert {(r.query_id, r["rank"]): r.id for r in found} == want
+
+
+def test_members_lie_within_the_radius(tight):
+    points, df = tight
+    index = clustered.cluster(df)
+    for r in index.rows.collect():
+        if r.cluster < len(index.centres) - 1:
+            u = unit(points[r.id : r.id + 1])[0]
+            assert np.arccos(min(1.0, u @ index.centres[r.cluster])) <= index.radii[r.cluster] + 1e-9
+            assert u @ index.centres[r.cluster] >= (index.centres @ u).max() - 1e-12
+        else:
+            assert not points[r.id].any()
+
+
+def test_search_does_not_gather_queries_or_vectors(tight, monkeypatch):
+    _, df = tight
+    queries = df.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+    gathered, real = [], type(df).toArrow
+    monkeypatch.setattr(type(df), "toArrow", lambda self: gathered.append(real(self)) or gathered[-1])
+    knn_topk(df, queries, 3, index=clustered.cluster(df, max_centres=32)).count()
+    assert max(t.num_rows for t in gathered) <= 33
+
+
 def test_semantic_search(spark):
     texts = ["raft consensus leader election", "gene sequencing of tumor cells", "quarterly revenue growth"]
     chunks = spark.createDataFrame([(f"c{i}", t * 30, "cat", i) for i, t in enumerate(texts)], "chunk_id string, chunk_content string, category string, partition_id int")

@@ -348,10 +348,10 @@ def knn_topk(spark, sf):
 
 
 def knn_blocks(spark, sf):
-    """The same search for queries that take several broadcast blocks."""
+    """The same search with queries in several blocks and clusters in several cells."""
     vectors = embeddings(spark, sf)
     queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    best = search.knn_topk(vectors, queries, 5, "vec_id", "embedding", payload=("label",), max_broadcast_queries=200)
+    best = search.knn_topk(vectors, queries, 5, "vec_id", "embedding", payload=("label",), cell_rows=300, block_rows=200)
     return best.withColumn("score", F.round("score", 6))
 
 
