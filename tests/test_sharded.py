@@ -1,0 +1,108 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vecloom.sources import sharded
+from vecloom.sources.sharded import ShardedCollection, bloom_holds, bloom_of
+
+POINT = "id string, label int, vector array<float>, write_order int"
+
+
+def made(spark, ids, label, order=0):
+    return spark.createDataFrame([(i, label, [float(label), 0.5], order) for i in ids], POINT)
+
+
+def contents(df):
+    return {(r.id, r.label, tuple(r.vector)) for r in df.collect()}
+
+
+def names(collection, version=None):
+    return {r.file: r.shard for r in collection.manifest(version).collect()}
+
+
+@pytest.fixture
+def kept(spark, tmp_path):
+    return ShardedCollection.create(spark, str(tmp_path / "kept"), made(spark, [f"d{i:04d}" for i in range(800)], 1), shards=8)
+
+
+def test_a_batch_rewrites_only_files_that_may_hold_its_ids(spark, kept):
+    before = names(kept)
+    assert len(before) >= 8 and sum(r["rows"] for r in kept.manifest().collect()) == 800
+    done = kept.write(made(spark, ["d0005", "d0017"], 2))
+    after = names(kept)
+    shards = {r.s for r in spark.createDataFrame([("d0005",), ("d0017",)], "id string").select(F.pmod(F.xxhash64("id"), F.lit(8)).alias("s")).collect()}
+    assert done.points == 2 and {before[f] for f in done.rewritten} == shards
+    assert set(before) - set(done.rewritten) == set(before) & set(after)
+    assert {after[f] for f in set(after) - set(before)} == shards
+    want = {(f"d{i:04d}", 2 if i in (5, 17) else 1, (2.0 if i in (5, 17) else 1.0, 0.5)) for i in range(800)}
+    assert contents(kept.read()) == want
+    assert contents(kept.read(1)) == {(i, 1, (1.0, 0.5)) for i, _, _ in want}
+
+
+def test_new_ids_rewrite_nothing_as_a_rule(spark, kept):
+    before = set(names(kept))
+    done = kept.write(made(spark, ["zz"], 3))
+    assert done.rewritten == () and before < set(names(kept)) and kept.read().count() == 801
+    inside = kept.write(made(spark, ["d0005x", "d0400x", "d0700x"], 3))
+    assert len(inside.rewritten) <= 1 and kept.read().count() == 804
+
+
+def test_last_write_wins_and_null_is_an_id(spark, tmp_path):
+    hot = spark.createDataFrame([("a", i, [1.0], i) for i in range(300)] + [(None, 1, None, 0), (None, 2, [2.0], 1)], POINT).repartition(7)
+    kept = ShardedCollection.create(spark, str(tmp_path / "c"), hot, shards=3)
+    assert {(r.id, r.label) for r in kept.read().collect()} == {("a", 299), (None, 2)}
+    done = kept.write(spark.createDataFrame([(None, 5, [], 0), ("b", 6, None, 0)], POINT))
+    assert len(done.rewritten) == 1
+    assert {(r.id, r.label) for r in kept.read().collect()} == {("a", 299), (None, 5), ("b", 6)}
+
+
+def test_empty_collections_and_batches(spark, tmp_path):
+    kept = ShardedCollection.create(spark, str(tmp_path / "c"), made(spark, [], 1))
+    assert kept.read().count() == 0
+    kept.write(made(spark, ["a"], 1))
+    assert kept.write(made(spark, [], 1)).rewritten == ()
+    assert contents(ShardedCollection(spark, str(tmp_path / "c")).read()) == {("a", 1, (1.0, 0.5))}
+
+
+def test_an_attempt_that_broke_off_is_not_read(spark, kept, monkeypatch):
+    before = contents(kept.read())
+    monkeypatch.setattr(sharded, "_entries", lambda *a: spark.range(1).select(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception):
+        kept.write(made(spark, ["d0001"], 9))
+    monkeypatch.undo()
+    assert contents(kept.read()) == before
+    kept.write(made(spark, ["d0001"], 9))
+    assert contents(kept.read()) == {x for x in before if x[0] != "d0001"} | {("d0001", 9, (9.0, 0.5))}
+
+
+def test_crowded_shards_are_written_anew(spark, kept, monkeypatch):
+    monkeypatch.setattr(sharded, "MAX_FILES", 2)
+    monkeypatch.setattr(sharded, "IDS_AT_ONCE", 2)
+    for n in range(4):
+        kept.write(made(spark, [f"new{n}-{i}" for i in range(40)], n))
+    files = names(kept)
+    assert max(list(files.values()).count(s) for s in range(8)) <= 3
+    assert kept.read().count() == 960
+
+
+def test_many_batches_equal_a_dictionary(spark, tmp_path):
+    draw = np.random.RandomState(2)
+    kept, want = None, {}
+    for n in range(5):
+        ids = draw.randint(0, 300, 80).tolist()
+        batch = spark.createDataFrame([(i, n * 100 + k, k) for k, i in enumerate(ids)], "key bigint, label int, write_order int")
+        want |= {i: n * 100 + k for k, i in enumerate(ids)}
+        if kept is None:
+            kept = ShardedCollection.create(spark, str(tmp_path / "c"), batch, "key", shards=4)
+        else:
+            kept.write(batch)
+        assert {r.key: r.label for r in kept.read().collect()} == want
+    assert kept.versions() == [1, 2, 3, 4, 5]
+
+
+def test_bloom_bits():
+    draw = np.random.RandomState(1)
+    h = draw.randint(-(2**62), 2**62, (2, 5000))
+    other = draw.randint(-(2**62), 2**62, (2, 5000))
+    bloom = bloom_of(*h)
+    assert bloom_holds(bloom, *h).all() and bloom_holds(bloom, *other).mean() < 0.02

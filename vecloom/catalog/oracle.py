@@ -233,7 +233,7 @@ SELECT vectors AS total_records, n AS file_count, 'vec_id,embedding,label,chunk_
   CAST(least(n, 10) AS INT) AS listed_files, CAST(least(n, 10) AS INT) AS files_in_shards FROM shards""",
     "vector_upsert": """WITH written AS (SELECT vec_id + 250 AS id, label + 200 AS label, embedding FROM embeddings),
 points AS (SELECT * FROM written UNION ALL SELECT vec_id, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT id FROM written))
-SELECT id, CAST(label AS INT) AS label, round(embedding[1]::DOUBLE, 6) AS first_value FROM points""",
+SELECT id, CAST(label AS INT) AS label, array_to_string(list_transform(embedding, lambda x: CAST(round(x::DOUBLE * 1000000) AS BIGINT)), ',') AS vector_millionths FROM points""",
     "nonblank_docs": """SELECT CAST(doc_id AS VARCHAR) AS document_id, text AS content, source, lang AS category
 FROM documents WHERE text IS NOT NULL AND length(trim(text)) > 0""",
     "doc_counts": rf"""WITH {DOCS} SELECT document_id, CAST(length(cleaned) AS INT) AS char_count,

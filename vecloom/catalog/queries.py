@@ -19,9 +19,9 @@ from vecloom.plans.job import REPORT, run_job, run_stages
 from vecloom.plans.transform import JobSettings, clean_and_hash, transform_all
 from vecloom.schemas import raw_defaults
 from vecloom.session import cut_lineage, scratch_path
-from vecloom.sources.collection import upsert
 from vecloom.sources.corpus import cap_records, read_corpus, rejected_records, spread
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
+from vecloom.sources.sharded import ShardedCollection
 
 INGESTED_AT = "2000-01-01T00:00:00+00:00"
 
@@ -127,12 +127,13 @@ def dataset_summary_query(spark, sf):
 
 
 def vector_upsert(spark, sf):
-    """The collection is the whole table; the batch rewrites every vector twice under id + 250."""
+    """A kept collection of the whole table; a batch rewrites every vector twice under id + 250, so that some ids are new."""
     stored = embeddings(spark, sf).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    kept = ShardedCollection.create(spark, scratch_path(spark, "collection"), stored.withColumn("write_order", F.lit(0)))
     writes = stored.withColumn("write_order", F.explode(F.array(F.lit(1), F.lit(2))))
-    batch = writes.select((F.col("id") + 250).alias("id"), "vector", (F.col("label") + 100 * F.col("write_order")).alias("label"), "write_order")
-    points = upsert(stored, batch)
-    return points.select("id", "label", F.round(F.col("vector")[0].cast("double"), 6).alias("first_value"))
+    kept.write(writes.select((F.col("id") + 250).alias("id"), "vector", (F.col("label") + 100 * F.col("write_order")).alias("label"), "write_order"))
+    whole = F.transform("vector", lambda x: F.round(x.cast("double") * 1000000).cast("bigint").cast("string"))
+    return kept.read().select("id", "label", F.concat_ws(",", whole).alias("vector_millionths"))
 
 
 # --- filters and counts --------------------------------------------------------
