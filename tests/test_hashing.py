@@ -49,7 +49,11 @@ def test_exact_dedup_keeps_one_of_repeated_ids(spark):
     assert exact_dedup(df).count() == 1
 
 
-def test_exact_dedup_neither_sorts_nor_shuffles_rows(spark, plan_of):
-    df = spark.range(10).select(F.col("id").cast("string").alias("document_id"), F.lit("h").alias("content_hash"))
+def test_exact_dedup_limits_groups_before_its_only_shuffle(spark, plan_of):
+    df = spark.range(10).select(F.col("id").cast("string").alias("document_id"), F.col("id").cast("string").alias("content_hash"))
     plan = plan_of(exact_dedup(df))
-    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan and "Aggregate" not in plan
+    limit, shuffle = plan.rindex("WindowGroupLimit"), plan.index("Exchange hashpartitioning")
+    assert plan.count("Exchange hashpartitioning") == 1 and shuffle < limit and "Partial" in plan[limit:]
+    rows = [(None, "a"), ("2", "a"), ("1", "a"), (None, "b"), ("3", None), ("4", None)]
+    kept = exact_dedup(spark.createDataFrame(rows, "document_id string, content_hash string")).collect()
+    assert {(r.document_id, r.content_hash) for r in kept} == {("1", "a"), (None, "b"), ("3", None)}

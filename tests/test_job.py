@@ -66,16 +66,18 @@ def test_settings_are_checked():
             JobSettings(**wrong)
 
 
-def test_cleaning_runs_once_and_texts_are_not_sorted(spark, settings, plan_of):
+def test_cleaning_runs_once_and_building_starts_no_job(spark, settings, plan_of):
     raw = read_corpus(spark, settings.input_path).repartition(64)
     cleaned = plan_of(clean_and_hash(raw, settings))
     assert cleaned.count("[_unicode_batch") == 1 and cleaned.count("<[^>]+>") == 1
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    spark.sparkContext.setJobGroup("building", "transform_all")
     plan = plan_of(transform_all(raw, settings))
-    spark.conf.set("spark.sql.adaptive.enabled", before)
-    assert "_unicode_batch" not in plan
-    assert not any("Sort" in line and "cleaned_content" in line.split("Sort")[1].split("]")[0] for line in plan.splitlines())
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(folder.iterdir()) == before
+    assert plan.count("[_unicode_batch") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_scratch_goes_when_the_job_ends(spark, settings):

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.functions.binding import let
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The patterns and strip characters that define the cleaning result.
@@ -30,21 +33,46 @@ NEWLINE_RUN = r"\n{3,}"
 STRIPPED = " \n\r\t"
 ASCII_CONTROLS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
-# Symbols turn into blanks and runs of blanks then collapse; one pass does both.
-SYMBOL_OR_BLANK_RUN = r"[*_~`#> \t]+"
+# Symbols turn into blanks and runs of blanks then collapse; one pass does both. A single
+# blank would be replaced by itself, so it is no match.
+SYMBOL_OR_BLANK_RUN = r"[*_~`#>\t][*_~`#> \t]*| [*_~`#> \t]+"
 
 
-def _ranges(wanted) -> str:
-    """Regex class body listing every code point for which ``wanted`` holds."""
-    body, first = [], None
+def _runs(wanted) -> list[tuple[int, int]]:
+    """First and last of every run of code points for which ``wanted`` holds."""
+    runs, first = [], None
     for code in range(sys.maxunicode + 2):
         inside = code <= sys.maxunicode and wanted(chr(code))
         if inside and first is None:
             first = code
         elif not inside and first is not None:
-            body.append(f"\\x{{{first:x}}}-\\x{{{code - 1:x}}}")
+            runs.append((first, code - 1))
             first = None
-    return "".join(body)
+    return runs
+
+
+def _body(runs: list[tuple[int, int]]) -> str:
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
+
+
+def _ranges(wanted) -> str:
+    """Regex class body listing every code point for which ``wanted`` holds."""
+    return _body(_runs(wanted))
+
+
+def _nested(runs: list[tuple[int, int]], width: int = 8) -> str:
+    """Regex class body of ``runs`` in groups, each behind the range it lies in.
+
+    The JVM tests a class range by range; behind groups of groups a character is held against
+    a few dozen ranges at most, however many there are.
+    """
+    groups = [[run] for run in runs]
+    bodies = [_body([run]) for run in runs]
+    while len(groups) > width:
+        some = range(0, len(groups), width)
+        bodies = [f"[{_body([(groups[i][0][0], groups[min(i + width, len(groups)) - 1][-1][1])])}&&[{''.join(bodies[i : i + width])}]]" for i in some]
+        groups = [[run for group in groups[i : i + width] for run in group] for i in some]
+    return "".join(bodies)
 
 
 @cache
@@ -64,6 +92,25 @@ def digit_char() -> str:
     return rf"[\p{{Nd}}{other}[\p{{Cn}}&&[{_ranges(str.isdecimal)}]]]"
 
 
+@cache
+def may_change() -> str:
+    """Characters of texts that NFKC or the removal of nonprintables may change.
+
+    A text without any of them is normalized by the quick check of Unicode: no character
+    changes alone, none joins one before it, and none is a mark that could be out of order.
+    """
+    seconds = {p[1] for p in (unicodedata.decomposition(chr(c)).split() for c in range(sys.maxunicode + 1)) if len(p) == 2 and p[0][0] != "<"}
+    joining = {chr(int(p, 16)) for p in seconds} | {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}
+
+    def wanted(c: str) -> bool:
+        if not c.isprintable() and c not in "\n\t\r":
+            return True
+        return unicodedata.normalize("NFKC", c) != c or unicodedata.combining(c) > 0 or c in joining
+
+    runs = _runs(lambda c: c > "\x7f" and wanted(c))
+    return rf"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F[\x{{80}}-\x{{10ffff}}&&[{_nested(runs)}]]]"
+
+
 SPACE_CHAR = r"[\p{Z}\t\n\x0B\f\r\x1c-\x1f\x85]"
 
 
@@ -75,11 +122,15 @@ def _nfkc_batch(texts: pa.Array) -> pa.Array:
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC.  Spark has no such function, so texts beyond ASCII visit Python, which
-    answers only where the text changes; all other rows send and get a null."""
+    """Unicode NFKC.  Spark has no such function, so texts that may change visit Python, which
+    answers only where they do; all other rows send and get a null."""
     normalize = F.arrow_udf(_nfkc_batch, T.StringType())
-    beyond_ascii = F.octet_length(text) > F.length(text)
-    return F.coalesce(normalize(F.when(beyond_ascii, text)), text)
+    return F.coalesce(normalize(F.when(_unsettled(text), text)), text)
+
+
+def _unsettled(text: Column) -> Column:
+    """Whether a text beyond ASCII holds a character of ``may_change``."""
+    return (F.octet_length(text) > F.length(text)) & text.rlike(may_change())
 
 
 def drop_nonprintable(text: Column) -> Column:
@@ -103,11 +154,11 @@ def _unicode_batch(texts: pa.Array) -> pa.Array:
 
 def printable_nfkc(text: Column) -> Column:
     """``drop_nonprintable(nfkc(text))``: texts that visit Python for NFKC lose their
-    nonprintable characters there; the others can hold ASCII controls only."""
+    nonprintable characters there; of the others only ASCII texts can hold some, controls."""
     change = F.arrow_udf(_unicode_batch, T.StringType())
+    plain = F.when(text.rlike(ASCII_CONTROLS), F.regexp_replace(text, ASCII_CONTROLS, "")).otherwise(text)
     beyond_ascii = F.octet_length(text) > F.length(text)
-    plain = F.regexp_replace(text, ASCII_CONTROLS, "")
-    return F.when(beyond_ascii, F.coalesce(change(F.when(beyond_ascii, text)), text)).otherwise(plain)
+    return F.coalesce(change(F.when(_unsettled(text), text)), F.when(beyond_ascii, text).otherwise(plain))
 
 
 def strip_html(text: Column) -> Column:
@@ -134,11 +185,17 @@ def strip_ends(text: Column) -> Column:
     return F.trim(text, F.lit(STRIPPED))
 
 
+def _where_held(text: Column, needed: str, change: Callable[[Column], Column]) -> Column:
+    return let(text, lambda t: F.when(F.contains(t, F.lit(needed)), change(t)).otherwise(t))
+
+
 def clean_text(text: Column, lowercase: bool = False) -> Column:
     """The whole cleaning chain; null gives the empty string."""
-    cleaned = unlink_markdown(strip_html(printable_nfkc(text)))
+    # A pattern is only tried where the characters it needs stand; looking for those is cheap.
+    cleaned = _where_held(printable_nfkc(text), "<", strip_html)
+    cleaned = _where_held(cleaned, "](", unlink_markdown)
     cleaned = F.regexp_replace(cleaned, SYMBOL_OR_BLANK_RUN, " ")
-    cleaned = strip_ends(collapse_newlines(cleaned))
+    cleaned = strip_ends(_where_held(cleaned, "\n\n\n", collapse_newlines))
     if lowercase:
         cleaned = F.lower(cleaned)
     return F.coalesce(cleaned, F.lit(""))

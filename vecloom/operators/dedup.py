@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecloom.session import cut_lineage
-
 
 def exact_dedup(df: DataFrame, hash_column: str = "content_hash", id_column: str = "document_id") -> DataFrame:
     """One row per hash: the row with the smallest id, null ids last.
 
-    ``df`` is written once, as the hash is asked for first and the rows after it. Only
-    (hash, id) is aggregated, with map-side combining, and only groups of several rows are
-    joined back: as a rule few, so the rows themselves are neither sorted nor shuffled.
-    Of rows that repeat both hash and id, one stays.
+    Lazy, and one pass: ``df`` is neither written nor computed twice. Every task first keeps
+    the best row of each hash it has seen (the plan's partial group limit), so a hash that a
+    third of all rows share sends one row per task; the rest is one shuffle by hash. Of rows
+    that repeat both hash and id, one stays. Null is a hash like others.
     """
-    rows = cut_lineage(df)
-    pairs = rows.groupBy(hash_column, id_column).agg(F.count(F.lit(1)).alias("copies"))
-    order = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), "copies")
-    groups = pairs.groupBy(hash_column).agg(F.min(order).alias("first"), F.sum("copies").alias("total")).filter("total > 1")
-    groups = cut_lineage(groups.select(F.col(hash_column).alias("_hash"), F.col("first.id").alias("_first"), (F.col("first.copies") > 1).alias("_again")))
-    hash_, id_ = rows[hash_column], rows[id_column]
-    joined = rows.join(groups, hash_.eqNullSafe(groups["_hash"]), "left")
-    chosen = F.col("_again").isNotNull() & id_.eqNullSafe(F.col("_first"))
-    kept = joined.filter(F.col("_again").isNull() | (chosen & ~F.col("_again"))).select(df.columns)
-    if groups.filter("_again").isEmpty():
-        return kept
-    repeated = joined.filter(chosen & F.col("_again")).select(df.columns).dropDuplicates([hash_column])
-    return cut_lineage(kept.unionByName(repeated))
+    place = F.row_number().over(Window.partitionBy(hash_column).orderBy(F.asc_nulls_last(id_column)))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")

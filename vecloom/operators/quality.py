@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.functions.binding import once
+from vecloom.functions.moments import PairMoments, folded
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-
 ERRORS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("mse", "max_absolute_error", "dot", "norm_x", "norm_y", "variance")])
 
 
@@ -38,10 +39,28 @@ def _row_sums(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(column, mask=~good) for column in out], ERRORS.names)
 
 
+def _pair_moments(batch: pa.RecordBatch) -> PairMoments | None:
+    """Moments of all pairs of values; vectors of different lengths and null values have no pairs."""
+    x, y = (batch.column(c) for c in ("x", "y"))
+    n, other = (pc.fill_null(pc.list_value_length(v), 0).to_numpy(zero_copy_only=False) for v in (x, y))
+    a, b = (v.filter(pa.array(n == other)).flatten() for v in (x, y))
+    good = pc.and_(pc.is_valid(a), pc.is_valid(b))
+    return PairMoments.of(*(v.filter(good).to_numpy(zero_copy_only=False).astype(np.float64) for v in (a, b)))
+
+
+def _global_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for state in batch.column("state").to_pylist():
+            m = PairMoments(**pickle.loads(state))
+            row = (m.squared_error / m.n, m.largest_error, m.dot, m.xx**0.5, m.yy**0.5, m.spread / m.n)
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=ERRORS.names)
+
+
 def quantization_error(df: DataFrame, original: str, reconstructed: str, by: tuple[str, ...] = ()) -> DataFrame:
     """MSE, largest error, cosine and SNR over all values, or of every row beside its ``by`` columns.
 
-    The form with ``by`` looks at one row at a time: nothing is shuffled, and rows of equal id stay apart.
+    The form with ``by`` looks at one row at a time: nothing is shuffled, and rows of equal id
+    stay apart. The other one is a single scan whose tasks hand on one state of sums each.
     """
     if by:
         # bound first: Spark does not take a function to Python whose argument holds a lambda
@@ -49,16 +68,10 @@ def quantization_error(df: DataFrame, original: str, reconstructed: str, by: tup
         errors = F.arrow_udf(_row_sums, ERRORS)(F.col("_pair._x"), F.col("_pair._y"))
         sums = pairs.select(*by, errors.alias("e")).select(*by, "e.*")
     else:
-        pairs = df.select(F.inline(F.arrays_zip(F.col(original).alias("x"), F.col(reconstructed).alias("y"))))
-        x, y = F.col("x").cast("double"), F.col("y").cast("double")
-        sums = pairs.agg(
-            F.avg((x - y) * (x - y)).alias("mse"),
-            F.max(F.abs(x - y)).alias("max_absolute_error"),
-            F.sum(x * y).alias("dot"),
-            F.sqrt(F.sum(x * x)).alias("norm_x"),
-            F.sqrt(F.sum(y * y)).alias("norm_y"),
-            F.var_pop(x).alias("variance"),
-        )
+        pairs = df.select(F.col(original).alias("x"), F.col(reconstructed).alias("y"))
+        sums = folded(pairs, PairMoments, _pair_moments, tasks=0).mapInArrow(_global_sums, ERRORS)
+        # no pair at all still gives its one row, of nulls
+        sums = sums.agg(*[F.max(name).alias(name) for name in ERRORS.names])
     real = (F.col("norm_x") > 1e-12) & (F.col("norm_y") > 1e-12)
     cosine = F.when(real, F.col("dot") / F.nullif(F.col("norm_x") * F.col("norm_y"), F.lit(0.0))).otherwise(F.lit(1.0))
     ratio = F.col("variance") / (F.col("mse") + 1e-12)
