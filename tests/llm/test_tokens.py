@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from vecloom.llm import packing, token_files
+from vecloom.llm import encoding, packing, token_files
 from vecloom.llm.encoding import encoder, with_end
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -168,3 +168,15 @@ def test_written_and_read_back(spark, docs_of, tmp_path):
     order = [(r.doc_id is not None, r.doc_id or 0) for r in found]
     assert order == sorted(order)
     assert token_files.read(token_files.write(docs_of([]), str(tmp_path / "none"), BYTE)).count() == 0
+
+
+def test_a_small_memo_gives_the_same_ids(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"word{i * j % 97}x common the of" for j in range(60)) for i in range(40)]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(encoding, "MEMO_WORDS", 30)
+    small = encoding.Encoder(path)
+    for k in range(0, 40, 4):
+        ids, bounds = small.encode(pa.array(texts[k : k + 4]))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == want[k : k + 4]
+    assert len(small.words) <= 30 + 4 * 62 and len(small.words) == len(small.slices) == len(small.starts)

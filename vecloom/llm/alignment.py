@@ -29,9 +29,11 @@ from vecloom.llm.batches import bounded, spans, text_buffer
 from vecloom.llm.encoding import Encoder, cuts
 from vecloom.session import cut_lineage
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: The memo of cuts is begun anew beyond so many cuts or so many bytes of what they have.
 MEMO_CUTS, MEMO_BYTES = 200_000, 48 << 20
+#: New cuts that are tokenized in one call.
+CUTS_AT_ONCE = 20_000
 #: Links of a group that are listed one by one; larger groups are counted by distinct ids.
 LISTED = 4096
 #: Distinct pairs held by a counting task; beyond them it hands on partial counts.
@@ -145,8 +147,8 @@ class Aligner:
             self.forget()
         distinct = pieces.dictionary.to_pylist()
         new = [c for c in distinct if c not in self.place]
-        if new:
-            self.learn(new)
+        for k in range(0, len(new), CUTS_AT_ONCE):
+            self.learn(new[k : k + CUTS_AT_ONCE])
         cut = np.array([self.place[c] for c in distinct], np.int64)[pieces.indices.to_numpy()]
         bounds = np.searchsorted(starts, ends)
         wrong = np.concatenate(([0], np.cumsum(~self.good[cut])))

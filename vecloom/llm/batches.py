@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,11 @@ import pyarrow as pa
 
 
 def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batches' rows in slices whose ``column`` holds at most ``max_bytes``, or one row."""
+    """The batches' rows in slices whose ``column`` holds at most ``max_bytes``, or one row.
+
+    At the end of a task's rows its freed memory goes back to the machine: worker processes
+    serve the tasks of many stages, and a later one should not start from an earlier one's peak.
+    """
     for batch in batches:
         _, ends = text_buffer(batch.column(column))
         start = 0
@@ -17,6 +22,15 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> I
             stop = max(start + 1, int(np.searchsorted(ends, ends[start] + max_bytes, side="right")) - 1)
             yield batch.slice(start, stop - start)
             start = stop
+    release_memory()
+
+
+def release_memory() -> None:
+    """Gives what Arrow and the allocator hold but do not use back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

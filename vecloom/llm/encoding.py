@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from vecloom.llm.batches import spans, text_buffer
 
 SLICE_BYTES = 4 << 20
-MEMO_WORDS = 1_500_000
+#: Beyond so many cuts the memo keeps those that several slices had, half as many at most.
+MEMO_WORDS = 600_000
 JOINED = 24
 #: Texts given to the library in one call: its results are large until their ids are taken.
 AT_ONCE = 1000
@@ -64,6 +65,18 @@ class Encoder:
     def forget(self) -> None:
         self.words = pa.array([], pa.large_string())
         self.starts, self.lengths, self.pool = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.slices = np.empty(0, np.int32)
+
+    def shrink(self) -> None:
+        """Drops the cuts that few slices had; those that stay count anew from one."""
+        least = 2
+        while (keep := self.slices >= least).sum() > MEMO_WORDS // 2:
+            least += 1
+        self.pool = self.pool[spans(self.lengths[keep], self.starts[keep])]
+        self.lengths = self.lengths[keep]
+        self.starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1].astype(np.int64)
+        self.words = self.words.filter(pa.array(keep))
+        self.slices = np.ones(len(self.lengths), np.int32)
 
     def learn(self, words: pa.Array) -> None:
         """Encodes new cuts. Those that begin with a space and end visibly are joined for one call; the rest go alone."""
@@ -91,6 +104,7 @@ class Encoder:
         self.starts = np.concatenate((self.starts, len(self.pool) + np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)))
         self.lengths = np.concatenate((self.lengths, lengths))
         self.pool = np.concatenate((self.pool, np.fromiter((x for r in ids for x in r), np.uint32, int(lengths.sum()))))
+        self.slices = np.concatenate((self.slices, np.zeros(len(words), np.int32)))
         self.words = pa.concat_arrays([self.words, words])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +115,8 @@ class Encoder:
             return np.empty(0, np.uint32), np.zeros(len(column) + 1, np.int64)
         offsets = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        if len(self.words) + len(pieces.dictionary) > MEMO_WORDS:
-            self.forget()
+        if len(self.words) > MEMO_WORDS:
+            self.shrink()
         known = pc.index_in(pieces.dictionary, value_set=self.words)
         if known.null_count:
             first = len(self.words)
@@ -112,6 +126,7 @@ class Encoder:
             at[missing] = np.arange(first, len(self.words))
         else:
             at = known.to_numpy().astype(np.int64)
+        self.slices[at] += 1
         word = at[pieces.indices.to_numpy()]
         lengths = self.lengths[word]
         ids = self.pool[spans(lengths, self.starts[word])]
