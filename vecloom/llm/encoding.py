@@ -18,14 +18,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from vecloom.llm.batches import spans, text_buffer
+from vecloom.llm.batches import release_memory, spans, text_buffer
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Beyond so many cuts the memo keeps those that several slices had, half as many at most.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 JOINED = 24
 #: Texts given to the library in one call: its results are large until their ids are taken.
-AT_ONCE = 1000
+AT_ONCE = 250
 
 _ids = np.arange(256)
 # Lead bytes of characters that are never white space; of others only ASCII is judged here.
@@ -124,6 +124,8 @@ class Encoder:
             self.learn(pieces.dictionary.filter(pa.array(missing)))
             at = known.fill_null(0).to_numpy().astype(np.int64)
             at[missing] = np.arange(first, len(self.words))
+            # The library's results are many small objects; what they leave free is not kept.
+            release_memory()
         else:
             at = known.to_numpy().astype(np.int64)
         self.slices[at] += 1
