@@ -83,33 +83,62 @@ def test_prefixes_share_what_is_counted_on():
             assert len(cut[0] & cut[1]) >= ngram_join.shared(min(len(a), len(b)))
 
 
-def long_pairs(spark, classes, labels):
-    """Pairs that remaining_pairs finds among ``classes``: cid to (n, tokens in long lists)."""
-    postings = [(cid, n, n, cid, t) for cid, (n, tokens) in classes.items() for t in tokens]
-    frame = spark.createDataFrame(postings, "cid bigint, n bigint, n_long bigint, long_key bigint, token bigint")
-    found = ngram_join.remaining_pairs(frame, spark.createDataFrame(list(labels.items()), "node bigint, label bigint"), ngram_join.PERCENT)
-    return {(r.a, r.b) for r in found.collect()}
+def links_found(spark, sets, labels):
+    """Pairs that remaining_links finds among ``sets``: cid to shingles."""
+    frame = spark.createDataFrame([(c, list(s)) for c, s in sets.items()], "cid bigint, set array<bigint>")
+    known = spark.createDataFrame(list(labels.items()), "node bigint, label bigint")
+    return {(r.a, r.b) for r in ngram_join.remaining_links(frame, known, ngram_join.PERCENT).collect()}
 
 
-def test_links_across_split_main_lists(spark):
-    # Lists 1 to 3 are led by the component of class 1, lists 4 to 6 by that of class 2.
-    classes = {1: (80, range(1, 7)), 2: (100, range(1, 7))}
-    classes |= {c: (80, range(1, 4)) for c in range(10, 13)} | {c: (100, range(4, 7)) for c in range(20, 23)}
-    labels = {c: 1 if c == 1 or 10 <= c < 20 else 2 for c in classes}
-    assert (1, 2) in long_pairs(spark, classes, labels)
+def joined_labels(labels, nodes, links):
+    """Labels after the links, as a partition of the nodes."""
+    parent = {c: labels.get(c, c) for c in nodes}
+    for a, b in links:
+        x, y = parent[a], parent[b]
+        parent = {c: min(x, y) if p in (x, y) else p for c, p in parent.items()}
+    return {frozenset(c for c in nodes if parent[c] == p) for p in parent.values()}
+
 
+def true_links(sets, labels):
+    out = set()
+    for a, b in itertools.combinations(sets, 2):
+        common = len(set(sets[a]) & set(sets[b]))
+        if labels.get(a, a) != labels.get(b, b) and 100 * common >= 80 * (len(set(sets[a])) + len(set(sets[b])) - common):
+            out.add((a, b))
+    return out
 
-def test_long_lists_equal_all_pairs(spark):
+
+def test_links_across_split_main_lists(spark):
+    # Shingles 1 to 40 are led by the component of class 1, 41 to 80 by that of class 2.
+    sets = {1: range(1, 81), 2: range(1, 101)}
+    sets |= {c: [*range(1, 41), *range(1000 * c, 1000 * c + 40)] for c in range(10, 13)}
+    sets |= {c: [*range(41, 81), *range(1000 * c, 1000 * c + 60)] for c in range(20, 23)}
+    labels = {c: 1 if c == 1 or 10 <= c < 20 else 2 for c in sets}
+    assert {frozenset(p) for p in links_found(spark, sets, labels)} == {frozenset((1, 2))}
+
+
+@pytest.mark.parametrize("chunk", [4096, 7])
+def test_remaining_links_join_what_all_pairs_join(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "ASKING", 5)
     rng = random.Random(7)
-    classes = {c: (rng.randrange(80, 101), rng.sample(range(12), rng.randrange(3, 9))) for c in range(60)}
-    labels = {c: c % 3 for c in classes if c % 10}
-    want = set()
-    for a, b in itertools.combinations(classes, 2):
-        (n, x), (m, y) = classes[a], classes[b]
-        apart = labels.get(a, a) != labels.get(b, b)
-        if apart and 100 * min(n, m) >= 80 * max(n, m) and len(set(x) & set(y)) >= ngram_join.shared(min(n, m)):
-            want.add((a, b))
-    assert want and want <= long_pairs(spark, classes, labels)
+    sets = {}
+    for group in range(6):
+        base = rng.sample(range(10_000), 60)
+        for i in range(20):
+            kept = [x for x in base if rng.random() < rng.choice([1.0, 0.97, 0.9, 0.8])]
+            sets[100 * group + i] = kept + rng.sample(range(20_000, 90_000), rng.randrange(8))
+    labels = {c: c % 5 + 1000 * (c // 100) for c in sets if c % 4}
+    found, want = links_found(spark, sets, labels), true_links(sets, labels)
+    assert want and all((min(p), max(p)) in want for p in found)
+    assert joined_labels(labels, sets, found) == joined_labels(labels, sets, want)
+
+
+def test_a_loose_group_hands_on_links_only(spark):
+    rng = random.Random(3)
+    base = rng.sample(range(10_000), 100)
+    sets = {c: rng.sample(base, 70) + rng.sample(range(20_000, 10**6), 30) for c in range(150)}
+    assert true_links(sets, {}) == set() == links_found(spark, sets, {})
 
 
 def test_shingles_equal_word_tuples():

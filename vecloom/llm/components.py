@@ -12,8 +12,11 @@ ROWS_PER_TASK = 200_000
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, of about ``rows`` small rows, in as many partitions as they need: a small table is not written as many files."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    """``df``, of about ``rows`` small rows, dealt to as many tasks as they need: a small table is not written as many files.
+
+    What makes the rows keeps its own width; only rows that are ready are dealt anew.
+    """
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)))
 
 
 def components(links: DataFrame) -> DataFrame:

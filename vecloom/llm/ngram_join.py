@@ -39,8 +39,8 @@ SLICES = 64
 LONG = 64
 LONG_TIMES = 8
 LEADER_ROUNDS, LEADERS = 3, 4
-#: Classes in a chunk of a long list.
-CHUNK = 1024
+#: Classes in a chunk whose lists are rows of bits, and classes that ask together there.
+CHUNK, ASKING = 4096, 1024
 #: Cells of the bitmap that tells which texts are read again: 1 MB.
 BITMAP = 1 << 23
 
@@ -338,49 +338,75 @@ def dense_pairs(postings: DataFrame, labels: DataFrame | None, seed: int, total:
     return open_pairs.withColumn("nth", nth).filter(F.col("nth") <= LEADERS).select("a", "b")
 
 
-def remaining_pairs(postings: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """Pairs in different components that occur in T of their long lists, asked from the smaller component's side.
+def remaining_links(sets: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """The links (a, b) between classes of ``sets`` (cid, set) in different components, one per class and component in a chunk.
 
-    Members of the component that holds most of a list ask nothing in it: whoever is not of
-    them asks them. A list that two classes share is asked by one of them at least, so one of the
-    two finds half of T there, and either finds all but its own unasked lists: who asks needs the
-    larger of both. Lists are cut into chunks by a hash of the class, the same for all lists, of
-    about CHUNK classes in the longest; an asking class takes each of its lists' chunks as one
-    row and merges them by a heap. Only long parts can meet here (what shares a short list is
-    found by it), which bounds the similarity from above; equal long parts are judged already.
+    Classes are dealt to chunks of about CHUNK and numbered there, so that a shingle's list in a
+    chunk is a row of bits. A class adds up the bits of its lists: that is its overlap with
+    every class of the chunk, from which similarity follows; nothing but links leaves the
+    task. A shingle that one component alone holds is in no such overlap and left out.
+
+    Who belongs to the component that holds most of a list need not ask for its sake: of two
+    classes in different components, one at least is no such member in a list they share. It
+    asks in all its lists, so its overlaps are whole.
     """
-    total = postings.count()
-    rows = cut_lineage(sized(labelled(postings, labels, "cid", "label"), total))
-    counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = counts.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("size"), F.count(F.lit(1)).alias("n_labels"))
-    main = cut_lineage(sized(main.filter("n_labels > 1"), total))
-    longest = main.agg(F.max("size")).first()[0]
-    if longest is None:
+    sized_sets = labelled(sets.withColumn("n", F.size("set")), labels, "cid", "label")
+    total = sets.count()
+    chunks = max(1, -(-total // CHUNK))
+    chunk = F.pmod(F.xxhash64("cid"), F.lit(chunks))
+    place = F.row_number().over(Window.partitionBy("chunk").orderBy("cid")) - 1
+    placed = cut_lineage(sized_sets.withColumn("chunk", chunk).withColumn("place", place))
+    postings = placed.select("cid", "label", "chunk", "place", F.explode("set").alias("token"))
+    counts = postings.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = counts.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("n_labels"))
+    main = cut_lineage(main.filter("n_labels > 1").drop("n_labels"))
+    if main.isEmpty():
         return postings.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
-    chunks = -(-longest // CHUNK)
-    known = rows.join(main, "token")
-    unasked = known.filter("label = main").groupBy("cid").agg(F.count(F.lit(1)).alias("unasked"))
-    t = _least_shared(F.col("n"), percent)
-    need = F.greatest(F.ceil(t / 2), t - F.coalesce("unasked", F.lit(0))).cast("int").alias("need")
-    asking = known.filter("label <> main").join(unasked, "cid", "left").select("token", F.col("cid").alias("a"), need)
-    chunk = F.pmod(F.xxhash64("cid"), F.lit(chunks)).alias("chunk")
-    lists = rows.join(main.select("token"), "token").groupBy("token", chunk).agg(F.sort_array(F.collect_list("cid")).alias("list"))
-    grouped = asking.join(lists, "token").groupBy("a", "chunk").agg(F.max("need").alias("need"), F.collect_list("list").alias("lists"))
+    met = cut_lineage(postings.join(main, "token"))
+    asking = cut_lineage(met.groupBy("cid").agg(F.bool_or(F.col("label") != F.col("main")).alias("asks")).filter("asks").select("cid"))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, need, held in zip(batch.column("a").to_pylist(), batch.column("need").to_pylist(), batch.column("lists"), strict=True):
-                found = [c for c, _ in merge_short(held.as_py(), need) if c != a]
-                yield pa.RecordBatch.from_arrays([pa.array([a] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
+            bits = []
+            for places in batch.column("places"):
+                row = np.zeros(int(pc.max(places.values).as_py()) + 1, bool)
+                row[places.values.to_numpy()] = True
+                bits.append(np.packbits(row).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("chunk"), pa.array(bits, pa.binary())], names=["token", "chunk", "bits"])
+
+    lists = met.groupBy("token", "chunk").agg(F.collect_list("place").alias("places")).mapInArrow(packed, "token bigint, chunk bigint, bits binary")
+    asked = met.join(asking, "cid", "left_semi").select("token", F.col("cid").alias("a")).join(lists, "token")
+    asked = asked.groupBy("a", "chunk").agg(F.collect_list("bits").alias("lists"))
+    own = placed.select(F.col("cid").alias("a"), "n", "label")
+    asked = asked.join(own, "a")
+    # What a chunk's classes are goes ahead of the rows that ask there, to each part of them.
+    parts = max(1, -(-asking.count() // ASKING))
+    nothing = F.lit(None).cast("array<bigint>")
+    members = placed.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("place", "cid", "n", "label"))).alias("m"))
+    ahead = members.select("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"), F.lit(0).alias("kind"), *(F.col(f"m.{c}").cast("array<bigint>").alias(f"m_{c}") for c in ("cid", "n", "label")), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("label"), F.lit(None).cast("array<binary>").alias("lists"))
+    behind = asked.select("chunk", F.pmod(F.xxhash64("a"), F.lit(parts)).alias("part"), F.lit(1).alias("kind"), *(nothing.alias(f"m_{c}") for c in ("cid", "n", "label")), "a", F.col("n").cast("bigint").alias("n"), "label", "lists")
 
-    pairs = apart(cut_lineage(grouped.mapInArrow(search, "a bigint, b bigint")), labels)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sizes = cut_lineage(sized(postings.select("cid", "n", "n_long", "long_key").distinct(), total))
-    for side in "ab":
-        pairs = pairs.join(sizes.toDF(side, f"n_{side}", f"n_long_{side}", f"long_key_{side}"), side)
-    most = F.least("n_long_a", "n_long_b")
-    alike = (F.col("long_key_a") != F.col("long_key_b")) & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
-    return pairs.filter(alike).select("a", "b")
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cid = n = label = np.empty(0, np.int64)
+        for batch in batches:
+            out: tuple[list[int], list[int]] = ([], [])
+            for i, kind in enumerate(batch.column("kind").to_pylist()):
+                if kind == 0:
+                    cid, n, label = (batch.column(c)[i].values.to_numpy() for c in ("m_cid", "m_n", "m_label"))
+                    continue
+                overlap = np.zeros(len(cid), np.int64)
+                for bits in batch.column("lists")[i].as_py():
+                    row = np.unpackbits(np.frombuffer(bits, np.uint8))[: len(cid)]
+                    overlap[: len(row)] += row
+                mine, its_label = batch.column("n")[i].as_py(), batch.column("label")[i].as_py()
+                good = np.flatnonzero((label != its_label) & (100 * overlap >= percent * (mine + n - overlap)))
+                for j in good[np.unique(label[good], return_index=True)[1]].tolist():
+                    out[0].append(batch.column("a")[i].as_py())
+                    out[1].append(int(cid[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
+
+    rows = ahead.unionByName(behind).repartition("chunk", "part").sortWithinPartitions("chunk", "part", "kind")
+    return rows.mapInArrow(search, "a bigint, b bigint")
 
 
 def dense_classes(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -410,11 +436,10 @@ def dense_classes(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
 def classes_joined(docs: DataFrame, rows: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame | None:
     """(node, label) of the classes that have links, or None if there are none.
 
-    Dense groups come first: stars of equal long parts, then leaders, as far as they link.
-    Candidates from short lists are searched only across the components known by then, and of
-    these each class is held against its first partner before the rest is verified. Last come
-    the pairs that long lists still hold across components. No pair that could link two
-    components is left out.
+    Dense groups come first: stars of equal long parts, then leaders, as far as they link, then
+    what links the components so far, by whole overlaps. Candidates from short lists are searched only across the components known by then, and of
+    these each class is held against its first partner before the rest is verified. No pair
+    that could link two components is left out.
     """
     links, nodes = dense_classes(found, percent)
     total = nodes.count()
@@ -436,8 +461,7 @@ def classes_joined(docs: DataFrame, rows: DataFrame, found: DataFrame, words: in
         for seed in range(LEADER_ROUNDS):
             if not add(verified(dense_pairs(nodes, labels, seed, total), sets, percent), total):
                 break
-        asked = cut_lineage(sized(remaining_pairs(nodes, labels, percent), total))
-        add(verified(asked, sets, percent), asked.count())
+        add(remaining_links(sets, labels, percent), total)
     pairs = cut_lineage(candidates(found, labels, percent))
     wanted = cut_lineage(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
     if wanted.isEmpty():
