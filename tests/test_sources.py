@@ -7,6 +7,7 @@ from vecloom.schemas import RAW, VECTOR, raw_defaults
 from vecloom.session import build_session, cut_lineage, scratch_path, shared_folder
 from vecloom.sources.collection import upsert, upsert_collection
 from vecloom.sources.corpus import corrupt_records, read_corpus, rejected_records, spread
+from vecloom.sources.footers import footer_statistics
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 
 
@@ -104,6 +105,20 @@ def test_sink_and_summary(spark, tmp_path, plan_of):
     assert "PartitionFilters: [isnotnull(partition_id" in pruned
 
 
+def test_footers_tell_the_ends_of_every_file(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else f"t{i:02d}", i % 3, None) for i in range(40)], "id int, t string, partition_id int, nothing double")
+    rows.repartition(4).write.partitionBy("partition_id").parquet(path)
+    read = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"), F.max("t").alias("t"), F.count_if(F.col("t").isNull()).alias("nulls"))
+    want = {r.file: (r.n, str(r.a), str(r.b), r.t, r.nulls) for r in read.collect()}
+    found = {}
+    for r in footer_statistics(spark, path).collect():
+        columns = {c.name: c for c in r.columns}
+        assert r.bytes > 0 and r.row_groups == 1 and columns["nothing"].low is None and columns["nothing"].nulls == r.row_count
+        found[r.file] = (r.row_count, columns["id"].low, columns["id"].high, columns["t"].high, columns["t"].nulls)
+    assert found == want and len(found) > 8
+
+
 def test_summary_of_a_missing_path(spark, tmp_path):
     row = dataset_summary(spark, str(tmp_path / "nothing")).first()
     assert row.total_records == 0 and "PATH_NOT_FOUND" in row.error

@@ -227,10 +227,8 @@ FROM documents ORDER BY 1 LIMIT 100""",
     "sink_roundtrip": f"""WITH keyed AS (SELECT *, CAST(vec_id AS VARCHAR) AS chunk_id FROM embeddings)
 SELECT chunk_id, vec_id, label, {SHARD} AS partition_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS dimension,
   round(unnest(embedding)::DOUBLE, 6) AS value FROM keyed""",
-    "dataset_summary": f"""WITH keyed AS (SELECT CAST(vec_id AS VARCHAR) AS chunk_id FROM embeddings),
-shards AS (SELECT count(DISTINCT {SHARD}) AS n, count(*) AS vectors FROM keyed)
-SELECT vectors AS total_records, n AS file_count, 'vec_id,embedding,label,chunk_id,partition_id' AS fields,
-  CAST(least(n, 10) AS INT) AS listed_files, CAST(least(n, 10) AS INT) AS files_in_shards FROM shards""",
+    "dataset_summary": """SELECT count(*) AS total_records, true AS all_files_counted, 'vec_id,embedding,label,chunk_id,partition_id' AS fields,
+  true AS files_listed, true AS files_in_shards, min(vec_id) AS least_id, max(vec_id) AS greatest_id FROM embeddings""",
     "vector_upsert": """WITH written AS (SELECT vec_id + 250 AS id, label + 200 AS label, embedding FROM embeddings),
 points AS (SELECT * FROM written UNION ALL SELECT vec_id, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT id FROM written))
 SELECT id, CAST(label AS INT) AS label, array_to_string(list_transform(embedding, lambda x: CAST(round(x::DOUBLE * 1000000) AS BIGINT)), ',') AS vector_millionths FROM points""",

@@ -20,6 +20,7 @@ from vecloom.plans.transform import JobSettings, clean_and_hash, transform_all
 from vecloom.schemas import raw_defaults
 from vecloom.session import cut_lineage, scratch_path
 from vecloom.sources.corpus import cap_records, read_corpus, rejected_records, spread
+from vecloom.sources.footers import footer_statistics
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 from vecloom.sources.sharded import ShardedCollection
 
@@ -112,18 +113,23 @@ def sink_roundtrip(spark, sf):
 
 
 def dataset_summary_query(spark, sf):
-    """A dataset of one file per shard, as each shard is one partition when it is written."""
-    path = scratch_path(spark, "staged")
-    one_task = _sharded(spark, sf).coalesce(1)
-    write_dataset(one_task, path)
-    summary = dataset_summary(spark, path)
-    return summary.select(
+    """The summary of a dataset that all tasks wrote, held against the rows read back; ends of the ids from the footers."""
+    path = _staged(spark, sf)
+    found = spark.read.parquet(path).select(F.count_distinct("_metadata.file_path").alias("found"))
+    columns = footer_statistics(spark, path).select(F.explode("columns").alias("c")).filter("c.name = 'vec_id'")
+    ends = columns.select(F.min(F.col("c.low").cast("bigint")).alias("least_id"), F.max(F.col("c.high").cast("bigint")).alias("greatest_id"))
+    in_shards = F.size(F.filter("parquet_files", lambda f: f.contains("/partition_id=")))
+    said = dataset_summary(spark, path).select(
         "total_records",
         "file_count",
         F.array_join("schema_fields", ",").alias("fields"),
-        F.size(F.array_distinct("parquet_files")).alias("listed_files"),
-        F.size(F.filter("parquet_files", lambda f: f.contains("/partition_id="))).alias("files_in_shards"),
+        (F.size(F.array_distinct("parquet_files")) == F.least("file_count", F.lit(10))).alias("files_listed"),
+        (in_shards == F.size("parquet_files")).alias("files_in_shards"),
     )
+    # single rows side by side
+    rows = said.unionByName(found, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+    names = ("total_records", "fields", "files_listed", "files_in_shards", "least_id", "greatest_id")
+    return rows.agg((F.max("file_count") == F.max("found")).alias("all_files_counted"), *[F.max(n).alias(n) for n in names])
 
 
 def vector_upsert(spark, sf):

@@ -1,17 +1,35 @@
-"""Overlapping word windows with character offsets."""
+"""Overlapping word windows with character offsets.
+
+A batch of texts is looked at as one buffer of UTF-8: where words begin and end is found for
+all of them at once, and a window is a slice between two such places. Nothing is split into
+strings, so a text of any length takes time in proportion to it.
+"""
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vecloom.functions.binding import let
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: white space as Python's str.split and str.strip see it.
 WHITE_SPACE = "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
-# Sums that one array grows to before it is joined with the others.
-SUMS_AT_ONCE = 512
-PIECE = r"(?U)[^\s\x1c-\x1f]+[\s\x1c-\x1f]*"
+WINDOW = T.StructType(
+    [
+        T.StructField("chunk_index", T.IntegerType()),
+        T.StructField("total_chunks", T.IntegerType()),
+        T.StructField("chunk_content", T.StringType()),
+        T.StructField("token_count", T.IntegerType()),
+        T.StructField("start_char", T.IntegerType()),
+    ]
+)
+_KINDS = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32())
 
 
 def check_window(size: int, overlap: int) -> None:
@@ -19,69 +37,78 @@ def check_window(size: int, overlap: int) -> None:
         raise ValueError(f"overlap ({overlap}) must be smaller than size ({size})")
 
 
-def running_sums(values: Column, at_once: int = SUMS_AT_ONCE) -> Column:
-    """Sums of an array's values up to and with each place; an empty array gives an empty one.
-
-    Spark can only grow an array by copying it, so values are summed in groups of ``at_once``
-    and the groups shifted by the totals before them: no long array is ever grown.
-    """
-
-    def before(xs: Column) -> Column:
-        """0 and the running sums."""
-        return F.aggregate(xs, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
-
-    def shifted(groups: Column) -> Column:
-        totals = before(F.transform(groups, lambda g: F.element_at(g, -1)))
-        return let(totals, lambda t: F.flatten(F.transform(groups, lambda g, i: F.transform(F.slice(g, 2, at_once), lambda x: x + t[i]))))
-
-    def summed(xs: Column) -> Column:
-        count = F.ceil(F.size(xs) / F.lit(at_once)).cast("int")
-        groups = F.transform(F.sequence(F.lit(0), count - 1), lambda g: before(F.slice(xs, g * at_once + 1, at_once)))
-        return F.when(F.size(xs) == 0, xs).otherwise(let(groups, shifted))
-
-    return let(values, summed)
+def _text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' UTF-8 and where each begins and the last one ends; null is empty."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    places = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return data[places[0] : places[-1]], places - places[0]
+
+
+def _blank(data: np.ndarray) -> np.ndarray:
+    """Which bytes are of white space. A character of several bytes is looked for by its last one."""
+    single = np.zeros(256, bool)
+    single[[ord(c) for c in WHITE_SPACE if ord(c) < 128]] = True
+    out = single[data]
+    for character in (c.encode() for c in WHITE_SPACE if ord(c) >= 128):
+        at = np.flatnonzero(data[len(character) - 1 :] == character[-1])
+        for k, byte in enumerate(character[:-1]):
+            at = at[data[at + k] == byte]
+        for k in range(len(character)):
+            out[at + k] = True
+    return out
+
+
+def _indices(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``starts[i]`` to ``starts[i] + lengths[i]`` of every i, one after the other."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def _rows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place within it of ``counts[row]`` things each."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def windows_of(texts: pa.Array, size: int, overlap: int) -> pa.Array:
+    """Lists of WINDOW for each text."""
+    data, ends = _text_bytes(texts)
+    blank = _blank(data)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[ends] = True
+    starts = np.flatnonzero(~blank & (np.concatenate(([True], blank[:-1])) | edge[:-1])) if len(data) else np.empty(0, np.int64)
+    stops = np.flatnonzero(~blank & (np.concatenate((blank[1:], [True])) | edge[1:])) + 1 if len(data) else starts
+    first_word = np.searchsorted(starts, ends)
+    words = np.diff(first_word)
+    step = size - overlap
+    count = np.where(words == 0, 0, np.where(words <= size, 1, 1 - (size - words) // step))
+    row, k = _rows(count)
+    first = first_word[row] + k * step
+    tokens = np.minimum(size, words[row] - k * step)
+    begin, end = starts[first], stops[first + tokens - 1]
+    # Characters before a place: bytes that begin one.
+    characters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    start_char = np.where(count[row] == 1, 0, characters[begin] - characters[ends[row]])
+    offsets = np.concatenate(([0], np.cumsum(end - begin)))
+    wide = offsets[-1] > np.iinfo(np.int32).max
+    kind = pa.large_string() if wide else pa.string()
+    contents = pa.Array.from_buffers(kind, len(row), [None, pa.py_buffer(offsets.astype(np.int64 if wide else np.int32)), pa.py_buffer(data[_indices(end - begin, begin)])])
+    columns = [pa.array(x.astype(np.int32)) for x in (k, count[row], tokens, start_char)]
+    columns.insert(2, contents)
+    fields = [pa.field(n, contents.type if n == "chunk_content" else kind) for n, kind in zip(WINDOW.names, _KINDS, strict=True)]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))), pa.int32()), pa.StructArray.from_arrays(columns, fields=fields))
 
 
 def word_windows(text: Column, size: int = 256, overlap: int = 32) -> Column:
     """Array of (chunk_index, total_chunks, chunk_content, token_count, start_char).
 
-    A text is cut into pieces "word + following white space".  Window k joins pieces
-    from k*step on; its start is the summed length of the pieces before.  Contents are
-    substrings of the text; only the last white space of a window goes.
+    Window k has the words from k*step on; it is the text from its first word's beginning to
+    its last word's end, and ``start_char`` says where that is. A text of up to ``size`` words
+    is one window that starts at 0; one without words has none, null as well. ``text`` is a
+    column or an expression without lambdas.
     """
     check_window(size, overlap)
-    step = size - overlap
-    blanks = F.lit(WHITE_SPACE)
-    text = F.coalesce(text, F.lit(""))
-
-    def join(pieces: Column, start: Column, count: int) -> Column:
-        return F.array_join(F.slice(pieces, start + 1, count), "")
-
-    def window(index: Column, total: Column, content: Column, tokens: Column, start: Column) -> Column:
-        return F.struct(
-            index.cast("int").alias("chunk_index"),
-            total.cast("int").alias("total_chunks"),
-            content.alias("chunk_content"),
-            tokens.cast("int").alias("token_count"),
-            start.cast("int").alias("start_char"),
-        )
-
-    def several(pieces: Column) -> Column:
-        lead = F.length(text) - F.length(F.ltrim(text, blanks))
-        last = F.ceil((F.size(pieces) - size) / F.lit(step)).cast("int")
-        steps = F.transform(F.sequence(F.lit(0), last - 1), lambda k: F.length(join(pieces, k * step, step)))
-        return let(
-            running_sums(F.concat(F.array(lead), steps)),
-            lambda starts: F.transform(
-                starts,
-                lambda start, k: window(
-                    k, F.size(starts), F.rtrim(join(pieces, k * step, size), blanks), F.least(F.lit(size), F.size(pieces) - k * step), start
-                ),
-            ),
-        )
-
-    def windows(pieces: Column) -> Column:
-        single = F.array(window(F.lit(0), F.lit(1), F.trim(text, blanks), F.size(pieces), F.lit(0)))
-        return F.when(F.size(pieces) == 0, F.slice(single, 1, 0)).when(F.size(pieces) <= size, single).otherwise(several(pieces))
-
-    return let(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), windows)
+    return F.arrow_udf(lambda texts: windows_of(texts, size, overlap), T.ArrayType(WINDOW))(text)

@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.plans.staged import run_staged
 from vecloom.plans.transform import STAGES, JobSettings, lay_out, vector_payload_of
 from vecloom.sources.corpus import accepted, cap_records, judged_corpus, spread
 from vecloom.session import scratch_scope
@@ -128,10 +129,17 @@ def reported(spark: SparkSession, settings: JobSettings, path: str | None) -> It
 def run_job(spark: SparkSession, settings: JobSettings, report_path: str | None = None) -> dict:
     """Ingest, transform and write; any failure gives a FAILED report with zero counts.
 
-    The session belongs to the caller and stays open; scratch tables go when the run ends.
+    The session belongs to the caller and stays open; scratch tables go when the run ends. With
+    ``staging_path`` every stage is kept there: each has a duration of its own and exact counts,
+    and a second start goes on where the first one broke off. Without, all stages run together
+    in one pass, which moves less, and share its duration.
     """
     with reported(spark, settings, report_path) as report, scratch_scope(spark):
-        report.finish(run_stages(spark, spread(judged_corpus(spark, settings.input_path)), settings, judged=True))
+        if settings.staging_path:
+            done = run_staged(spark, settings)
+            report.finish([_metric(e["stage"], e["input_records"], e["output_records"], e["seconds"]) for e in done])
+        else:
+            report.finish(run_stages(spark, spread(judged_corpus(spark, settings.input_path)), settings, judged=True))
     return asdict(report)
 
 

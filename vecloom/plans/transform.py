@@ -43,6 +43,7 @@ class JobSettings:
     partition_key: str = "partition_id"
     compression: str = "snappy"
     row_group_mb: int = 64
+    staging_path: str = ""
 
     def __post_init__(self) -> None:
         check_window(self.chunk_size, self.chunk_overlap)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,7 @@ from vecloom.schemas import RAW, raw_defaults
 
 CORRUPT = "_corrupt_record"
 SPREAD_BYTES = 256 << 20
+ACCEPTED = "accepted"
 
 
 def _json(spark: SparkSession, path: str) -> DataFrame:
@@ -75,19 +76,47 @@ def read_corpus(
     return cap_records(df, max_records) if max_records else df
 
 
+def _verdict() -> Column:
+    return (
+        F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("document_id").isNull(), "no id").when(F.col("content").isNull(), "no content")
+    )
+
+
+def _line() -> Column:
+    """A malformed line as it stands, else the row's RAW columns as JSON."""
+    return F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[f.name for f in RAW if f.name != "timestamp"])))
+
+
+def store_judged(spark: SparkSession, path: str, target: str, columns: dict[str, str] | None = None, ingested_at: str | None = None) -> None:
+    """Every row of the input in one scan, below ``target`` by verdict; the two readers that follow open their own part only.
+
+    ``verdict=accepted`` has the corpus, the others the rejected rows with their reason.
+    """
+    judged = judged_corpus(spark, path, columns, ingested_at, with_file=True)
+    line = F.when(_verdict().isNotNull(), _line()).alias("line")
+    rows = judged.select(*[f.name for f in RAW], "file", line, F.coalesce(_verdict(), F.lit(ACCEPTED)).alias("verdict"))
+    rows.write.partitionBy("verdict").parquet(target)
+
+
+def stored_corpus(spark: SparkSession, target: str) -> DataFrame:
+    """The accepted rows of ``store_judged``."""
+    return spark.read.parquet(target).filter(F.col("verdict") == ACCEPTED).select(*[f.name for f in RAW])
+
+
+def stored_rejects(spark: SparkSession, target: str) -> DataFrame:
+    """The rejected rows of ``store_judged``, as ``rejected_records`` lists them."""
+    rows = spark.read.parquet(target).filter(F.col("verdict") != ACCEPTED)
+    return rows.select("file", F.col("verdict").alias("reason"), "document_id", "line")
+
+
 def rejected_records(spark: SparkSession, path: str, columns: dict[str, str] | None = None) -> DataFrame:
     """(file, reason, document_id, line) of the rows that ``read_corpus`` leaves out.
 
     Reasons: ``malformed`` (a JSON line that cannot be read), ``no id``, ``no content``. ``line``
     is a malformed line as it stands, else the row's RAW columns as JSON.
     """
-    reason = (
-        F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("document_id").isNull(), "no id").when(F.col("content").isNull(), "no content")
-    )
-    judged = judged_corpus(spark, path, columns, "", with_file=True).withColumn("reason", reason)
-    row = F.to_json(F.struct(*[f.name for f in RAW if f.name != "timestamp"]))
-    found = judged.filter(F.col("reason").isNotNull())
-    return found.select("file", "reason", "document_id", F.coalesce(F.col(CORRUPT), row).alias("line"))
+    judged = judged_corpus(spark, path, columns, "", with_file=True).withColumn("reason", _verdict())
+    return judged.filter(F.col("reason").isNotNull()).select("file", "reason", "document_id", _line().alias("line"))
 
 
 def corrupt_records(spark: SparkSession, path: str) -> DataFrame:
