@@ -1,7 +1,10 @@
+import itertools
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -74,6 +77,56 @@ def test_scores_of_a_batch_do_not_depend_on_it(model):
     assert np.allclose(whole, [toxicity.Scorer(model)(pa.array([t], pa.string()))[0] for t in texts])
 
 
+DISGUISED = ["i.d.i.o.t", "i*d*i*o*t", "i--d--i--o--t", "i  d  i  o  t", "idxxiot", "ixdxixoxt", "\u00a0idiot\u00a0", "i\u00a0d\u00a0i\u00a0o\u00a0t", "wor-th-less", "tra_sh"]
+
+
+def test_held_out_rows_of_the_tables():
+    base = "/root/testdata/sf0.1"
+    text = {r["doc_id"]: r["text"] for r in pq.read_table(f"{base}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    labels = [(r["doc_id"], r["toxic"]) for r in pq.read_table(f"{base}/labels.parquet").to_pylist()]
+    kept = [(text[i], y) for i, y in sorted(labels) if zlib.crc32(str(i).encode()) % 4 != 2]
+    held = [(text[i], y) for i, y in sorted(labels) if zlib.crc32(str(i).encode()) % 4 == 2]
+    found = toxicity.fit(kept)
+    scorer = toxicity.Scorer(found)
+    scores, y = found.scores(scorer(pa.array([t for t, _ in held]))), np.array([y for _, y in held])
+    above = (scores[y == 1][:, None] > scores[y == 0]).mean() + (scores[y == 1][:, None] == scores[y == 0]).mean() / 2
+    said = scores >= toxicity.THRESHOLD
+    assert above > 0.94 and said[y == 1].mean() > 0.9 and said[y == 0].mean() < 0.035
+    assert found.scores(scorer(pa.array([f"the {d} is" for d in DISGUISED]))).min() >= toxicity.THRESHOLD
+    assert found.scores(scorer(pa.array(["the idea is", "a b c d e f g", ""]))).max() < toxicity.THRESHOLD
+
+
+def plain_margin(model, word):
+    """A word's largest margin, triple by triple."""
+    best = -np.inf
+    for piece in toxicity.pieces(word):
+        codes, out = toxicity.letter_codes(np.array([ord(c) for c in piece], np.int64)).tolist(), {}
+        for i, j, k in itertools.combinations(range(len(codes)), 3):
+            if k - i < toxicity.REACH:
+                t = (codes[i] * toxicity.LETTERS + codes[j]) * toxicity.LETTERS + codes[k]
+                out[t] = out.get(t, 0) + toxicity.DECAY ** (k - i - 2)
+        norm = np.sqrt(sum(v * v for v in out.values()))
+        best = max(best, model.bias + sum(v * model.table[t] for t, v in out.items()) / (norm or 1))
+    return best
+
+
+def test_scores_equal_the_definition(spark, docs_of, model):
+    texts = [t for t, _ in labelled_texts(6, 12)] + ["x " * 9, "i d i o t", "\u00a0mo-ron\u2003", "a" * 70 + "idiot", None, "", "l--o--s--e--r--s but o n"]
+    found = {r.doc_id: r.score for r in toxicity.classify(docs_of(list(enumerate(texts))), None, model).collect()}
+    for i, text in enumerate(texts):
+        words = (text or "").split() + toxicity._SPACED.findall(text or "")
+        margin = max([plain_margin(model, w) for w in words], default=model.bias)
+        assert found[i] == pytest.approx(float(model.scores(np.array([margin]))[0]), abs=1e-9)
+
+
+def test_words_of_any_length_are_learned_from():
+    rows = [(f"{t} {'q' * 30}{'zorkmid' if y else 'blanket'}", y) for t, y in labelled_texts(9, 200)]
+    rows = [(t.replace("moron", "").replace("idiot", "").replace("scumbag", "").replace("losers", ""), y) for t, y in rows]
+    found = toxicity.fit(rows)
+    scores = found.scores(toxicity.Scorer(found)(pa.array(["q" * 30 + "zorkmid", "q" * 30 + "blanket"])))
+    assert scores[0] > 0.5 and scores[1] < 0.3
+
+
 def test_toxicity_frames(spark, docs_of):
     rows = list(enumerate(t for t, _ in labelled_texts(3, 200)))
     labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(labelled_texts(3, 200))] + [(None, 1, 1), (7, None, None)], "doc_id bigint, quality int, toxic int")
