@@ -3,10 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vecloom.operators import clustered
-from vecloom.operators.partitioning import partition_by_hash, partition_by_range, rebalance, shard_distribution
+from vecloom.operators.partitioning import partition_by_hash, partition_by_range, partition_by_sketch, rebalance, shard_distribution
 from vecloom.operators.projection import project_pca
 from vecloom.operators.search import cosine_matrix, knn_topk, semantic_search
 from vecloom.functions.embedding import hashed_embedding
+from vecloom.functions.quantiles import KeySketch
 from vecloom.sources.parquet_sink import write_dataset
 
 
@@ -200,6 +201,41 @@ def test_range_partitions_do_not_overlap(spark):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and len(spans) > 1
 
 
+def test_sketched_ranges_are_even_intervals(spark, plan_of):
+    rows = spark.range(0, 60_000, 1, 12).select((F.xxhash64("id") % 5).cast("int").alias("s"), F.md5(F.col("id").cast("string")).alias("k"))
+    rows = rows.union(spark.createDataFrame([(None, "x"), (1, None)], "s int, k string"))
+    df = partition_by_sketch(rows, ("s", "k"), 4000)
+    assert "RangePartitioning" not in plan_of(df) and "rangepartitioning" not in plan_of(df)
+    ordered = lambda r: ((r.s is not None, r.s or 0), (r.k is not None, r.k or ""))
+    parts = df.select("s", "k", F.spark_partition_id().alias("place")).collect()
+    by_place = {}
+    for r in parts:
+        by_place.setdefault(r.place, []).append(ordered(r))
+    assert len(parts) == 60_002 and len(by_place) == 16
+    assert all(part == sorted(part) for part in by_place.values())
+    ends = [(part[0], part[-1]) for _, part in sorted(by_place.items())]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    assert all(abs(len(part) - 3750) < 750 for part in by_place.values())
+
+
+def test_sketched_ranges_of_few_and_equal_keys(spark):
+    one = spark.range(50).select(F.lit("k").alias("k"), "id")
+    assert partition_by_sketch(one, ("k",), 10).count() == 50
+    assert partition_by_sketch(one.filter("false"), ("k",), 10).count() == 0
+    two = one.withColumn("k", (F.col("id") >= 25).cast("string"))
+    places = partition_by_sketch(two, ("k",), 25).select("k", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(places) == 2 and len({r.p for r in places}) == 2
+
+
+def test_sketches_merge(spark):
+    whole = KeySketch([], 0)
+    for k in range(0, 100_000, 5000):
+        whole = whole.merged(KeySketch([[(7919 * i % 100_003,) for i in range(k, k + 5000)]], 5000).compacted())
+    assert whole.n == 100_000 and sum(map(len, whole.levels)) < 6 * 4096
+    for got, want in zip(whole.bounds(50), range(2000, 100_000, 2000), strict=True):
+        assert abs(got[0] - want) < 400
+
+
 def test_rebalance_splits_a_hot_key(spark, tmp_path):
     rows = spark.range(0, 200000, 1, 8).withColumn("partition_id", F.when(F.col("id") >= 0, 1))
     rows = rows.withColumn("x", F.sha2(F.col("id").cast("string"), 256))

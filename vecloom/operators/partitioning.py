@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecloom.functions.moments import folded
+from vecloom.functions.quantiles import KeySketch
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+ROWS_PER_RANGE = 1 << 17
+
 
 def partition_by_hash(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
     return df.repartition(partitions, F.col(key))
@@ -16,6 +28,37 @@ def partition_by_range(df: DataFrame, key: str | tuple[str, ...], partitions: in
     return df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
 
 
+def partition_by_sketch(df: DataFrame, key: tuple[str, ...], rows_per_range: int = ROWS_PER_RANGE, keys: DataFrame | None = None) -> DataFrame:
+    """Ranges of ``key`` of about ``rows_per_range`` rows, each one partition and sorted.
+
+    The bounds come from one pass over the key columns, in which every task makes a sketch
+    of a few thousand keys; sketches are merged by the executors. ``keys`` may give the same
+    keys from an earlier step, so that what is costly in ``df`` is computed once only; rows
+    are neither stored nor sampled. A single key that outgrows a range stays in one.
+    """
+    kinds = [df.schema[c].dataType for c in key]
+    rows = (df if keys is None else keys).select(*key)
+    found = folded(rows, KeySketch, _sketched).first()
+    sketch = KeySketch(**pickle.loads(found["state"])) if found else KeySketch([], 0)
+    parts = max(1, -(-sketch.n // rows_per_range))
+    bounds = sketch.bounds(parts)
+    own = F.struct(*[F.col(c) for c in key])
+    if not bounds:
+        return df.repartitionById(1, F.lit(0)).sortWithinPartitions(*key)
+    listed = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(c) for v, kind, c in zip(b, kinds, key, strict=True)]) for b in bounds])
+    # Every step-th bound first, then those that follow it: few comparisons for many ranges.
+    step = max(1, int(len(bounds) ** 0.5))
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(len(bounds)), F.lit(step)), lambda i: F.get(listed, i - 1)), lambda b: b <= own))
+    start = F.greatest(coarse - 1, F.lit(0)) * step
+    place = start + F.size(F.filter(F.slice(listed, start + 1, F.lit(step)), lambda b: b <= own))
+    return df.repartitionById(parts, place).sortWithinPartitions(*key)
+
+
+def _sketched(batch: pa.RecordBatch) -> KeySketch:
+    columns = [c.to_pylist() for c in batch.columns]
+    return KeySketch([list(zip(*columns, strict=True))], batch.num_rows).compacted()
+
+
 def rebalance(df: DataFrame, key: str) -> DataFrame:
     """Group rows by key into partitions of the advisory size.
 

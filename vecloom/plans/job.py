@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.plans.staged import run_staged
-from vecloom.plans.transform import STAGES, JobSettings, lay_out, vector_payload_of
+from vecloom.plans.transform import STAGES, JobSettings, lay_out, layout_keys, vector_payload_of
 from vecloom.sources.corpus import accepted, cap_records, judged_corpus, spread
 from vecloom.session import scratch_scope
 from vecloom.sources.parquet_sink import write_dataset
@@ -67,11 +67,13 @@ def run_stages(spark: SparkSession, raw: DataFrame, settings: JobSettings, judge
     df = accepted(df) if judged else df
     for name, stage in [("ingest", None), *((s.__name__, s) for s in STAGES)]:
         df = stage(df, settings) if stage else df
+        if name == "chunk_and_explode":
+            keys = layout_keys(df, settings)
         if name in ("ingest", "clean_and_hash", "deduplicate", "chunk_and_explode"):
             df, seen = _counted(df, name)
             borders.append((name, seen))
     write_dataset(
-        lay_out(vector_payload_of(df), settings),
+        lay_out(vector_payload_of(df), settings, keys),
         settings.output_path,
         settings.partition_key,
         compression=settings.compression,

@@ -16,9 +16,8 @@ from vecloom.functions.text import clean_text, nonblank, split_word_count
 from vecloom.functions.vectors import l2_norm
 from vecloom.operators.chunking import chunk
 from vecloom.operators.dedup import exact_dedup
-from vecloom.operators.partitioning import partition_by_range, rebalance
+from vecloom.operators.partitioning import partition_by_sketch, rebalance
 from vecloom.schemas import vector_payload
-from vecloom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -121,13 +120,18 @@ def vector_payload_of(df: DataFrame) -> DataFrame:
     return vector_payload(df)
 
 
-def lay_out(df: DataFrame, settings: JobSettings) -> DataFrame:
+def lay_out(df: DataFrame, settings: JobSettings, keys: DataFrame | None = None) -> DataFrame:
     """Arrange rows for the sink by the configured strategy.
 
-    A range layout first samples its input, so that is written out instead of computed twice.
-    Ranges go by shard and chunk: as many tasks as the data needs share a large shard, and
-    every file still holds an interval.
+    A range layout looks at the keys first: ``keys`` may give them from the chunk stage, before
+    what is costly. Ranges go by shard and chunk: as many tasks as the data needs share a
+    large shard, and every file holds an interval.
     """
     if settings.strategy == "range":
-        return partition_by_range(cut_lineage(df), (settings.partition_key, "chunk_id"), None)
+        return partition_by_sketch(df, (settings.partition_key, "chunk_id"), keys=keys)
     return rebalance(df, settings.partition_key)
+
+
+def layout_keys(chunks: DataFrame, settings: JobSettings) -> DataFrame:
+    """What a range layout orders by, from rows of the chunk stage."""
+    return chunks.select(shard_id(F.col("chunk_id"), settings.shards).alias(settings.partition_key), "chunk_id")
