@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecloom.llm.groups import attach
@@ -47,7 +47,7 @@ def rarity(docs: DataFrame) -> Column:
     One row per cell reaches the driver, whatever the corpus. Words of one cell share a
     weight; any order of words that all lines use keeps the join exact.
     """
-    words = lines_of(docs).select(F.explode("words").alias("word"))
+    words = docs.select(F.explode(F.split("text", _SPACE)).alias("word")).filter("word <> ''")
     counts = words.groupBy(_cell(F.xxhash64("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
     table = [0] * CELLS
     for r in counts:
@@ -58,28 +58,31 @@ def rarity(docs: DataFrame) -> Column:
 def line_sets(docs: DataFrame, table: Column) -> DataFrame:
     """Lines with ``tokens``: each distinct word as its weight and 55 bits of its digest, rarest first."""
 
-    def packed(word: Column) -> Column:
-        weight = F.shiftleft(F.get(table, _cell(F.xxhash64(word))).cast("bigint"), _KEEP_BITS)
-        return weight.bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - _KEEP_BITS))
+    def packed(digest: Column) -> Column:
+        weight = F.shiftleft(F.get(table, _cell(digest)).cast("bigint"), _KEEP_BITS)
+        return weight.bitwiseOR(F.shiftrightunsigned(digest, 64 - _KEEP_BITS))
 
-    tokens = F.sort_array(F.array_distinct(F.transform("words", packed)))
+    digests = F.transform("words", lambda word: F.xxhash64(word))
+    tokens = F.sort_array(F.array_distinct(F.transform(digests, packed)))
     found = lines_of(docs).select("doc_id", "text_hash", "line_no", tokens.alias("tokens"))
     return found.withColumn("key", F.xxhash64("tokens")).withColumn("n", F.size("tokens"))
 
 
 def _parities(half: int | None = None) -> Column:
-    """64 parities of a set's words: bit b tells whether an odd number of words fall on b.
+    """32 parities of a set's words: bit b tells whether an odd number of words fall on b.
 
     With ``half``, one half of 128 parities, which long lines need.
     """
+    if half is None:
+        bit = lambda token: F.call_function("shiftleft", F.lit(1), token.bitwiseAND(F.lit(31)).cast("int"))
+        return F.aggregate("tokens", F.lit(0), lambda bits, token: bits.bitwiseXOR(bit(token)))
 
     def flip(bits: Column, token: Column) -> Column:
         one = F.call_function("shiftleft", F.lit(1).cast("bigint"), token.bitwiseAND(F.lit(63)).cast("int"))
         flipped = bits.bitwiseXOR(one)
-        return flipped if half is None else F.when(token.bitwiseAND(F.lit(64)) == 64 * half, flipped).otherwise(bits)
+        return F.when(token.bitwiseAND(F.lit(64)) == 64 * half, flipped).otherwise(bits)
 
-    parities = F.aggregate("tokens", F.lit(0).cast("bigint"), flip)
-    return parities if half is None else F.when(F.col("n") >= WIDE, parities).otherwise(0)
+    return F.when(F.col("n") >= WIDE, F.aggregate("tokens", F.lit(0).cast("bigint"), flip)).otherwise(0)
 
 
 def marks(hashes: DataFrame, name: str) -> Callable[[Column], Column]:
@@ -107,55 +110,91 @@ def least_overlap(n_a: Column, n_b: Column, percent: int) -> Column:
     return F.ceil(percent * (n_a + n_b) / (100 + percent))
 
 
+def place_of() -> Column:
+    """Where a line stands; smaller is earlier."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no")
+
+
 def classes_of(lines: DataFrame) -> DataFrame:
-    """One row per word set: key, n, its number of lines, where it stands first, its prefix and parities.
+    """One row per word set: key, id (the row of one of its lines), n, its number of lines, where it stands first, its prefix and parities.
 
     Most sets stand once: those pass as they are, and only keys that may repeat are grouped.
     """
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no")
     kept = ("n", "prefix", "low", "wide_0", "wide_1")
     often = marks(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key")
-    once = lines.filter(~often(F.col("key"))).select("key", place.alias("first"), F.lit(1).cast("bigint").alias("group_size"), *kept)
+    once = lines.filter(~often(F.col("key"))).select("key", F.col("row").alias("id"), place_of().alias("first"), F.lit(1).cast("bigint").alias("group_size"), *kept)
     again = lines.filter(often(F.col("key"))).groupBy("key")
-    again = again.agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"), *[F.first(c).alias(c) for c in kept])
+    again = again.agg(F.min("row").alias("id"), F.min(place_of()).alias("first"), F.count(F.lit(1)).alias("group_size"), *[F.first(c).alias(c) for c in kept])
     return once.unionByName(cut_lineage(again))
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): keys of classes that share a prefix word and pass all filters."""
-    # Words that share 32 bits of their hash meet too, which costs a test and loses nothing.
-    posted = classes.select("key", "n", "low", "wide_0", "wide_1", F.posexplode("prefix").alias("at", "token")).withColumn("token", F.hash("token"))
-    a, b = (posted.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "at", "low", "wide_0", "wide_1")]) for side in "ab")
-    n_a, n_b, at_a, at_b = F.col("n_a"), F.col("n_b"), F.col("at_a"), F.col("at_b")
-    least = least_overlap(n_a, n_b, percent)
-    may_differ = n_a + n_b - 2 * least
-    length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    position = F.least(at_a, at_b) + F.least(n_a - at_a, n_b - at_b) >= least
+_POSTED = ("id", "n", "at", "low", "wide_0", "wide_1")
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    """(token, and what the filters need) of each prefix word. Words that share 32 bits of their hash meet too, which loses nothing."""
+    posted = classes.select("id", "n", "low", "wide_0", "wide_1", F.posexplode("prefix").alias("at", "token"))
+    return posted.select(F.hash("token").alias("token"), *_POSTED)
+
+
+def passes(a: Callable[[str], Column], b: Callable[[str], Column], percent: int) -> Column:
+    """Length, positional and parity filter of two postings of one word."""
+    least = least_overlap(a("n"), b("n"), percent)
+    may_differ = a("n") + b("n") - 2 * least
+    length = 100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))
+    position = F.least(a("at"), b("at")) + F.least(a("n") - a("at"), b("n") - b("at")) >= least
 
     def differ(c: str) -> Column:
-        return F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
-
-    wide = (F.least(n_a, n_b) < WIDE) | (differ("wide_0") + differ("wide_1") <= may_differ)
-    met = a.join(b, "token").filter((F.col("key_a") < F.col("key_b")) & length & position & (differ("low") <= may_differ) & wide)
-    return cut_lineage(met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
-
-
-def similar_classes(docs: DataFrame, table: Column, classes: DataFrame, percent: int) -> DataFrame:
-    """(key) of classes that a similar class precedes. Sets are read again from the texts of candidates only."""
-    pairs = candidates(classes, percent)
-    wanted = cut_lineage(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-    firsts = classes.join(wanted, "key", "left_semi").select("key", "first")
-    ids = cut_lineage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).distinct())
-    few = marks(ids, "_hash")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash")).filter(few(F.col("_text_hash")))
-    texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    sets = line_sets(texts.select("doc_id", "text"), table).select("key", "tokens").join(firsts, "key").dropDuplicates(["key"])
-    sets = cut_lineage(sets)
-    a, b = (sets.select(F.col("key").alias(side), F.col("tokens").alias(f"tokens_{side}"), F.col("first").alias(f"first_{side}")) for side in "ab")
+        return F.bit_count(a(c).bitwiseXOR(b(c)))
+
+    wide = (F.least(a("n"), b("n")) < WIDE) | (differ("wide_0") + differ("wide_1") <= may_differ)
+    return (a("id") != b("id")) & length & position & (differ("low") <= may_differ) & wide
+
+
+def first_partners(posted: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each class the one that it meets on most words, among those at the head of a word's list and just before it there.
+
+    A list is passed through in order, with a few postings in memory. In a family of similar
+    lines nearly all members find the family's head or a neighbour so, without their pairs.
+    """
+    in_order = Window.partitionBy("token").orderBy("id")
+    here = F.struct(*_POSTED)
+    met = posted.select("token", *_POSTED, F.first(here).over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("head"), F.lag(here).over(in_order).alias("before"))
+    named = met.filter("before is not null").select(*_POSTED, F.explode(F.array_distinct(F.array("head", "before"))).alias("b"))
+    named = named.filter(passes(F.col, lambda c: F.col(f"b.{c}"), percent)).select(F.col("id").alias("a"), F.col("b.id").alias("b"))
+    counted = named.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
+    return cut_lineage(counted.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b")))
+
+
+def pairs_of(asking: DataFrame, posted: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of an asking class and any other that share a prefix word and pass all filters."""
+    a, b = (frame.select("token", *[F.col(c).alias(f"{c}_{side}") for c in _POSTED]) for frame, side in ((asking, "a"), (posted, "b")))
+    met = a.join(b, "token").filter(passes(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), percent))
+    return cut_lineage(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+
+
+def later_ones(pairs: DataFrame, lines: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(id) of the later class of each pair whose whole sets are similar."""
+    wanted = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    sets = lines.select(F.col("row").alias("id"), "tokens").join(wanted, "id", "left_semi")
+    sets = sets.join(classes.select("id", "first").join(wanted, "id", "left_semi"), "id")
+    a, b = (sets.select(F.col("id").alias(side), F.col("tokens").alias(f"tokens_{side}"), F.col("first").alias(f"first_{side}")) for side in "ab")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
     alike = pairs.join(a, "a").join(b, "b").filter(100 * common >= percent * union)
-    return alike.select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("key")).distinct()
+    return cut_lineage(alike.select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct())
+
+
+def similar_classes(lines: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(id) of classes that a similar class precedes.
+
+    Each class is held against one partner first. Those that go by it ask no more; only the
+    others are held against all that share a prefix word with them.
+    """
+    posted = postings(classes)
+    gone = later_ones(first_partners(posted, percent), lines, classes, percent)
+    asking = postings(classes.join(gone, "id", "left_anti"))
+    return gone.union(later_ones(pairs_of(asking, posted, percent), lines, classes, percent)).distinct()
 
 
 def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -167,15 +206,15 @@ def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     number. Rows that repeat id and text are one document here.
     """
     table = rarity(docs)
-    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
     sets = line_sets(docs, table)
-    facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", prefix.alias("prefix"), _parities().alias("low"), _parities(0).alias("wide_0"), _parities(1).alias("wide_1"))
-    lines = cut_lineage(facts)
-    some = lines.filter("n > 0")
+    facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", "tokens", _parities().alias("low"), _parities(0).alias("wide_0"), _parities(1).alias("wide_1"))
+    lines = cut_lineage(facts.withColumn("row", F.monotonically_increasing_id()))
+    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
+    some = lines.filter("n > 0").withColumn("prefix", prefix)
     classes = classes_of(some)
-    near = cut_lineage(similar_classes(docs, table, classes, percent))
-    marked = cut_lineage(classes.select("key", "first", "group_size").join(near.withColumn("near", F.lit(True)), "key", "left"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no")
+    near = cut_lineage(similar_classes(lines, classes, percent))
+    marked = cut_lineage(classes.select("id", "key", "first", "group_size").join(near.withColumn("near", F.lit(True)), "id", "left").drop("id"))
+    place = place_of()
     judged = attach(some.select("doc_id", "text_hash", "line_no", "key"), marked, "key", lines.count())
     gone = judged.select("doc_id", "text_hash", F.when(F.col("near").isNotNull() | (place > F.col("first")), F.col("line_no")).alias("gone"))
     every = lines.filter("line_no = 0").select("doc_id", "text_hash", F.lit(None).cast("int").alias("gone"))
