@@ -207,6 +207,6 @@ def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, model: AttentionModel | None = None) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted. Repeated and null ids are scored by their text."""
+    """One row per document: doc_id, held_out, score, predicted. Repeated and null ids are scored by their text; an empty table gives no rows."""
     found = score(docs.select("doc_id", "text"), model or train(docs, labels))
     return found.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
