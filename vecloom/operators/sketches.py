@@ -15,6 +15,8 @@ from vecloom.session import cut_lineage
 # Classes of a bucket that are compared in one unit of work.
 HOT_BUCKET = 256
 LEADER_ROUNDS = 3
+#: Rows of a bucket that are compared with each other at once.
+FEW = 32
 
 
 def simhash(df: DataFrame, tokens: Column, id_column: str = "document_id", bit_length: int = 64) -> DataFrame:
@@ -232,32 +234,45 @@ def minhash_pairs(
 
 
 def _survivors(classes: DataFrame, sketches: DataFrame, positions: Positions, hot: int, confirm) -> DataFrame:
-    """Ids of classes without a smaller-id class in reach, never listing all pairs.
+    """Ids of classes without a smaller-id class in reach, never listing all pairs of a dense group.
 
-    Each row first meets only the smallest id of its bucket, then the next one, which settles
-    the members of a dense group at one comparison each; only rows that stay open after
-    LEADER_ROUNDS meet the rest of their buckets, in units of bounded size.  ``confirm`` keeps the (id_a, id_b) that really are near.
+    Buckets of up to FEW (at most ``hot``) rows are compared at once. In larger ones each row first meets only
+    the smallest id of its bucket, then the next one, which settles the members of a dense
+    group at one comparison each; only rows that stay open after LEADER_ROUNDS meet the rest
+    of their buckets, in units of bounded size. ``confirm`` keeps the (id_a, id_b) that really
+    are near.
     """
     buckets = cut_lineage(bucketed(sketches, positions, hot))
     near = positions.differing("a", "b") <= positions.allowed
     smaller = F.col("a.id") < F.col("b.id")
+    same = F.col("a.bucket") == F.col("b.bucket")
     ids = [F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")]
-    settled, leading = None, buckets
+    crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > min(FEW, hot))
+    crowded = cut_lineage(crowded.select("bucket"))
+    dense = not crowded.isEmpty()
+    small = buckets.join(crowded, "bucket", "left_anti") if dense else buckets
+    pairs = small.alias("a").join(small.alias("b"), same & smaller & near).select(*ids).distinct()
+    dropped = confirm(pairs).select(F.col("id_b").alias("id"))
+    if not dense:
+        return classes.select("id").join(dropped, "id", "left_anti")
+
+    settled = cut_lineage(dropped.distinct())
+    large = cut_lineage(buckets.join(crowded, "bucket", "left_semi"))
+    leading = large
     for _ in range(LEADER_ROUNDS):
         first = leading.groupBy("bucket").agg(F.min(F.struct("id", *positions.words)).alias("first")).select("bucket", "first.*")
-        still_open = buckets if settled is None else buckets.join(settled, "id", "left_anti")
-        by_first = first.alias("a").join(still_open.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & smaller & near).select(*ids)
+        still_open = large.join(settled, "id", "left_anti")
+        by_first = first.alias("a").join(still_open.alias("b"), same & smaller & near).select(*ids)
         found = cut_lineage(confirm(by_first.distinct()).select(F.col("id_b").alias("id")).distinct())
         if found.isEmpty():
             break
-        settled = found if settled is None else cut_lineage(settled.unionByName(found))
+        settled = cut_lineage(settled.unionByName(found))
         # who has led its bucket does not lead it again
         leading = leading.join(first.select("bucket", "id"), ["bucket", "id"], "left_anti")
-    met = units(buckets, hot)
-    asking = met if settled is None else met.join(settled, "id", "left_anti")
+    met = units(large, hot)
+    asking = met.join(settled, "id", "left_anti")
     by_others = met.alias("a").join(asking.alias("b"), _together("a", "b") & smaller & near).select(*ids).distinct()
-    dropped = confirm(by_others).select(F.col("id_b").alias("id"))
-    dropped = dropped if settled is None else settled.unionByName(dropped)
+    dropped = settled.unionByName(confirm(by_others).select(F.col("id_b").alias("id")))
     return classes.select("id").join(dropped, "id", "left_anti")
 
 
