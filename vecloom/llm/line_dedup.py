@@ -26,6 +26,7 @@ CELLS = 1 << 16
 BITMAP = 1 << 20
 #: From so many words on, a line has 128 parities more.
 WIDE = 100
+MOST = 0xFFFF
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _KEEP_BITS = 55
 
@@ -116,11 +117,11 @@ def place_of() -> Column:
 
 
 def classes_of(lines: DataFrame) -> DataFrame:
-    """One row per word set: key, id (the row of one of its lines), n, its number of lines, where it stands first, its prefix and parities.
+    """One row per word set: key, id (the row of one of its lines), n, its number of lines, where it stands first, its tokens and parities.
 
     Most sets stand once: those pass as they are, and only keys that may repeat are grouped.
     """
-    kept = ("n", "prefix", "low", "wide_0", "wide_1")
+    kept = ("n", "tokens", "low", "wide_0", "wide_1")
     often = marks(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key")
     once = lines.filter(~often(F.col("key"))).select("key", F.col("row").alias("id"), place_of().alias("first"), F.lit(1).cast("bigint").alias("group_size"), *kept)
     again = lines.filter(often(F.col("key"))).groupBy("key")
@@ -128,27 +129,48 @@ def classes_of(lines: DataFrame) -> DataFrame:
     return once.unionByName(cut_lineage(again))
 
 
-_POSTED = ("id", "n", "at", "low", "wide_0", "wide_1")
+_POSTED = ("id", "facts", "wide")
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """(token, and what the filters need) of each prefix word. Words that share 32 bits of their hash meet too, which loses nothing."""
-    posted = classes.select("id", "n", "low", "wide_0", "wide_1", F.posexplode("prefix").alias("at", "token"))
-    return posted.select(F.hash("token").alias("token"), *_POSTED)
+def postings(classes: DataFrame, percent: int) -> DataFrame:
+    """(token, id, facts, wide) of each prefix word: what the filters need, in few bytes, as prefixes are most of what is shuffled.
+
+    ``facts`` holds the size, the place of the word, both 65,535 at most, and the parities;
+    ``wide`` the parities of long lines. Words that share 32 bits of their hash meet too,
+    which loses nothing.
+    """
+    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
+    wide = F.when(F.col("n") >= WIDE, F.struct("wide_0", "wide_1"))
+    posted = classes.select("id", "n", "low", wide.alias("wide"), F.posexplode(prefix).alias("at", "token"))
+
+    def short(c: str) -> Column:
+        return F.least(F.col(c), F.lit(MOST)).cast("bigint")
+
+    facts = F.shiftleft(short("n"), 48).bitwiseOR(F.shiftleft(short("at"), 32)).bitwiseOR(F.col("low").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
+    return posted.select(F.hash("token").alias("token"), "id", facts.alias("facts"), "wide")
 
 
 def passes(a: Callable[[str], Column], b: Callable[[str], Column], percent: int) -> Column:
-    """Length, positional and parity filter of two postings of one word."""
-    least = least_overlap(a("n"), b("n"), percent)
-    may_differ = a("n") + b("n") - 2 * least
-    length = 100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))
-    position = F.least(a("at"), b("at")) + F.least(a("n") - a("at"), b("n") - b("at")) >= least
+    """Length, positional and parity filter of two postings of one word. Sizes of MOST and more are not judged here."""
 
-    def differ(c: str) -> Column:
-        return F.bit_count(a(c).bitwiseXOR(b(c)))
+    def n(side: Callable[[str], Column]) -> Column:
+        return F.shiftrightunsigned(side("facts"), 48)
 
-    wide = (F.least(a("n"), b("n")) < WIDE) | (differ("wide_0") + differ("wide_1") <= may_differ)
-    return (a("id") != b("id")) & length & position & (differ("low") <= may_differ) & wide
+    def at(side: Callable[[str], Column]) -> Column:
+        return F.shiftrightunsigned(side("facts"), 32).bitwiseAND(F.lit(MOST))
+
+    least = least_overlap(n(a), n(b), percent)
+    may_differ = n(a) + n(b) - 2 * least
+    length = 100 * F.least(n(a), n(b)) >= percent * F.greatest(n(a), n(b))
+    position = F.least(at(a), at(b)) + F.least(n(a) - at(a), n(b) - at(b)) >= least
+    low = F.bit_count(a("facts").bitwiseXOR(b("facts")).bitwiseAND(F.lit(0xFFFFFFFF))) <= may_differ
+
+    def differ(half: int) -> Column:
+        return F.bit_count(a("wide")[f"wide_{half}"].bitwiseXOR(b("wide")[f"wide_{half}"]))
+
+    wide = F.coalesce(differ(0) + differ(1) <= may_differ, F.lit(True))
+    judged = (F.greatest(n(a), n(b)) >= MOST) | (length & position & low & wide)
+    return (a("id") != b("id")) & judged
 
 
 def first_partners(posted: DataFrame, percent: int) -> DataFrame:
@@ -173,11 +195,9 @@ def pairs_of(asking: DataFrame, posted: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
 
 
-def later_ones(pairs: DataFrame, lines: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def later_ones(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(id) of the later class of each pair whose whole sets are similar."""
-    wanted = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    sets = lines.select(F.col("row").alias("id"), "tokens").join(wanted, "id", "left_semi")
-    sets = sets.join(classes.select("id", "first").join(wanted, "id", "left_semi"), "id")
+    sets = classes.select("id", "first", "tokens")
     a, b = (sets.select(F.col("id").alias(side), F.col("tokens").alias(f"tokens_{side}"), F.col("first").alias(f"first_{side}")) for side in "ab")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
@@ -185,16 +205,16 @@ def later_ones(pairs: DataFrame, lines: DataFrame, classes: DataFrame, percent:
     return cut_lineage(alike.select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct())
 
 
-def similar_classes(lines: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def similar_classes(classes: DataFrame, percent: int) -> DataFrame:
     """(id) of classes that a similar class precedes.
 
     Each class is held against one partner first. Those that go by it ask no more; only the
     others are held against all that share a prefix word with them.
     """
-    posted = postings(classes)
-    gone = later_ones(first_partners(posted, percent), lines, classes, percent)
-    asking = postings(classes.join(gone, "id", "left_anti"))
-    return gone.union(later_ones(pairs_of(asking, posted, percent), lines, classes, percent)).distinct()
+    posted = postings(classes, percent)
+    gone = later_ones(first_partners(posted, percent), classes, percent)
+    asking = postings(classes.join(gone, "id", "left_anti"), percent)
+    return gone.union(later_ones(pairs_of(asking, posted, percent), classes, percent)).distinct()
 
 
 def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -209,10 +229,9 @@ def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = line_sets(docs, table)
     facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", "tokens", _parities().alias("low"), _parities(0).alias("wide_0"), _parities(1).alias("wide_1"))
     lines = cut_lineage(facts.withColumn("row", F.monotonically_increasing_id()))
-    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    some = lines.filter("n > 0").withColumn("prefix", prefix)
+    some = lines.filter("n > 0")
     classes = classes_of(some)
-    near = cut_lineage(similar_classes(lines, classes, percent))
+    near = cut_lineage(similar_classes(classes, percent))
     marked = cut_lineage(classes.select("id", "key", "first", "group_size").join(near.withColumn("near", F.lit(True)), "id", "left").drop("id"))
     place = place_of()
     judged = attach(some.select("doc_id", "text_hash", "line_no", "key"), marked, "key", lines.count())
