@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vecloom.schemas import RAW, VECTOR, raw_defaults
 from vecloom.session import build_session, cut_lineage, scratch_path, shared_folder
 from vecloom.sources.collection import upsert, upsert_collection
-from vecloom.sources.corpus import corrupt_records, read_corpus, rejected_records, spread
+from vecloom.sources.corpus import cap_records, corrupt_records, read_corpus, rejected_records, spread
 from vecloom.sources.footers import footer_statistics
 from vecloom.sources.parquet_sink import dataset_summary, write_dataset
 
@@ -119,6 +119,20 @@ def test_footers_tell_the_ends_of_every_file(spark, tmp_path):
     assert found == want and len(found) > 8
 
 
+@pytest.mark.parametrize("cap", [1, 700, 1501, 2999, 3000, 5000])
+def test_large_caps_are_cut_by_ranges(spark, cap):
+    df = spark.range(0, 3000, 1, 7).select(F.md5(F.col("id").cast("string")).alias("document_id"), "id")
+    found = cap_records(df, cap, at_once=200)
+    want = sorted(r.document_id for r in df.collect())[:cap]
+    assert sorted(r.document_id for r in found.collect()) == want
+
+
+def test_caps_with_many_equal_ids(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 600, "same").otherwise(F.col("id").cast("string")).alias("document_id"))
+    found = [r.document_id for r in cap_records(df, 500, at_once=50).collect()]
+    assert len(found) == 500 and found.count("same") == 100
+
+
 def test_summary_of_a_missing_path(spark, tmp_path):
     row = dataset_summary(spark, str(tmp_path / "nothing")).first()
     assert row.total_records == 0 and "PATH_NOT_FOUND" in row.error

@@ -7,7 +7,7 @@ import sys
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.moments import folded
@@ -36,22 +36,28 @@ def partition_by_sketch(df: DataFrame, key: tuple[str, ...], rows_per_range: int
     keys from an earlier step, so that what is costly in ``df`` is computed once only; rows
     are neither stored nor sampled. A single key that outgrows a range stays in one.
     """
-    kinds = [df.schema[c].dataType for c in key]
-    rows = (df if keys is None else keys).select(*key)
-    found = folded(rows, KeySketch, _sketched).first()
-    sketch = KeySketch(**pickle.loads(found["state"])) if found else KeySketch([], 0)
+    sketch = key_sketch(df if keys is None else keys, key)
     parts = max(1, -(-sketch.n // rows_per_range))
-    bounds = sketch.bounds(parts)
-    own = F.struct(*[F.col(c) for c in key])
+    return df.repartitionById(parts, place_among(df, key, sketch.bounds(parts))).sortWithinPartitions(*key)
+
+
+def key_sketch(df: DataFrame, key: tuple[str, ...]) -> KeySketch:
+    """The sketch of all keys: one pass over the key columns."""
+    found = folded(df.select(*key), KeySketch, _sketched).first()
+    return KeySketch(**pickle.loads(found["state"])) if found else KeySketch([], 0)
+
+
+def place_among(df: DataFrame, key: tuple[str, ...], bounds: list[tuple]) -> Column:
+    """How many of the sorted ``bounds`` are at most a row's key: every step-th bound is looked at first, then those that follow it."""
     if not bounds:
-        return df.repartitionById(1, F.lit(0)).sortWithinPartitions(*key)
+        return F.lit(0)
+    kinds = [df.schema[c].dataType for c in key]
+    own = F.struct(*[F.col(c) for c in key])
     listed = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(c) for v, kind, c in zip(b, kinds, key, strict=True)]) for b in bounds])
-    # Every step-th bound first, then those that follow it: few comparisons for many ranges.
     step = max(1, int(len(bounds) ** 0.5))
     coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(len(bounds)), F.lit(step)), lambda i: F.get(listed, i - 1)), lambda b: b <= own))
     start = F.greatest(coarse - 1, F.lit(0)) * step
-    place = start + F.size(F.filter(F.slice(listed, start + 1, F.lit(step)), lambda b: b <= own))
-    return df.repartitionById(parts, place).sortWithinPartitions(*key)
+    return start + F.size(F.filter(F.slice(listed, start + 1, F.lit(step)), lambda b: b <= own))
 
 
 def _sketched(batch: pa.RecordBatch) -> KeySketch:

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.operators.partitioning import key_sketch, place_among
 from vecloom.schemas import RAW, raw_defaults
 
 CORRUPT = "_corrupt_record"
 SPREAD_BYTES = 256 << 20
 ACCEPTED = "accepted"
+CAP_AT_ONCE = 1 << 17
 
 
 def _json(spark: SparkSession, path: str) -> DataFrame:
@@ -19,9 +21,26 @@ def _json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
-def cap_records(df: DataFrame, max_records: int, id_column: str = "document_id") -> DataFrame:
-    """The first ``max_records`` rows by id."""
-    return df.orderBy(id_column).limit(max_records)
+def cap_records(df: DataFrame, max_records: int, id_column: str = "document_id", at_once: int = CAP_AT_ONCE) -> DataFrame:
+    """The first ``max_records`` rows by id.
+
+    Up to ``at_once`` rows are taken in one pass. A larger cap is found by ranges: ids are counted
+    between the bounds of a sketch, ranges below the cap are whole, and only the one range that
+    the cap cuts is sorted, so no task sees more than about ``at_once`` rows in order.
+    """
+    if max_records <= at_once:
+        return df.orderBy(id_column).limit(max_records)
+    sketch = key_sketch(df, (id_column,))
+    if sketch.n <= max_records:
+        return df
+    place = place_among(df, (id_column,), sketch.bounds(-(-sketch.n // at_once)))
+    counts = sorted(df.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect())
+    below = 0
+    for last, n in counts:
+        if below + n >= max_records:
+            break
+        below += n
+    return df.filter(place < last).unionByName(df.filter(place == last).orderBy(id_column).limit(max_records - below))
 
 
 def spread(df: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
