@@ -91,7 +91,7 @@ def test_held_out_rows_of_the_tables():
     scores, y = found.scores(scorer(pa.array([t for t, _ in held]))), np.array([y for _, y in held])
     above = (scores[y == 1][:, None] > scores[y == 0]).mean() + (scores[y == 1][:, None] == scores[y == 0]).mean() / 2
     said = scores >= toxicity.THRESHOLD
-    assert above > 0.94 and said[y == 1].mean() > 0.9 and said[y == 0].mean() < 0.035
+    assert above > 0.95 and said[y == 1].mean() > 0.85 and said[y == 0].mean() < 0.02
     assert found.scores(scorer(pa.array([f"the {d} is" for d in DISGUISED]))).min() >= toxicity.THRESHOLD
     assert found.scores(scorer(pa.array(["the idea is", "a b c d e f g", ""]))).max() < toxicity.THRESHOLD
 

@@ -45,6 +45,8 @@ LANDMARKS, ROUNDS, PENALTY = 320, 4, 3e-4
 POSITIVES, DISGUISED = 6, 40
 #: Letters that a piece's disguises put in, and what each disguise weighs beside the piece.
 INSERTED, DISGUISE_COST = 4, 0.25
+#: A further positive piece has this share of the worst one's margin, or is in so many toxic documents.
+LIKE_WORST, OFTEN = 0.8, 10
 #: Worst pieces of a clean document that are taken as negatives, and what each time weighs.
 WORST, HARD_COST = 3, 4.0
 #: A document in so many is left out of the machine and fits the curve from margin to score.
@@ -244,7 +246,10 @@ def learned(bags: list[np.ndarray], labels: np.ndarray, everything: list[str]) -
         hard.update(i for some in worst for i in some)
         chosen = [b[able[b]] for b in toxic]
         chosen = [b[np.argsort(-margin[b], kind="stable")[:POSITIVES]] for b in chosen]
-        chosen = [c[(margin[c] > 0) | (np.arange(len(c)) == 0) & (margin[c] > -1)] for c in chosen]
+        # Beside the worst piece, those of a like margin or seen often; pieces that only came along drop out.
+        like = [margin[c] > max(0.0, LIKE_WORST * margin[c[:1]].max(initial=0.0)) for c in chosen]
+        first = [(np.arange(len(c)) == 0) & (margin[c] > -1) for c in chosen]
+        chosen = [c[x | y | (seen[c] >= OFTEN)] for c, x, y in zip(chosen, like, first, strict=True)]
     return model
 
 
