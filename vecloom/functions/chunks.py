@@ -2,7 +2,8 @@
 
 A batch of texts is looked at as one buffer of UTF-8: where words begin and end is found for
 all of them at once, and a window is a slice between two such places. Nothing is split into
-strings, so a text of any length takes time in proportion to it.
+strings, so a text of any length takes time in proportion to it. What is held beside a batch is
+a few bytes for every byte of one slice of it.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.functions.slices import in_slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: white space as Python's str.split and str.strip see it.
@@ -62,17 +64,29 @@ def _blank(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _indices(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """``starts[i]`` to ``starts[i] + lengths[i]`` of every i, one after the other."""
-    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-
-
 def _rows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and place within it of ``counts[row]`` things each."""
     row = np.repeat(np.arange(len(counts)), counts)
     return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
+def _characters_before(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Characters before each of the sorted ``places``: bytes that begin one."""
+    if not (len(data) and len(places)):
+        return np.zeros(len(places), np.int64)
+    firsts = (data & 0xC0) != 0x80
+    inner = places[places < len(data)]
+    sums = np.add.reduceat(firsts, np.concatenate(([0], inner)), dtype=np.int64)
+    # a place that follows itself sums its one byte instead of none
+    sums[:-1][np.diff(inner, prepend=0) == 0] = 0
+    return np.concatenate((np.cumsum(sums[:-1]), np.full(len(places) - len(inner), sums.sum())))
+
+
+def _joined(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``data[begin[i]:end[i]]`` of every i, one after the other."""
+    return np.concatenate([np.empty(0, np.uint8), *[data[a:b] for a, b in zip(begin.tolist(), end.tolist())]])
+
+
 def windows_of(texts: pa.Array, size: int, overlap: int) -> pa.Array:
     """Lists of WINDOW for each text."""
     data, ends = _text_bytes(texts)
@@ -89,13 +103,11 @@ def windows_of(texts: pa.Array, size: int, overlap: int) -> pa.Array:
     first = first_word[row] + k * step
     tokens = np.minimum(size, words[row] - k * step)
     begin, end = starts[first], stops[first + tokens - 1]
-    # Characters before a place: bytes that begin one.
-    characters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    start_char = np.where(count[row] == 1, 0, characters[begin] - characters[ends[row]])
+    start_char = np.where(count[row] == 1, 0, _characters_before(data, begin) - _characters_before(data, ends)[row])
     offsets = np.concatenate(([0], np.cumsum(end - begin)))
     wide = offsets[-1] > np.iinfo(np.int32).max
     kind = pa.large_string() if wide else pa.string()
-    contents = pa.Array.from_buffers(kind, len(row), [None, pa.py_buffer(offsets.astype(np.int64 if wide else np.int32)), pa.py_buffer(data[_indices(end - begin, begin)])])
+    contents = pa.Array.from_buffers(kind, len(row), [None, pa.py_buffer(offsets.astype(np.int64 if wide else np.int32)), pa.py_buffer(_joined(data, begin, end))])
     columns = [pa.array(x.astype(np.int32)) for x in (k, count[row], tokens, start_char)]
     columns.insert(2, contents)
     fields = [pa.field(n, contents.type if n == "chunk_content" else kind) for n, kind in zip(WINDOW.names, _KINDS, strict=True)]
@@ -111,4 +123,8 @@ def word_windows(text: Column, size: int = 256, overlap: int = 32) -> Column:
     column or an expression without lambdas.
     """
     check_window(size, overlap)
-    return F.arrow_udf(lambda texts: windows_of(texts, size, overlap), T.ArrayType(WINDOW))(text)
+
+    def windows(texts: pa.Array) -> pa.Array:
+        return windows_of(texts, size, overlap)
+
+    return in_slices(windows, T.ArrayType(WINDOW))(text)
