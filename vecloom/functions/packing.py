@@ -13,9 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.functions.slices import in_slices
 from vecloom.functions.vectors import CLIP, LEVELS, SMALLEST_MAX, check_mode
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,4 +56,4 @@ def quantized(vector: Column, mode: str = "dynamic", clip: float = CLIP) -> Colu
         columns = [packed, pa.array(scale.astype(np.float32)), pa.array(np.sqrt(squares).astype(np.float32))]
         return pa.StructArray.from_arrays(columns, ["vector_int8", "scale_factor", "l2_norm"])
 
-    return F.arrow_udf(quantize, PACKED)(vector)
+    return in_slices(quantize, PACKED)(vector)
