@@ -133,6 +133,55 @@ def test_search_does_not_gather_queries_or_vectors(tight, monkeypatch):
     assert max(t.num_rows for t in gathered) <= 33
 
 
+def test_vectors_are_copied_per_strip_not_per_block(spark, tight, monkeypatch):
+    _, df = tight
+    queries = df.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+    copied, asked, whole = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), clustered._best
+
+    def counted(vectors, wanting, *others):
+        copied.add(vectors.num_rows)
+        asked.add(wanting.num_rows)
+        return whole(vectors, wanting, *others)
+
+    monkeypatch.setattr(clustered, "_best", counted)
+    monkeypatch.setattr(clustered, "TASKS_PER_CORE", 1)
+    assert knn_topk(df, queries, 2, cell_rows=5, block_rows=5).count() == 2 * df.count()
+    assert df.count() <= min(copied.value, asked.value) and max(copied.value, asked.value) <= 3 * df.count()
+
+
+@pytest.mark.parametrize("cell_rows,block_rows", [(7, 5), (1000, 1000)])
+def test_scores_that_32_bits_cannot_tell_apart(cell_rows, block_rows):
+    rng = np.random.RandomState(3)
+    wanted, near = unit(rng.normal(0, 1, (12, 16))), rng.normal(0, 1, (40, 16))
+    units = unit(np.vstack([near + rng.normal(0, 1e-8, near.shape) for _ in range(20)]))
+    names = rng.permutation(len(units))
+    least = np.full(len(wanted), -2.0)
+    every = lambda queries, rows: np.ones(queries.stop - queries.start, bool)
+    q, name, score = clustered.nearest_rows(wanted, least, units, names, every, 6, cell_rows, block_rows)
+    exact = np.round(wanted @ units.T, 9)
+    for i in range(len(wanted)):
+        order = sorted(range(len(units)), key=lambda r: (-exact[i, r], names[r]))[:6]
+        assert name[q == i].tolist() == [names[r] for r in order] and np.allclose(score[q == i], exact[i, order], atol=1e-12)
+
+
+def test_copies_and_zero_vectors_cost_one_score(spark, monkeypatch):
+    rng = np.random.RandomState(4)
+    points = np.vstack([np.repeat(rng.normal(0, 1, (1, 8)), 300, axis=0), np.zeros((300, 8)), rng.normal(0, 1, (60, 8))]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id int, vector array<float>").repartition(4)
+    scored, whole = spark.sparkContext.accumulator(0), clustered.nearest_rows
+
+    def counted(wanted, least, units, *others):
+        scored.add(len(wanted) * len(units))
+        return whole(wanted, least, units, *others)
+
+    monkeypatch.setattr(clustered, "nearest_rows", counted)
+    queries = df.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+    found = {(r.query_id, r["rank"]): r.id for r in knn_topk(df, queries, 3).collect()}
+    scores = np.round(unit(points) @ unit(points).T, 9)
+    assert found == {(q, n): i for q in range(len(points)) for n, i in enumerate(sorted(range(len(points)), key=lambda i: (-scores[q, i], i))[:3], 1)}
+    assert 0 < scored.value <= 4 * 62 * 62
+
+
 def test_semantic_search(spark):
     texts = ["raft consensus leader election", "gene sequencing of tumor cells", "quarterly revenue growth"]
     chunks = spark.createDataFrame([(f"c{i}", t * 30, "cat", i) for i, t in enumerate(texts)], "chunk_id string, chunk_content string, category string, partition_id int")
