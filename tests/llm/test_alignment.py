@@ -125,3 +125,28 @@ def test_empty_table(spark, docs_of):
     assert alignment.align(docs_of([]), A, B).count() == 0
     row = alignment.align(docs_of([(1, None)]), A, B).first()
     assert (row.n_a, row.n_best, row.count_sum, row.groups_sha256) == (0, 0, 0, "")
+
+
+ODD_CUTS = [" a", " the", " xé", "  ", " 中文", " \U0001f600", " <|endoftext|>", " 0.25,", " \n", " Über", " á", " ", " ▁x", " <0x41>", " end"]
+
+
+def test_cuts_have_the_ids_of_the_encoder():
+    both = alignment.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    for new in (ODD_CUTS, ODD_CUTS[:2], ODD_CUTS[3:4], [f" w{i}" for i in range(8000)], []):
+        ids, bounds = both.ids_a(new, [c.encode() for c in new])
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [e.ids for e in both.encoder.tokenizer.encode_batch(new, add_special_tokens=False)]
+    both.size_a = both.size_a + 1  # sizes that do not add up are not used
+    ids, bounds = both.ids_a(ODD_CUTS, [c.encode() for c in ODD_CUTS])
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [e.ids for e in both.encoder.tokenizer.encode_batch(ODD_CUTS, add_special_tokens=False)]
+
+
+def test_each_cut_is_judged_by_its_own_bytes():
+    both = alignment.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    raw = [c.encode() for c in ODD_CUTS]
+    lists = both.pieces.encode([c[1:] for c in ODD_CUTS])
+    own = [b"".join(both.bytes_b[i] for i in x) == c for x, c in zip(lists, raw)]
+    for given in (list(range(len(raw))), [i for i, g in enumerate(own) if g], [i for i, g in enumerate(own) if not g]):
+        good, n_b, b = both.giving_back([lists[i] for i in given], [raw[i] for i in given])
+        assert good.tolist() == [own[i] for i in given]
+        assert n_b.tolist() == [len(lists[i]) * own[i] for i in given]
+        assert b.tolist() == [x for i in given if own[i] for x in lists[i]]

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.batches import bounded, spans, text_buffer
+from vecloom.llm.batches import bounded, release_memory, spans, text_buffer
 from vecloom.llm.encoding import Encoder, cuts
 from vecloom.session import cut_lineage
 
@@ -83,16 +84,46 @@ class Aligner:
         self.start, self.pairs, self.times = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.bytes = 0
 
+    def ids_a(self, new: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all cuts, and where each cut's begin and the last one's end."""
+        regular = self.encoder.regular(new)
+        found = self.encoder.lists_by_bytes([new[i] for i in regular], [len(raw[i]) for i in regular], self.size_a)
+        if found is None or len(regular) < len(new):
+            rest = np.ones(len(new), bool)
+            rest[regular if found is not None else []] = False
+            others, bounds = self.encoder.encode(pa.array([c for c, r in zip(new, rest.tolist(), strict=True) if r], pa.large_string()))
+            self.encoder.forget()
+            release_memory()
+            if found is None:
+                return others, bounds
+            ids, stops = found
+            count, begin = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+            count[regular], count[rest] = np.diff(stops, prepend=0), np.diff(bounds)
+            begin[regular], begin[rest] = stops - np.diff(stops, prepend=0), len(ids) + bounds[:-1]
+            return np.concatenate((ids, others.astype(np.int64)))[spans(count, begin)], np.concatenate(([0], np.cumsum(count)))
+        release_memory()
+        return found[0], np.concatenate(([0], found[1]))
+
+    def giving_back(self, lists: list[list[int]], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which cuts' B tokens give their bytes back, how many tokens those have (others none), and their ids."""
+        n_b = np.fromiter(map(len, lists), np.int64, len(lists))
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(n_b.sum()))
+        total = np.concatenate(([0], np.cumsum(self.size_b[b])))
+        same_sizes = np.diff(total[np.concatenate(([0], np.cumsum(n_b)))]) == np.fromiter(map(len, raw), np.int64, len(raw))
+        # cuts of the right sizes that give all bytes back together do so each
+        if same_sizes.all() and b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(lists))) == b"".join(raw):
+            return same_sizes, n_b, b
+        good = np.array([b"".join(map(self.bytes_b.__getitem__, x)) == c for x, c in zip(lists, raw, strict=True)], bool)
+        return good, n_b * good, b[np.repeat(good, n_b)]
+
     def learn(self, new: list[str]) -> None:
         """Tokenizes and aligns new cuts, each of which begins with a space."""
-        ids_a, bound_a = self.encoder.encode(pa.array(new, pa.large_string()))
-        self.encoder.forget()
+        raw = [c.encode() for c in new]
+        ids_a, bound_a = self.ids_a(new, raw)
         lists = self.pieces.encode([c[1:] for c in new], num_threads=1)
-        good = np.array([b"".join(map(self.bytes_b.__getitem__, b)) == c.encode() for b, c in zip(lists, new, strict=True)], bool)
+        good, n_b, b = self.giving_back(lists, raw)
         n_a = np.diff(bound_a) * good
-        n_b = np.array([len(b) for b in lists], np.int64) * good
         a = ids_a[np.repeat(good, np.diff(bound_a))].astype(np.int64)
-        b = np.fromiter((i for x, g in zip(lists, good, strict=True) if g for i in x), np.int64, int(n_b.sum()))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         common = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)

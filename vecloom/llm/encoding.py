@@ -13,6 +13,7 @@ import bisect
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +79,28 @@ class Encoder:
         self.words = self.words.filter(pa.array(keep))
         self.slices = np.ones(len(self.lengths), np.int32)
 
+    def regular(self, texts: list[str]) -> list[int]:
+        """Places of the cuts that begin with a space and end visibly: joined for one call they have the ids they have alone."""
+        return [i for i, t in enumerate(texts) if len(t) > 1 and t[0] == " " and visible(t[1]) and visible(t[-1])]
+
+    def lists_by_bytes(self, texts: list[str], lengths: list[int], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of regular cuts of so many UTF-8 bytes and where each one's end, by the ids' ``sizes`` in bytes; None if the bytes do not add up."""
+        found = []
+        parts = ["".join(texts[k : k + JOINED]) for k in range(0, len(texts), JOINED)]
+        for k in range(0, len(parts), AT_ONCE):
+            joined = [e.ids for e in self.tokenizer.encode_batch(parts[k : k + AT_ONCE], add_special_tokens=False)]
+            found.append(np.fromiter(chain.from_iterable(joined), np.int64, sum(map(len, joined))))
+        ids = np.concatenate([np.empty(0, np.int64), *found])
+        # A token ends in its own cut, though it may begin with the space before its word.
+        ends, stops = np.cumsum(sizes[ids]), np.cumsum(lengths)
+        count = np.searchsorted(ends, stops, side="right")
+        whole = len(ids) > 0 and len(stops) > 0 and ends[-1] == stops[-1] and bool((ends[count - 1] == stops).all())
+        return (ids, count) if whole else None
+
     def learn(self, words: pa.Array) -> None:
-        """Encodes new cuts. Those that begin with a space and end visibly are joined for one call; the rest go alone."""
+        """Encodes new cuts. The regular ones are joined for one call; the rest go alone."""
         texts = words.to_pylist()
-        regular = [i for i, t in enumerate(texts) if len(t) > 1 and t[0] == " " and visible(t[1]) and visible(t[-1])]
+        regular = self.regular(texts)
         ids: list[list[int]] = [[]] * len(texts)
         parts = [regular[k : k + JOINED] for k in range(0, len(regular), JOINED)]
         for some in (parts[k : k + AT_ONCE] for k in range(0, len(parts), AT_ONCE)):
