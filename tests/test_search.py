@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vecloom.operators import clustered
+from vecloom.operators import clustered, search
 from vecloom.operators.partitioning import partition_by_hash, partition_by_range, partition_by_sketch, rebalance, shard_distribution
 from vecloom.operators.projection import project_pca
 from vecloom.operators.search import cosine_matrix, knn_topk, semantic_search
@@ -46,6 +46,27 @@ def test_cosine_of_two_sets(frame, matrix):
     assert all(abs(r.cosine) <= 1 + 1e-9 for r in rows)
 
 
+def test_cosine_copies_rows_per_strip_not_per_tile(spark, frame, matrix, monkeypatch):
+    copied, whole = spark.sparkContext.accumulator(0), search.unit_rows
+
+    def counted(vectors):
+        copied.add(len(vectors))
+        return whole(vectors)
+
+    monkeypatch.setattr(search, "unit_rows", counted)
+    monkeypatch.setattr(search, "TASKS_PER_CORE", 1)
+    assert cosine_matrix(frame, tile_rows=4).select("row_id", "col_id").distinct().count() == len(matrix) ** 2
+    assert 0 < copied.value <= 2 * 3 * len(matrix)
+
+
+def test_strips_are_few_and_bounded():
+    assert search._strips(100_000, 100_000, 64, 1024, 96) == (10, 10)
+    assert search._strips(6_000_000, 6_000_000, 64, 1024, 96) == (92, 92)
+    assert search._strips(100_000, 10, 64, 1024, 96) == (96, 1)
+    assert search._strips(10, 100_000, 64, 1024, 96) == (1, 96)
+    assert search._strips(0, 0, 1, 1024, 96) == (1, 1)
+
+
 def test_cosine_uses_no_cross_join(frame, plan_of):
     plan = plan_of(cosine_matrix(frame, tile_rows=40))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
