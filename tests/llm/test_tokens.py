@@ -180,3 +180,23 @@ def test_a_small_memo_gives_the_same_ids(monkeypatch):
         ids, bounds = small.encode(pa.array(texts[k : k + 4]))
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == want[k : k + 4]
     assert len(small.words) <= 30 + 4 * 62 and len(small.words) == len(small.slices) == len(small.starts)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_most_cuts_need_no_token_places(path):
+    """Token places cost most of a cut's time; cuts of Latin letters and line ends are told apart by bytes."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abeuxQZéèßüñÇ,.'7") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", "\n", ".\nÉ"]) + "a" for _ in range(3000)]
+    odd = ["x", "İstanbul", "KKx", "ée", "日本", "a\x1cb", "a b", "<|endoftext|>", "ſ"]
+    texts = [" ".join(rng.sample(words, 200)) for _ in range(20)] + [" ".join(odd + words[:5] + odd)]
+    coder = encoding.Encoder(path)
+    placed, by_places = [], coder.by_places
+
+    def counting(cuts):
+        placed.extend(cuts.to_pylist())
+        return by_places(cuts)
+
+    coder.by_places = counting
+    ids, bounds = coder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(placed) < 60
