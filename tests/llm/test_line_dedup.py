@@ -72,3 +72,25 @@ def test_empty_table(docs_of):
 def test_no_python_on_the_main_path(docs_of, plan_of):
     plan = plan_of(line_dedup.decide(docs_of([(1, "a b")])))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_family_is_not_verified_pair_by_pair(spark, docs_of, monkeypatch):
+    """One earlier partner settles a line: word sets are joined to about a pair per line, and texts are not shuffled."""
+    words = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join([*words[:20], f"x{i}", *words[21:]])) for i in range(60)] + [(100 + i, f"lone{i} line{i}") for i in range(5)] + [(200, "q1 q2 q3 q4 q5"), (201, "q1 q2 q3 q4 z5")]
+    made, cut = [], line_dedup.cut_lineage
+
+    def counting(df):
+        out = cut(df)
+        made.append((df.columns, out))
+        return out
+
+    monkeypatch.setattr(line_dedup, "cut_lineage", counting)
+    monkeypatch.setattr(line_dedup, "sets_of", lambda *a, f=line_dedup.sets_of: asked.append(a[2].count()) or f(*a))
+    asked = []
+    found = as_read(line_dedup.decide(docs_of(rows)))
+    want = removed(rows)
+    assert found == {i: (1, len(want[i, t]), want[i, t]) for i, t in rows}
+    pairs = next(t for c, t in made if c == ["a", "b", "met"]).count()
+    settled, rest = [t.count() for c, t in made if c == ["key"]][-2:]
+    assert asked == [60] and pairs == 60 * 59 // 2 and settled == 59 and rest == 0

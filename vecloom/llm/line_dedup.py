@@ -24,6 +24,8 @@ from vecloom.session import cut_lineage
 PERCENT = 80
 CELLS = 1 << 16
 BITMAP = 1 << 20
+#: Cells for the lines that the verification reads again.
+LINE_BITMAP = 1 << 22
 #: From so many words on, a line has 128 parities more.
 WIDE = 100
 _SPACE = "[\\x20\\x09-\\x0D]+"
@@ -55,15 +57,15 @@ def rarity(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
-def line_sets(docs: DataFrame, table: Column) -> DataFrame:
-    """Lines with ``tokens``: each distinct word as its weight and 55 bits of its digest, rarest first."""
+def line_sets(lines: DataFrame, table: Column) -> DataFrame:
+    """``lines`` with ``tokens``: each distinct word as its weight and 55 bits of its digest, rarest first."""
 
     def packed(word: Column) -> Column:
         weight = F.shiftleft(F.get(table, _cell(F.xxhash64(word))).cast("bigint"), _KEEP_BITS)
         return weight.bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - _KEEP_BITS))
 
     tokens = F.sort_array(F.array_distinct(F.transform("words", packed)))
-    found = lines_of(docs).select("doc_id", "text_hash", "line_no", tokens.alias("tokens"))
+    found = lines.select("doc_id", "text_hash", "line_no", tokens.alias("tokens"))
     return found.withColumn("key", F.xxhash64("tokens")).withColumn("n", F.size("tokens"))
 
 
@@ -82,20 +84,20 @@ def _parities(half: int | None = None) -> Column:
     return parities if half is None else F.when(F.col("n") >= WIDE, parities).otherwise(0)
 
 
-def marks(hashes: DataFrame, name: str) -> Callable[[Column], Column]:
-    """Test of a 64-bit hash against a bitmap of 2**20 cells in which all ``hashes`` are marked.
+def marks(hashes: DataFrame, name: str, size: int = BITMAP) -> Callable[[Column], Column]:
+    """Test of a 64-bit hash against a bitmap of ``size`` cells in which all ``hashes`` are marked.
 
     What reaches the driver and the tasks has that size at most, whatever the corpus. Hashes
     may be marked by chance, so a join must follow; it gets less to shuffle.
     """
-    cells = hashes.select(F.pmod(name, F.lit(BITMAP)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_pylist()
-    words = [0] * (BITMAP // 16)
+    cells = hashes.select(F.pmod(name, F.lit(size)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_pylist()
+    words = [0] * (size // 16)
     for cell in cells:
         words[cell >> 4] |= 1 << (cell & 15)
     table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<int>")
 
     def test(value: Column) -> Column:
-        cell = F.pmod(value, F.lit(BITMAP)).cast("int")
+        cell = F.pmod(value, F.lit(size)).cast("int")
         bit = F.call_function("shiftright", F.get(table, F.shiftright(cell, 4)), cell.bitwiseAND(F.lit(15)))
         return bit.bitwiseAND(F.lit(1)) == 1
 
@@ -122,7 +124,11 @@ def classes_of(lines: DataFrame) -> DataFrame:
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): keys of classes that share a prefix word and pass all filters."""
+    """(a, b, met): keys of classes that share a prefix word and pass all filters, and on how many words they met.
+
+    The first word that two sets share has as many words after it, in either set, as they must
+    share; a word further back in a prefix does not count for the pair.
+    """
     # Words that share 32 bits of their hash meet too, which costs a test and loses nothing.
     posted = classes.select("key", "n", "low", "wide_0", "wide_1", F.posexplode("prefix").alias("at", "token")).withColumn("token", F.hash("token"))
     a, b = (posted.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "at", "low", "wide_0", "wide_1")]) for side in "ab")
@@ -130,32 +136,54 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     least = least_overlap(n_a, n_b, percent)
     may_differ = n_a + n_b - 2 * least
     length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    front = (n_a - at_a >= least) & (n_b - at_b >= least)
     position = F.least(at_a, at_b) + F.least(n_a - at_a, n_b - at_b) >= least
 
     def differ(c: str) -> Column:
         return F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
 
     wide = (F.least(n_a, n_b) < WIDE) | (differ("wide_0") + differ("wide_1") <= may_differ)
-    met = a.join(b, "token").filter((F.col("key_a") < F.col("key_b")) & length & position & (differ("low") <= may_differ) & wide)
-    return cut_lineage(met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
+    met = a.join(b, "token").filter((F.col("key_a") < F.col("key_b")) & length & front & position & (differ("low") <= may_differ) & wide)
+    return cut_lineage(met.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(F.count(F.lit(1)).alias("met")))
+
+
+def sets_of(docs: DataFrame, table: Column, firsts: DataFrame) -> DataFrame:
+    """(key, tokens) of the classes in ``firsts``, whose lines are cut out of the texts again.
+
+    Texts do not move: a bitmap of the wanted lines' places leaves few others, which the join drops.
+    """
+    wanted = marks(firsts.select(F.xxhash64("first.text_hash", "first.line_no").alias("place")), "place", LINE_BITMAP)
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    lines = lines.filter(wanted(F.xxhash64("text_hash", "line_no")))
+    lines = lines.select("doc_id", "text_hash", "line_no", F.array_remove(F.split("line", _SPACE), "").alias("words"))
+    sets = line_sets(lines, table).select("key", "tokens").join(firsts.select("key"), "key", "left_semi")
+    return sets.dropDuplicates(["key"])
 
 
 def similar_classes(docs: DataFrame, table: Column, classes: DataFrame, percent: int) -> DataFrame:
-    """(key) of classes that a similar class precedes. Sets are read again from the texts of candidates only."""
+    """(key) of classes that a similar class precedes.
+
+    One earlier partner is enough, so each class is first held against the one it met on most
+    words. Only classes that stay open meet all their earlier partners.
+    """
     pairs = candidates(classes, percent)
     wanted = cut_lineage(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-    firsts = classes.join(wanted, "key", "left_semi").select("key", "first")
-    ids = cut_lineage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).distinct())
-    few = marks(ids, "_hash")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash")).filter(few(F.col("_text_hash")))
-    texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    sets = line_sets(texts.select("doc_id", "text"), table).select("key", "tokens").join(firsts, "key").dropDuplicates(["key"])
-    sets = cut_lineage(sets)
-    a, b = (sets.select(F.col("key").alias(side), F.col("tokens").alias(f"tokens_{side}"), F.col("first").alias(f"first_{side}")) for side in "ab")
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - common
-    alike = pairs.join(a, "a").join(b, "b").filter(100 * common >= percent * union)
-    return alike.select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("key")).distinct()
+    firsts = cut_lineage(classes.join(wanted, "key", "left_semi").select("key", "first"))
+    a, b = (firsts.select(F.col("key").alias(side), F.col("first").alias(f"first_{side}")) for side in "ab")
+    late = F.col("first_a") > F.col("first_b")
+    ordered = pairs.join(a, "a").join(b, "b")
+    ordered = cut_lineage(ordered.select(F.when(late, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(late, F.col("b")).otherwise(F.col("a")).alias("earlier"), "met"))
+    sets = cut_lineage(sets_of(docs, table, firsts))
+
+    def alike(some: DataFrame) -> DataFrame:
+        own = sets.withColumnRenamed("tokens", "own")
+        other = sets.select(F.col("key").alias("earlier"), F.col("tokens").alias("other"))
+        common = F.size(F.array_intersect("own", "other"))
+        similar = 100 * common >= percent * (F.size("own") + F.size("other") - common)
+        return cut_lineage(some.join(other, "earlier").join(own, "key").filter(similar).select("key").distinct())
+
+    settled = alike(ordered.groupBy("key").agg(F.max_by("earlier", "met").alias("earlier")))
+    return settled.unionByName(alike(ordered.join(settled, "key", "left_anti").select("key", "earlier")))
 
 
 def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -168,12 +196,12 @@ def decide(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     table = rarity(docs)
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    sets = line_sets(docs, table)
+    sets = line_sets(lines_of(docs), table)
     facts = sets.select("doc_id", "text_hash", "line_no", "key", "n", prefix.alias("prefix"), _parities().alias("low"), _parities(0).alias("wide_0"), _parities(1).alias("wide_1"))
     lines = cut_lineage(facts)
     some = lines.filter("n > 0")
     classes = classes_of(some)
-    near = cut_lineage(similar_classes(docs, table, classes, percent))
+    near = similar_classes(docs, table, classes, percent)
     marked = cut_lineage(classes.select("key", "first", "group_size").join(near.withColumn("near", F.lit(True)), "key", "left"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no")
     judged = attach(some.select("doc_id", "text_hash", "line_no", "key"), marked, "key", lines.count())
