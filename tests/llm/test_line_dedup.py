@@ -94,3 +94,26 @@ def test_a_family_is_not_verified_pair_by_pair(spark, docs_of, monkeypatch):
     pairs = next(t for c, t in made if c == ["a", "b", "met"]).count()
     settled, rest = [t.count() for c, t in made if c == ["key"]][-2:]
     assert asked == [60] and pairs == 60 * 59 // 2 and settled == 59 and rest == 0
+
+
+def test_a_large_family_is_not_listed_pair_by_pair(docs_of, monkeypatch):
+    """Lines that the earliest of a large group settles ask for no pairs, whichever words differ; results stay whole."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(40)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 300):
+        at = rng.randrange(40)
+        rows.append((i, "\t ".join([*words[:at], f"x{i}", *words[at + 1 :]])))
+    rows += [(300, "w0 w1 w2 w3 w4 lone"), (301, " ".join(words[:30])), (302, " ".join(words[:31]))]
+    made, cut = [], line_dedup.cut_lineage
+
+    def counting(df):
+        out = cut(df)
+        made.append((df.columns, out))
+        return out
+
+    monkeypatch.setattr(line_dedup, "cut_lineage", counting)
+    found = as_read(line_dedup.decide(docs_of(rows)))
+    want = removed(rows)
+    assert found == {i: (1, len(want[i, t]), want[i, t]) for i, t in rows}
+    assert next(t for c, t in made if c == ["a", "b", "met"]).count() < 10 * len(rows)
