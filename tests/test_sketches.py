@@ -235,6 +235,48 @@ def test_minhash_pairs_of_any_width(spark, num_perm):
     assert found == {(i, j) for i, x in rows for j, y in rows if i < j and equal(x, y)}
 
 
+def minhash_pairs_by_python(rows):
+    """Of classes, which repeated ids share; a pair has two different ids."""
+    classes = {}
+    for i, sketch in rows:
+        classes.setdefault(sketch, []).append(i)
+    named = [(min((i for i in ids if i is not None), default=None), sketch, len(ids)) for sketch, ids in classes.items()]
+    named = [x for x in named if x[0] is not None]
+    return sorted((a, b, m, n, share(x, y)) for a, x, m in named for b, y, n in named if a < b and share(x, y) >= 0.8)
+
+
+@pytest.mark.parametrize("hot", [3, 40, 256])
+def test_minhash_pairs_of_repeated_and_missing_ids(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "DENSE_ROWS", 16)  # several blocks and tiles
+    monkeypatch.setattr(S, "TILE_ROWS", 5)
+    rng = random.Random(11)
+    centre = [rng.randrange(PRIME) for _ in range(64)]
+    near = [tuple(rng.randrange(PRIME) if rng.random() < 0.1 else v for v in centre) for _ in range(70)]
+    far = [tuple(centre[:20] + [rng.randrange(PRIME) for _ in range(44)]) for _ in range(50)]
+    rows = [(rng.choice([None, "é", "z", *(f"{i:02d}" for i in range(60))]), s) for s in near + far + near[:10]]
+    df = spark.createDataFrame([(i, list(s)) for i, s in rows], "document_id string, signature array<bigint>")
+    expected = minhash_pairs_by_python(rows)
+    assert len(expected) > 300
+    assert sorted(tuple(r) for r in S.minhash_pairs(df, 0.8, hot=hot).collect()) == expected
+
+
+def test_a_dense_bucket_is_cut_again_only_if_that_thins_it_out(spark):
+    rng = random.Random(12)
+    positions = S._minhash_positions(64, 0.8)
+    stem = [rng.randrange(PRIME) for _ in range(64)]
+
+    def cut(rows):
+        df = spark.createDataFrame([(i, list(r)) for i, r in enumerate(rows)], "id bigint, signature array<bigint>")
+        few, dense = S.cut_buckets(S._minhash_words(df, positions), positions, 20)
+        assert S.bucketed(S._minhash_words(df, positions), positions, 20).count() == few.count() + (dense.count() if dense else 0)
+        return few, dense
+
+    few, dense = cut([stem[:63] + [i] for i in range(100)])  # all near each other: 13 buckets to a row, not 13 * 13 * 13
+    assert dense.count() == 12 * 100 and few.count() <= 100
+    few, dense = cut([stem[:4] + [rng.randrange(PRIME) for _ in range(60)] for _ in range(100)])  # they share the first block only
+    assert dense.count() == 0 and few.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 20
+
+
 def test_pair_search_joins_on_buckets_and_shuffles_them_once(spark, fingerprints, plan_of):
     df = spark.createDataFrame(fingerprints, "document_id string, simhash bigint")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
