@@ -46,6 +46,25 @@ def test_cosine_of_two_sets(frame, matrix):
     assert all(abs(r.cosine) <= 1 + 1e-9 for r in rows)
 
 
+def test_cosine_rows_by_cosine_take_fewer_bytes(spark, tmp_path, monkeypatch):
+    rng = np.random.RandomState(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 1, (1000, 8)))]
+    vectors = spark.createDataFrame(rows, "id bigint, vector array<float>")
+    size = {}
+    for by_cosine in (False, True):
+        out = tmp_path / str(by_cosine)
+        cosine_matrix(vectors, by_cosine=by_cosine).withColumn("cosine", F.round("cosine", 5)).write.parquet(str(out))
+        size[by_cosine] = sum(p.stat().st_size for p in out.glob("*.parquet"))
+    assert size[True] < 0.7 * size[False]
+    plain, sorted_ = (spark.read.parquet(str(tmp_path / x)) for x in ("False", "True"))
+    assert sorted_.count() == 1000**2 and plain.exceptAll(sorted_).isEmpty()
+    few = vectors.filter("id < 9")
+    monkeypatch.setattr(search, "SORTED_TILE", (2, 3))
+    monkeypatch.setattr(search, "MATRIX_BATCH", 4)
+    found = {(r.row_id, r.col_id): r.cosine for r in cosine_matrix(few, by_cosine=True).collect()}
+    assert len(found) == 81 and found == pytest.approx({(r.row_id, r.col_id): r.cosine for r in cosine_matrix(few).collect()}, abs=1e-12)
+
+
 def test_cosine_copies_rows_per_strip_not_per_tile(spark, frame, matrix, monkeypatch):
     copied, whole = spark.sparkContext.accumulator(0), search.unit_rows
 
