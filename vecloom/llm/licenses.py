@@ -8,6 +8,7 @@ to its licenses and to how much it asks of a user.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -111,18 +112,18 @@ def evaluate(tokens: list[str]) -> tuple[set[str], int]:
     return stack.pop()
 
 
-def expression_at(line: bytes) -> list[str]:
-    """Tokens of the longest well-formed expression that begins a line of lower-case text.
+def expression_at(text: bytes, start: int = 0, stop: int = sys.maxsize) -> list[str]:
+    """Tokens of the longest well-formed expression that begins a line of lower-case text, which runs from ``start`` to ``stop``.
 
     One pass: it is known after every token whether an operand must follow and how many
     brackets are open, so the last place where the tokens so far were well-formed is kept, and
     reading stops at the first token that nothing can mend. Any length is read in linear time.
     """
     tokens: list[str] = []
-    best = end = depth = 0
-    operand = True
-    for atom in _ATOM.finditer(line):
-        if line[end : atom.start()].strip() and tokens:
+    best = depth = 0
+    end, operand = start, True
+    for atom in _ATOM.finditer(text, start, stop):
+        if text[end : atom.start()].strip() and tokens:
             break
         token = atom[0].decode().rstrip(".:") or atom[0].decode()
         if operand != (token not in BINDING and token != ")"):
@@ -171,9 +172,12 @@ def scan_text(text: bytes) -> tuple[int, int, int | None, int | None, set[str],
     score = 0.9 if labels else 0.0
     lower = text.lower()
     if b"license-identifier:" in lower:
+        stop = 0
         for end, _ in tags.iter(lower.decode("latin-1")):
-            stop = lower.find(b"\n", end)
-            tokens = expression_at(lower[end + 1 : stop if stop >= 0 else len(lower)])
+            if stop <= end:
+                stop = lower.find(b"\n", end)
+                stop = stop if stop >= 0 else len(lower)
+            tokens = expression_at(lower, end + 1, stop)
             if tokens:
                 names, asked = evaluate(tokens)
                 labels |= {f"spdx:{n}" for n in names} | {f"asks:{KINDS[asked]}"}
